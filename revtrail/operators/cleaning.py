@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.deals import blank_to, canonical_label, is_won, segment_of
 from revtrail.functions.numbers import MONEY
-from revtrail.operators.joins import fits, is_small, many_to_one
+from revtrail.operators.joins import fits, is_small, lookup, many_to_one
 from revtrail.operators.quantiles import exact_quantiles
 from revtrail.params import CLOSED_WON, NEW, QUALIFIED, Params
 
@@ -80,7 +80,7 @@ def few_lead_groups(leads: DataFrame, params: Params) -> bool:
     return fits(leads.select("industry", "company_size").distinct(), params.broadcast_rows)
 
 
-def impute_arr(opps: DataFrame, small: bool, few_groups: bool) -> DataFrame:
+def impute_arr(opps: DataFrame, small: bool, few_groups: bool, params: Params) -> DataFrame:
     """Fill missing deal values with the median of the lead's industry and size.
 
     A group without any known value, and an opportunity without a lead, stay null.
@@ -93,12 +93,7 @@ def impute_arr(opps: DataFrame, small: bool, few_groups: bool) -> DataFrame:
         F.when(F.col("arr_value").isNull(), 1).otherwise(0).alias("arr_imputed_flag"),
     ]
     kept = [c for c in opps.columns if c != "arr_value"]
-    if few_groups:
-        return opps.join(F.broadcast(medians), groups, "left").select(*kept, *filled)
-    # Too many groups to broadcast: only the rows with a gap take part in the join.
-    gaps = opps.where(F.col("arr_value").isNull()).join(medians, groups, "left")
-    whole = opps.where(F.col("arr_value").isNotNull()).withColumn("median_arr", F.lit(None).cast("double"))
-    return whole.unionByName(gaps).select(*kept, *filled)
+    return lookup(opps, medians, groups, params).select(*kept, *filled)
 
 
 def impute_close_date(opps: DataFrame, raw_opps: DataFrame) -> DataFrame:
@@ -144,9 +139,8 @@ def opportunities_clean(
         one = leads_clean(leads, params).select("lead_id", *sorted(attributes))
         rows = many_to_one(rows, one, "lead_id", params)
     if fill_arr:
-        # A small table has few groups too, or at least few enough.
         small = is_small(opps, params)
-        rows = impute_arr(rows, small, small or few_lead_groups(leads, params))
+        rows = impute_arr(rows, small, small or few_lead_groups(leads, params), params)
     if fill_date:
         rows = impute_close_date(rows, opps)
     return rows.select(*columns)

@@ -116,8 +116,8 @@ def lookup(
     The table is computed once. If it fits the row limit its rows are broadcast, if
     not the join runs as any other many-to-one join.
     """
-    few = table.limit(params.broadcast_rows + 1).collect()
-    if len(few) > params.broadcast_rows:
+    few = table.limit(params.broadcast_rows + 1).toArrow()
+    if few.num_rows > params.broadcast_rows:
         return many_to_one(rows, table, on, params, source)
     local = rows.sparkSession.createDataFrame(few, table.schema)
     return rows.join(F.broadcast(local), on, "left")

@@ -62,7 +62,13 @@ def scaled(deals: DataFrame) -> DataFrame:
 
 def best_model(vectors: DataFrame, params: Params) -> KMeansModel:
     """The fit with the least cost over several random starts, run side by side."""
-    estimator = KMeans(k=params.clusters, maxIter=300, featuresCol="features", predictionCol="cluster")
+    estimator = KMeans(
+        k=params.clusters,
+        maxIter=300,
+        tol=params.kmeans_tolerance,
+        featuresCol="features",
+        predictionCol="cluster",
+    )
     starts = [
         {estimator.seed: params.kmeans_seed + i} for i in range(params.kmeans_starts)
     ]

@@ -71,6 +71,8 @@ class Params:
     clusters: int = 3
     kmeans_starts: int = 10
     kmeans_seed: int = 42
+    # Centres at rest: none moves further than this many standard deviations.
+    kmeans_tolerance: float = 0.01
     # A table is broadcast only after it was seen to hold no more rows than this.
     broadcast_rows: int = 10_000
     # A table of up to this many rows is safe in one task: no key in it can be too hot,

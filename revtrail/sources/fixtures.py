@@ -10,23 +10,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.functions.numbers import MONEY
-from revtrail.params import (
-    CLOSED_LOST,
-    CLOSED_WON,
-    DISCOVERY,
-    EVALUATION,
-    NEGOTIATION,
-    PROPOSAL,
-    Params,
-)
-
-INDUSTRIES = ("SaaS", "FinTech", "HealthTech", "E-Commerce", "Manufacturing", "Professional Services")
-TEAMS = ("Enterprise", "Mid-Market", "SMB")
-QUOTAS = (1_200_000, 800_000, 500_000)
+from revtrail.params import Params
 
 FIXTURE_PARAMS = Params(
     as_of=date(2001, 8, 2),
@@ -59,148 +47,130 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(position: Column, choices: tuple) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (position + 1).cast("int"))
-
-
 def _geography(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = _table(spark, folder, "nation"), _table(spark, folder, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "r_name"
-    )
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "r_name")
+
+
+LEAD_RULES = (
+    "c_custkey AS lead_id",
+    "created_date",
+    # Planted defect: untidy labels.
+    "CASE WHEN c_custkey % 7 = 0 THEN concat('  ', lower(c_mktsegment), ' ') "
+    "ELSE c_mktsegment END AS lead_source",
+    "element_at(array('SaaS', 'FinTech', 'HealthTech', 'E-Commerce', 'Manufacturing', "
+    "'Professional Services'), c_nationkey % 6 + 1) AS industry",
+    "CASE WHEN c_acctbal < 1000 THEN '1-10' WHEN c_acctbal < 4000 THEN '11-50' "
+    "WHEN c_acctbal < 7000 THEN '51-200' WHEN c_acctbal < 9000 THEN '201-1000' "
+    "ELSE '1000+' END AS company_size",
+    "r_name AS region",
+    # Planted defects: blank and missing statuses.
+    "CASE WHEN c_custkey % 25 <= 5 THEN 'New' WHEN c_custkey % 25 <= 12 THEN 'Contacted' "
+    "WHEN c_custkey % 25 <= 19 THEN 'Qualified' WHEN c_custkey % 25 <= 22 THEN 'Disqualified' "
+    "WHEN c_custkey % 25 = 23 THEN ' ' END AS lead_status",
+    # Planted defect: every twentieth lead arrives twice.
+    "explode(sequence(1, IF(c_custkey % 20 = 3, 2, 1))) AS copy",
+)
 
 
 def leads(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
     first_order = (
         _table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min(F.col("o_orderdate").cast("date")).alias("created_date"))
+        .agg(F.expr("min(CAST(o_orderdate AS date)) AS created_date"))
     )
-    balance = F.col("c_acctbal")
-    status = key % 25
-    rows = (
+    return (
         _table(spark, folder, "customer")
-        .join(_geography(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_geography(spark, folder), F.expr("c_nationkey = n_nationkey"))
         .join(first_order, "c_custkey", "left")
-        .select(
-            key.alias("lead_id"),
-            "created_date",
-            F.when(key % 7 == 0, F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(" ")))
-            .otherwise(F.col("c_mktsegment"))
-            .alias("lead_source"),
-            _pick(F.col("c_nationkey") % 6, INDUSTRIES).alias("industry"),
-            F.when(balance < 1000, "1-10")
-            .when(balance < 4000, "11-50")
-            .when(balance < 7000, "51-200")
-            .when(balance < 9000, "201-1000")
-            .otherwise("1000+")
-            .alias("company_size"),
-            F.col("r_name").alias("region"),
-            F.when(status <= 5, "New")
-            .when(status <= 12, "Contacted")
-            .when(status <= 19, "Qualified")
-            .when(status <= 22, "Disqualified")
-            .when(status == 23, " ")
-            .alias("lead_status"),
-        )
+        .selectExpr(*LEAD_RULES)
+        .drop("copy")
     )
-    # Planted defect: every twentieth lead arrives twice.
-    twice = F.when(F.col("lead_id") % 20 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return rows.withColumn("_copy", F.explode(twice)).drop("_copy")
 
 
-def _stage() -> Column:
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    even = key % 2 == 0
-    return (
-        F.when((status == "F") & (key % 20 < 11), CLOSED_WON)
-        .when(status == "F", CLOSED_LOST)
-        .when((status == "O") & even, DISCOVERY)
-        .when(status == "O", EVALUATION)
-        .when(even, PROPOSAL)
-        .otherwise(NEGOTIATION)
-    )
+STAGE = (
+    "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 20 < 11 THEN 'Closed Won' "
+    "WHEN o_orderstatus = 'F' THEN 'Closed Lost' "
+    "WHEN o_orderstatus = 'O' THEN IF(o_orderkey % 2 = 0, 'Discovery', 'Evaluation') "
+    "ELSE IF(o_orderkey % 2 = 0, 'Proposal', 'Negotiation') END AS stage"
+)
+CLOSE_DAY = "date_add(CAST(o_orderdate AS date), CAST(20 + (o_orderkey * 7) % 140 AS int))"
+
+OPPORTUNITY_RULES = (
+    "o_orderkey AS opp_id",
+    "o_custkey AS lead_id",
+    "stage",
+    # Planted defect: missing values.
+    f"CASE WHEN o_orderkey % 50 <> 7 THEN CAST(o_totalprice AS {MONEY}) END AS arr_value",
+    "CAST(o_orderdate AS date) AS created_date",
+    # Planted defect: won deals without a date.
+    "CASE WHEN stage = 'Closed Lost' OR (stage = 'Closed Won' AND o_orderkey % 33 <> 5) "
+    f"THEN {CLOSE_DAY} END AS close_date",
+    "coalesce(CAST(quantity AS int), 1) AS days_in_stage",
+    "owner_id",
+    "CAST(CASE stage WHEN 'Discovery' THEN 10 + o_orderkey % 16 "
+    "WHEN 'Evaluation' THEN 25 + o_orderkey % 21 WHEN 'Proposal' THEN 45 + o_orderkey % 21 "
+    "WHEN 'Negotiation' THEN 65 + o_orderkey % 21 WHEN 'Closed Won' THEN 100 ELSE 0 END AS int) "
+    "AS close_probability",
+)
 
 
-def _close_day() -> Column:
-    key = F.col("o_orderkey")
-    return F.date_add(F.col("o_orderdate").cast("date"), (20 + (key * 7) % 140).cast("int"))
+def _by_order(spark: SparkSession, folder: str, *totals: str) -> DataFrame:
+    lines = _table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    return lines.agg(*[F.expr(total) for total in totals])
 
 
 def opportunities(spark: SparkSession, folder: str) -> DataFrame:
-    key, stage = F.col("o_orderkey"), F.col("stage")
-    lines = (
-        _table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.max("l_quantity").alias("quantity"), F.min("l_suppkey").alias("owner_id"))
-    )
-    probability = (
-        F.when(stage == DISCOVERY, 10 + key % 16)
-        .when(stage == EVALUATION, 25 + key % 21)
-        .when(stage == PROPOSAL, 45 + key % 21)
-        .when(stage == NEGOTIATION, 65 + key % 21)
-        .when(stage == CLOSED_WON, 100)
-        .otherwise(0)
+    lines = _by_order(
+        spark, folder, "max(l_quantity) AS quantity", "min(l_suppkey) AS owner_id"
     )
     return (
         _table(spark, folder, "orders")
-        .withColumn("stage", _stage())
+        .selectExpr("*", STAGE)
         .join(lines, "o_orderkey", "left")
-        .select(
-            key.alias("opp_id"),
-            F.col("o_custkey").alias("lead_id"),
-            "stage",
-            F.when(key % 50 != 7, F.col("o_totalprice").cast(MONEY)).alias("arr_value"),
-            F.col("o_orderdate").cast("date").alias("created_date"),
-            F.when((stage == CLOSED_WON) & (key % 33 != 5), _close_day())
-            .when(stage == CLOSED_LOST, _close_day())
-            .alias("close_date"),
-            F.coalesce(F.col("quantity").cast("int"), F.lit(1)).alias("days_in_stage"),
-            "owner_id",
-            probability.cast("int").alias("close_probability"),
-        )
+        .selectExpr(*OPPORTUNITY_RULES)
     )
 
 
+DEAL_RULES = (
+    "o_orderkey AS deal_id",
+    "o_orderkey AS opp_id",
+    f"CAST(o_totalprice AS {MONEY}) AS arr_value",
+    f"{CLOSE_DAY} AS close_date",
+    # Planted defect: missing segments.
+    "CASE WHEN o_orderkey % 40 = 1 THEN NULL WHEN o_totalprice < 100000 THEN 'SMB' "
+    "WHEN o_totalprice < 300000 THEN 'Mid-Market' ELSE 'Enterprise' END AS customer_segment",
+    "cac",
+    "o_orderkey % 5 = 0 AS renewal_flag",
+)
+COST = (
+    "CAST(sum(CAST(l_extendedprice AS decimal(12,2)) * CAST(l_tax AS decimal(4,2))) "
+    f"AS {MONEY}) AS cac"
+)
+
+
 def closed_deals(spark: SparkSession, folder: str) -> DataFrame:
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    tax = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
-    cost = (
-        _table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(tax).cast(MONEY).alias("cac"))
-    )
     return (
         _table(spark, folder, "orders")
-        .where(_stage() == CLOSED_WON)
-        .join(cost, "o_orderkey", "left")
-        .select(
-            key.alias("deal_id"),
-            key.alias("opp_id"),
-            price.cast(MONEY).alias("arr_value"),
-            _close_day().alias("close_date"),
-            F.when(key % 40 == 1, F.lit(None))
-            .when(price < 100_000, "SMB")
-            .when(price < 300_000, "Mid-Market")
-            .otherwise("Enterprise")
-            .alias("customer_segment"),
-            "cac",
-            (key % 5 == 0).alias("renewal_flag"),
-        )
+        .selectExpr("*", STAGE)
+        .where("stage = 'Closed Won'")
+        .join(_by_order(spark, folder, COST), "o_orderkey", "left")
+        .selectExpr(*DEAL_RULES)
     )
 
 
+REP_RULES = (
+    "s_suppkey AS owner_id",
+    "s_name AS rep_name",
+    "element_at(array('Enterprise', 'Mid-Market', 'SMB'), CAST(s_suppkey % 3 + 1 AS int)) AS team",
+    "r_name AS rep_region",
+    "element_at(array(1200000, 800000, 500000), CAST(s_suppkey % 3 + 1 AS int)) AS annual_quota",
+)
+
+
 def reps(spark: SparkSession, folder: str) -> DataFrame:
-    kind = F.col("s_suppkey") % 3
     return (
         _table(spark, folder, "supplier")
-        .join(_geography(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("owner_id"),
-            F.col("s_name").alias("rep_name"),
-            _pick(kind, TEAMS).alias("team"),
-            F.col("r_name").alias("rep_region"),
-            _pick(kind, QUOTAS).alias("annual_quota"),
-        )
+        .join(_geography(spark, folder), F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(*REP_RULES)
     )
