@@ -117,7 +117,11 @@ def win_rate_by_rep(opps: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def arr_cac_by_segment_source(
-    deals: DataFrame, opps: DataFrame, leads: DataFrame, params: Params
+    deals: DataFrame,
+    opps: DataFrame,
+    leads: DataFrame,
+    params: Params,
+    raw_deals: DataFrame | None = None,
 ) -> DataFrame:
     """Average deal value and cost per customer segment and lead source.
 
@@ -125,10 +129,12 @@ def arr_cac_by_segment_source(
     """
     owners = opps.select("opp_id", "lead_id", F.lit(True).alias("_opp"))
     sources = leads.select("lead_id", "lead_source", F.lit(True).alias("_lead"))
-    linked = many_to_one(deals.select("opp_id", "customer_segment", "arr_value", "cac"), owners, "opp_id", params)
-    linked = many_to_one(linked.where("_opp"), sources, "lead_id", params).where("_lead")
+    rows = deals.select("opp_id", "customer_segment", "arr_value", "cac")
+    linked = many_to_one(rows, owners, "opp_id", params, raw_deals).where("_opp")
+    # Deals spread over leads as the opportunities do.
+    sourced = many_to_one(linked, sources, "lead_id", params, opps, joined=True).where("_lead")
     return (
-        linked.groupBy("customer_segment", "lead_source")
+        sourced.groupBy("customer_segment", "lead_source")
         .agg(
             F.count(F.lit(1)).alias("deals"),
             round_half_up(mean_of(F.col("arr_value")), 0).alias("avg_arr"),

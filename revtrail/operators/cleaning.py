@@ -93,7 +93,12 @@ def impute_arr(opps: DataFrame, small: bool, few_groups: bool, params: Params) -
         F.when(F.col("arr_value").isNull(), 1).otherwise(0).alias("arr_imputed_flag"),
     ]
     kept = [c for c in opps.columns if c != "arr_value"]
-    return lookup(opps, medians, groups, params).select(*kept, *filled)
+    if small:
+        # At most as many medians as rows, so few; they run as a stage of the same job.
+        joined = opps.join(F.broadcast(medians), groups, "left")
+    else:
+        joined = lookup(opps, medians, groups, params)
+    return joined.select(*kept, *filled)
 
 
 def impute_close_date(opps: DataFrame, raw_opps: DataFrame) -> DataFrame:

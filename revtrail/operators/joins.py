@@ -8,6 +8,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revtrail.operators.lineage import checkpointed
 from revtrail.params import Params
 
 # Counters kept while looking for hot keys: the estimate is off by well under 0.1 %.
@@ -78,10 +79,12 @@ def many_to_one(
     on: str | list[str],
     params: Params,
     source: DataFrame | None = None,
+    joined: bool = False,
 ) -> DataFrame:
     """Left join of a fact to a table with at most one row per key.
 
     `source` is the raw fact behind `many`: the same keys, but cheaper to look at.
+    `joined` says that `many` is itself the result of a join.
 
     Without hot keys this is a plain join and Spark picks the strategy. Rows of hot
     keys, and rows without a key, never enter the shuffle: they meet the few matching
@@ -99,6 +102,9 @@ def many_to_one(
     few = one.where(is_hot() & ~_any_null(on))
     if not fits(few, params.broadcast_rows):
         return many.join(one, on, "left")
+    if joined:
+        # Both halves read `many`: write it once instead of joining it twice.
+        many = checkpointed(many)
     near = many.where(is_hot()).join(F.broadcast(few), on, "left")
     far = many.where(~is_hot()).join(one, on, "left")
     return near.unionByName(far)
@@ -118,6 +124,6 @@ def lookup(
     """
     few = table.limit(params.broadcast_rows + 1).toArrow()
     if few.num_rows > params.broadcast_rows:
-        return many_to_one(rows, table, on, params, source)
+        return many_to_one(rows, table, on, params, source, joined=True)
     local = rows.sparkSession.createDataFrame(few, table.schema)
     return rows.join(F.broadcast(local), on, "left")

@@ -45,8 +45,11 @@ def exact_quantiles(
     """
     by = list(by)
     if small:
-        return rows.where(F.col(value).isNotNull()).groupBy(*by).agg(
-            *[F.percentile(value, p).alias(name) for name, p in probabilities.items()]
+        known = rows.where(F.col(value).isNotNull()).groupBy(*by)
+        places = [float(p) for p in probabilities.values()]
+        found = known.agg(F.percentile(F.col(value).cast("double"), places).alias("_all"))
+        return found.select(
+            *by, *[F.get("_all", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
         )
     values = rows.where(F.col(value).isNotNull()).select(
         *by, F.col(value).alias("_value"), _bucket(F.col(value)).alias("_bucket")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrail.functions.numbers import mean_of, round_half_up
+from revtrail.operators.lineage import checkpointed
 from revtrail.params import HIGH_VALUE, LONG_TAIL, MID_MARKET, Params
 
 FEATURE_COLUMNS = ("arr_value", "cac", "days_in_stage")
@@ -35,22 +35,6 @@ def standardized_features(deals: DataFrame) -> DataFrame:
     return rows.select("deal_id", *[round_half_up(z(c), 6).alias(f"z_{c}") for c in FEATURE_COLUMNS])
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the folder the cluster provides.
-
-    Only a local session without such a folder gets one of its own.
-    """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return rows.checkpoint()
-
-
 def scaled(deals: DataFrame) -> DataFrame:
     """Deals with the scaled feature vector, ready for repeated passes."""
     numeric = deals.select("*", *[F.col(c).cast("double").alias(f"_{c}") for c in FEATURE_COLUMNS])
@@ -69,12 +53,14 @@ def best_model(vectors: DataFrame, params: Params) -> KMeansModel:
         featuresCol="features",
         predictionCol="cluster",
     )
-    starts = [
-        {estimator.seed: params.kmeans_seed + i} for i in range(params.kmeans_starts)
-    ]
-    rows = vectors.select("features")
-    with ThreadPool(min(4, len(starts))) as pool:
-        models = pool.map(lambda start: estimator.fit(rows, start), starts)
+    starts = [{estimator.seed: params.kmeans_seed + i} for i in range(params.kmeans_starts)]
+    # One cached copy for all starts; a lost executor reads its part from the checkpoint.
+    rows = vectors.select("features").persist()
+    try:
+        with ThreadPool(min(4, len(starts))) as pool:
+            models = pool.map(lambda start: estimator.fit(rows, start), starts)
+    finally:
+        rows.unpersist()
     return min(models, key=lambda m: m.summary.trainingCost)
 
 

@@ -88,7 +88,7 @@ def _unknown(columns: set[str], known: Iterable[str], view: str) -> None:
 
 def _with_reps(ds, rows: DataFrame, attributes: list[str], source: DataFrame) -> DataFrame:
     reps = ds.reps.select("owner_id", *attributes)
-    return many_to_one(rows, reps, "owner_id", ds.params, source)
+    return many_to_one(rows, reps, "owner_id", ds.params, source, joined=True)
 
 
 def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str], source: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str], source: Da
     # The length of the calendar is known before the join is planned.
     if small_spine(*ds.calendar):
         return rows.join(F.broadcast(days), day, "left")
-    return many_to_one(rows, days, day, ds.params, source)
+    return many_to_one(rows, days, day, ds.params, source, joined=True)
 
 
 def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> DataFrame:
@@ -130,7 +130,7 @@ def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> Da
     if "customer_segment" in wanted:
         segments = closed_deals_clean(ds.closed_deals, ds.params)
         segments = segments.select("opp_id", "customer_segment").distinct()
-        rows = many_to_one(rows, segments, "opp_id", ds.params, ds.opportunities)
+        rows = many_to_one(rows, segments, "opp_id", ds.params, ds.opportunities, joined=True)
     return rows.select(*columns)
 
 
@@ -156,7 +156,7 @@ def deal_view(ds, columns: Iterable[str]) -> DataFrame:
     if leads:
         # Deals spread over leads and reps as the opportunities do.
         one = ds.leads_clean.select("lead_id", *leads)
-        rows = many_to_one(rows, one, "lead_id", ds.params, ds.opportunities)
+        rows = many_to_one(rows, one, "lead_id", ds.params, ds.opportunities, joined=True)
     if reps:
         rows = _with_reps(ds, rows, reps, ds.opportunities)
     if dates:

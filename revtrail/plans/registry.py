@@ -161,7 +161,7 @@ ANSWERS: dict[str, Answer] = {
         ds.opportunities_clean(["owner_id", "stage"]), ds.reps
     ),
     "arr_cac_by_segment_source": lambda ds: analytics.arr_cac_by_segment_source(
-        ds.deals_clean, ds.opportunities_clean(["opp_id", "lead_id"]), ds.leads_clean, ds.params
+        ds.deals_clean, ds.opportunities, ds.leads_clean, ds.params, ds.closed_deals
     ),
     "rolling_3mo_arr": lambda ds: analytics.rolling_3mo_arr(ds.deals_clean),
     "forecast_by_quarter": lambda ds: analytics.forecast_by_quarter(

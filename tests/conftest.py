@@ -22,6 +22,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="warehouse-"))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="checkpoint-"))
         .getOrCreate()
