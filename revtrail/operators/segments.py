@@ -120,6 +120,10 @@ def kmeans_segments(deals: DataFrame, params: Params) -> DataFrame:
 
 
 def cluster_mix(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("customer_segment", "cluster_label").agg(
+    """Deals per customer segment and archetype, with the archetype's fixed colour."""
+    label = F.col("cluster_label")
+    colour = F.when(label == HIGH_VALUE, "green").when(label == MID_MARKET, "blue")
+    counts = segments.groupBy("customer_segment", "cluster_label").agg(
         F.count("deal_id").alias("n_deals")
     )
+    return counts.withColumn("colour", colour.otherwise("grey"))

@@ -32,6 +32,7 @@ from revtrail.operators.features import (
     with_stalled_flag,
 )
 from revtrail.operators.joins import many_to_one
+from revtrail.operators.segments import FEATURE_COLUMNS, kmeans_segments
 from revtrail.sources.dimensions import small_spine
 
 FEATURES = ("days_since_created", "is_stalled", "deal_size_band")
@@ -70,8 +71,11 @@ DEAL_VIEW = (
     *LEAD_ATTRIBUTES,
     *REP_ATTRIBUTES,
     *DATE_ATTRIBUTES,
+    "cluster_label",
 )
 
+SEGMENTED_COLUMNS = (*DEAL_COLUMNS, "cac_efficiency", "days_in_stage", "cluster_label")
+
 _SOURCES_OF = {
     "days_since_created": ("stage", "created_date"),
     "is_stalled": ("stage", "created_date"),
@@ -146,6 +150,8 @@ def deal_view(ds, columns: Iterable[str]) -> DataFrame:
         linked.add("lead_id")
     if reps:
         linked.add("owner_id")
+    if "cluster_label" in wanted:
+        linked.add("days_in_stage")
 
     rows = closed_deals_clean(ds.closed_deals, ds.params)
     if "cac_efficiency" in wanted:
@@ -161,6 +167,9 @@ def deal_view(ds, columns: Iterable[str]) -> DataFrame:
         rows = _with_reps(ds, rows, reps, ds.opportunities)
     if dates:
         rows = _with_dates(ds, rows, "close_date", dates, ds.closed_deals)
+    if "cluster_label" in wanted:
+        kept = dict.fromkeys([*columns, *FEATURE_COLUMNS])
+        rows = kmeans_segments(rows.select(*[c for c in kept if c != "cluster_label"]), ds.params)
     return rows.select(*columns)
 
 

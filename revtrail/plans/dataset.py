@@ -8,7 +8,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrail.operators import cleaning, star
+from revtrail.operators import cleaning, forecast, star
 from revtrail.params import Params
 from revtrail.sources import dimensions, files, fixtures
 
@@ -107,14 +107,20 @@ class Dataset:
         return star.deal_view(self, columns)
 
     def build(self, folder: str, fmt: str = "parquet") -> None:
-        """Write the cleaned and enriched tables once, for many later queries."""
+        """Write the tables of the star schema once, for many later queries."""
         files.write_outputs(
             {
                 "leads_clean": self.leads_clean,
                 "opportunities_modelled": self.opportunity_view(
                     [*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES]
                 ),
-                "closed_deals_clean": self.deals_clean,
+                "closed_deals_segmented": self.deal_view(star.SEGMENTED_COLUMNS),
+                "forecast_summary": forecast.forecast_summary(
+                    self.opportunities_clean(
+                        ["stage", "arr_value", "close_probability", "created_date"]
+                    ),
+                    self.params,
+                ),
                 "dim_date": self.dim_date,
                 "dim_rep": self.reps,
             },

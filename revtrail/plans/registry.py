@@ -188,6 +188,7 @@ ANSWERS: dict[str, Answer] = {
     "kmeans_profile": lambda ds: segments.name_clusters(segments.cluster_profile(_kmeans(ds))),
     "kmeans_cluster_counts": lambda ds: quality.frequencies(_kmeans(ds), "cluster_label"),
     "cluster_naming": _named_by_segment,
+    "closed_deals_segmented": lambda ds: ds.deal_view(star.SEGMENTED_COLUMNS),
     "cluster_mix": lambda ds: segments.cluster_mix(_kmeans(ds)),
     "forecast_monthly": lambda ds: forecast.forecast_monthly(
         ds.opportunities_clean(FORECAST), ds.params
@@ -200,7 +201,7 @@ ANSWERS: dict[str, Answer] = {
     "star_opportunities_created": lambda ds: ds.opportunity_view(
         ["opp_id", "created_date", *star.DATE_ATTRIBUTES], date_role="created"
     ),
-    "star_deals": lambda ds: ds.deal_view(star.DEAL_VIEW),
+    "star_deals": lambda ds: ds.deal_view(c for c in star.DEAL_VIEW if c != "cluster_label"),
     # measures
     "m01_total_leads": _measure("total_leads", "region"),
     "m02_qualified_leads": _measure("qualified_leads", "lead_source"),

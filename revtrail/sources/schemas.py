@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from revtrail.functions.numbers import MONEY
 
@@ -72,6 +72,8 @@ def typed(rows: DataFrame, table: str) -> DataFrame:
     """
     columns = []
     for field in schema_of(table).fields:
-        column = F.nullif(F.trim(F.col(field.name).cast("string")), F.lit(""))
-        columns.append(column.cast(field.dataType).alias(field.name))
+        text = F.col(field.name).cast("string")
+        if not isinstance(field.dataType, StringType):
+            text = F.trim(text)
+        columns.append(F.nullif(text, F.lit("")).cast(field.dataType).alias(field.name))
     return rows.select(*columns)

@@ -26,6 +26,7 @@ def test_only_clustering_has_no_sql():
         "kmeans_profile",
         "kmeans_cluster_counts",
         "cluster_mix",
+        "closed_deals_segmented",
     }
     assert set(SQL) <= set(QUERIES)
 

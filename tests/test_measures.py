@@ -1,9 +1,13 @@
+import dataclasses
+
 import pytest
-from conftest import D
+from conftest import SF_DIR, D
 
 from revtrail.operators import measures, star
 from revtrail.operators.measures import MEASURES, Between, evaluate
+from revtrail.params import LONG_TAIL
 from revtrail.plans import report
+from revtrail.plans.dataset import Dataset
 
 
 def one(rows):
@@ -56,6 +60,16 @@ def test_filters_reach_only_what_they_can(business):
     assert row == {"total_leads": 2, "closed_won_count": 1, "avg_cac": 10.0}
 
 
+def test_archetypes_slice_the_deals(spark):
+    ds = Dataset.from_testdata(spark, SF_DIR)
+    ds.params = dataclasses.replace(ds.params, kmeans_starts=2)
+    total = one(evaluate(ds, ["segment_arr"]))["segment_arr"]
+    rows = evaluate(ds, ["segment_arr"], ["cluster_label"]).collect()
+    assert len(rows) == 3 and sum(r["segment_arr"] for r in rows) == total
+    tail = one(evaluate(ds, ["segment_arr"], filters={"cluster_label": [LONG_TAIL]}))
+    assert tail["segment_arr"] in {r["segment_arr"] for r in rows if r["cluster_label"] == LONG_TAIL}
+
+
 def test_unreachable_axis(business):
     with pytest.raises(ValueError, match="does not reach the leads"):
         evaluate(business, ["total_leads"], ["team"])

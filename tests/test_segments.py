@@ -39,9 +39,9 @@ def test_clear_groups_are_found(spark):
     labelled = segments.kmeans_segments(deals(spark), Params(kmeans_starts=3))
     mix = {tuple(r) for r in segments.cluster_mix(labelled).collect()}
     assert mix == {
-        ("Enterprise", HIGH_VALUE, 30),
-        ("SMB", LONG_TAIL, 30),
-        ("Mid-Market", MID_MARKET, 30),
+        ("Enterprise", HIGH_VALUE, 30, "green"),
+        ("SMB", LONG_TAIL, 30, "grey"),
+        ("Mid-Market", MID_MARKET, 30, "blue"),
     }
 
 

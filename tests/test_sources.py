@@ -53,6 +53,13 @@ def test_typed_import(spark):
         "cac string, renewal_flag string",
     )
     first, second = typed(text, "closed_deals").collect()
+    padded = spark.createDataFrame(
+        [("L", "2025-01-01", " paid ads ", "", "1", "E", " ")],
+        "lead_id string, created_date string, lead_source string, industry string, "
+        "company_size string, region string, lead_status string",
+    )
+    lead = typed(padded, "leads").first()
+    assert (lead["lead_source"], lead["industry"], lead["lead_status"]) == (" paid ads ", None, " ")
     assert tuple(first) == ("D1", "O1", M("8900.00"), D("2025-02-12"), "SMB", M("3260.00"), True)
     assert second["arr_value"] is None and second["close_date"] is None
     broken = text.selectExpr("deal_id", "opp_id", "'x' AS arr_value", "close_date", "customer_segment", "cac", "renewal_flag")
@@ -69,5 +76,8 @@ def test_build_writes_tables_that_are_read_back(spark, tmp_path):
     ds.build(str(tmp_path))
     again = spark.read.parquet(str(tmp_path / "opportunities_modelled"))
     assert again.count() == ds.opportunities.count()
+    deals = spark.read.parquet(str(tmp_path / "closed_deals_segmented"))
+    assert deals.where("cluster_label is null").count() == 0 and deals.count() == ds.deals_clean.count()
+    assert spark.read.parquet(str(tmp_path / "forecast_summary")).count() > 4
     counts = {r["tbl"]: (r["n_rows"], r["n_columns"]) for r in row_counts({"m": again}).collect()}
     assert counts == {"m": (1500, 16)}
