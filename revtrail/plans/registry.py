@@ -154,7 +154,7 @@ ANSWERS: dict[str, Answer] = {
     "stage_velocity": lambda ds: analytics.stage_velocity(
         ds.opportunities_clean(["stage", "days_in_stage"])
     ),
-    "pipeline_coverage": lambda ds: analytics.pipeline_coverage(
+    "coverage_ratio": lambda ds: analytics.pipeline_coverage(
         ds.opportunities_clean(["stage", "arr_value"]), ds.params
     ),
     "win_rate_by_rep": lambda ds: analytics.win_rate_by_rep(
@@ -172,7 +172,7 @@ ANSWERS: dict[str, Answer] = {
         ds.params,
     ),
     # features, segments, forecast
-    "pipeline_age": lambda ds: ds.opportunity_view(["opp_id", "stage", "days_since_created"]),
+    "open_deal_age": lambda ds: ds.opportunity_view(["opp_id", "stage", "days_since_created"]),
     "stalled_deals": lambda ds: ds.opportunity_view(
         ["opp_id", "stage", "days_since_created", "is_stalled"]
     ).where("is_stalled"),
@@ -212,8 +212,8 @@ ANSWERS: dict[str, Answer] = {
     "m07_closed_won_arr": _measure("closed_won_arr", "year", "quarter"),
     "m08_avg_deal_size": _measure("avg_deal_size", "company_size"),
     "m09_avg_days_to_close": _measure("avg_days_to_close", "owner_id"),
-    "m10a_open_pipeline_arr": _measure("open_pipeline_arr", "region"),
-    "m10b_pipeline_coverage": _measure("pipeline_coverage", "region"),
+    "m10a_open_arr": _measure("open_pipeline_arr", "region"),
+    "m10b_coverage_ratio": _measure("pipeline_coverage", "region"),
     "m11_forecast_arr": _measure("forecast_arr", "industry", "company_size"),
     "m12_forecast_variance": _measure("forecast_variance", "region"),
     "m13_forecast_variance_rate": _measure("forecast_variance_rate", "region"),
