@@ -14,7 +14,7 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir", None)
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
