@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtrail.llm import (
+    bottomk_dedup,
     compression_bands,
+    edit_decontam,
     ppm_language,
+    secret_cnn,
     slack_packing,
+    sql,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +33,20 @@ def op4_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     return slack_packing.pack(_table(spark, folder, "documents"), TOKENIZER)
 
 
+def op6_secret_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    net = secret_cnn.train(docs)
+    return docs.select("doc_id", secret_cnn.spans(F.col("text"), net).alias("_s")).select("doc_id", "_s.*")
+
+
+def op7_bottomk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bottomk_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op8_edit_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     trees = ppm_language.train(docs.where(~ppm_language.held_out()))
@@ -44,9 +62,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op4_slack_packing": op4_slack_packing,
+        "op6_secret_cnn": op6_secret_cnn,
+        "op7_bottomk_dedup": op7_bottomk_dedup,
+        "op8_edit_decontam": op8_edit_decontam,
         "op10_ppm_language": op10_ppm_language,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_bottomk_dedup": sql.NEAR_DUPLICATES}
