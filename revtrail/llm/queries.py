@@ -16,6 +16,7 @@ from revtrail.llm import (
     secret_cnn,
     slack_packing,
     sql,
+    suffix_dedup,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +34,10 @@ def op4_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     return slack_packing.pack(_table(spark, folder, "documents"), TOKENIZER)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, folder, "documents"))
+
+
 def op6_secret_cnn(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     net = secret_cnn.train(docs)
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_bands": op1_compression_bands,
         "op4_slack_packing": op4_slack_packing,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_secret_cnn": op6_secret_cnn,
         "op7_bottomk_dedup": op7_bottomk_dedup,
         "op8_edit_decontam": op8_edit_decontam,
