@@ -54,11 +54,13 @@ def slices(sizes: Iterable[int], most: int = SLICE_BYTES) -> Iterator[tuple[int,
         yield start, stop
 
 
-def documents_in(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+def documents_in(
+    batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of (rows, texts); the second column holds the text."""
     for batch in batches:
         texts = utf8(batch.column(1))
-        for start, stop in slices(len(t or b"") + 64 for t in texts):
+        for start, stop in slices((len(t or b"") + 64 for t in texts), most):
             yield batch.slice(start, stop - start), texts[start:stop]
 
 
@@ -83,6 +85,21 @@ def per_text(judge: Callable[[list[bytes | None]], list[pa.Array]], kind: str) -
 CHUNK = "chunk long, ids binary, known binary, sizes binary, data binary"
 
 
+def numbered(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
+    """Where `packed` puts each document: chunk, place in it, doc_id."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for batch, _ in documents_in(batches, most):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk] * batch.num_rows, pa.int64()), pa.array(range(batch.num_rows), pa.int32()), ids_of(batch)],
+                names=["chunk", "number", "doc_id"],
+            )
+            chunk += 1
+
+    return id_and_text(docs).mapInArrow(number, "chunk long, number int, doc_id long")
+
+
 def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
     """Documents as compressed chunks of about `most` bytes of text.
 
@@ -93,7 +110,7 @@ def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch, texts in documents_in(batches):
+        for batch, texts in documents_in(batches, most):
             ids = ids_of(batch)
             known = np.asarray([v.is_valid for v in ids], dtype=np.uint8)
             values = np.asarray(ids.fill_null(0), dtype="<i8")

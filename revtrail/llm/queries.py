@@ -12,14 +12,18 @@ from revtrail.llm import (
     bottomk_dedup,
     compression_bands,
     edit_decontam,
+    kneser_ney,
+    paragraph_dedup,
     ppm_language,
     secret_cnn,
     slack_packing,
     sql,
     suffix_dedup,
+    wordpiece,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +34,14 @@ def op1_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return compression_bands.quality_bands(_table(spark, folder, "documents"))
 
 
+def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op3_wordpiece(spark: SparkSession, folder: str) -> DataFrame:
+    return wordpiece.count_tokens(_table(spark, folder, "documents"), PIECES)
+
+
 def op4_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     return slack_packing.pack(_table(spark, folder, "documents"), TOKENIZER)
 
@@ -52,6 +64,10 @@ def op8_edit_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return edit_decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op9_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_dedup.repeated_paragraphs(_table(spark, folder, "documents"))
+
+
 def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     trees = ppm_language.train(docs.where(~ppm_language.held_out()))
@@ -66,11 +82,14 @@ def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_bands": op1_compression_bands,
+        "op2_kneser_ney": op2_kneser_ney,
+        "op3_wordpiece": op3_wordpiece,
         "op4_slack_packing": op4_slack_packing,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_secret_cnn": op6_secret_cnn,
         "op7_bottomk_dedup": op7_bottomk_dedup,
         "op8_edit_decontam": op8_edit_decontam,
+        "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_ppm_language": op10_ppm_language,
     }
 
