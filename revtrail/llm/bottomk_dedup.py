@@ -186,11 +186,16 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     and every document without words."""
     rows = labelled(docs, **how)
     firsts = rows.where("root is not null").groupBy("root")
-    firsts = firsts.agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("first.*", F.lit(True).alias("_once"))
-    blank = rows.where("root is null").select("doc_id", "mark", F.lit(False).alias("_once")).distinct()
-    wanted = firsts.unionByName(blank).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_once")
-    marked = docs.withColumn("_text_mark", F.xxhash64(F.col("text").cast("string")))
-    same = marked["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & (marked["_text_mark"] == wanted["_mark"])
-    kept = marked.join(wanted, same)
-    once = kept.where("_once").dropDuplicates(["_id", "_mark"])
-    return once.unionByName(kept.where("not _once")).select(*docs.columns)
+    firsts = firsts.agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("first.*", F.lit(True).alias("once"))
+    blank = rows.where("root is null").select("doc_id", "mark", F.lit(False).alias("once")).distinct()
+    wanted = firsts.unionByName(blank)
+    # the columns of the documents travel as one, so that no name of theirs meets one of ours
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("long").alias("row_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("row_mark"),
+    )
+    same = whole["row_id"].eqNullSafe(wanted["doc_id"]) & (whole["row_mark"] == wanted["mark"])
+    kept = whole.join(wanted, same)
+    once = kept.where("once").dropDuplicates(["row_id", "row_mark"])
+    return once.unionByName(kept.where("not once")).select("row.*")
