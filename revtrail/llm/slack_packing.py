@@ -16,12 +16,17 @@ from __future__ import annotations
 
 import functools
 import json
+import re
+import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,49 +38,97 @@ END = 2
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 )
-_CACHED = 400_000
-
-
-class TokenBytes(dict):
-    """Token ids of a piece of text as little-endian 32-bit numbers, kept by piece.
-
-    A blank followed by a character that is no white space always starts a new
-    pre-token of a byte-level vocabulary, so a text may be cut in front of such blanks
-    and its pieces, most of them seen before, looked up.
+_CACHED = 250_000
+# A blank that white space or the end follows is no place to cut.
+_MARKS = ".,;:!?"
+_UNEVEN = re.compile(r" (?:\s|\Z)")
+
+
+def byte_symbols() -> dict[str, int]:
+    """The byte for each character by which byte-level vocabularies write bytes: printable
+    ones stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def ranks(described: dict) -> dict[bytes, int] | None:
+    """Byte strings with their ids if the ids are the order of the merges, else None."""
+    model, before = described["model"], described.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return None
+    if described.get("normalizer") or not before.get("use_regex", True):
+        return None
+    vocabulary, byte = model["vocab"], byte_symbols()
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if [vocabulary.get(m) for m in merges] != list(range(256, 256 + len(merges))):
+        return None
+    special = {t["content"] for t in described.get("added_tokens", [])}
+    return {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+
+
+class Pieces(dict):
+    """Ids of a blank and the piece of text after it, by that piece; made when first asked for."""
+
+    def __init__(self, merger: tiktoken.Encoding):
+        self.merger = merger
+        self.single = merger._core_bpe.encode_single_piece
+
+    def __missing__(self, piece: str) -> bytes:
+        head = piece.rstrip(_MARKS)
+        if not head.isalpha():
+            found = numbers(self.merger.encode_ordinary(" " + piece))
+        elif head is piece or head == piece:
+            found = numbers(self.single((" " + piece).encode()))
+        else:  # letters are one pre-token, the marks behind them another
+            found = self[head] + numbers(self.single(piece[len(head) :].encode()))
+        self[piece] = found
+        return found
+
+
+def numbers(ids: list[int]) -> bytes:
+    made = array("I", ids)
+    if sys.byteorder != "little":
+        made.byteswap()
+    return made.tobytes()
+
+
+class TokenBytes:
+    """Token ids of texts as little-endian 32-bit numbers, by the tokenizer of a file.
+
+    A blank before a character that is no white space always starts a new pre-token of a
+    byte-level vocabulary. Such texts are cut at their blanks, and the ids of the pieces,
+    most of them seen before, are looked up; new pieces are merged by rank.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizers.Tokenizer.from_file(path)
         with open(path) as file:
-            before = json.load(file).get("pre_tokenizer") or {}
-        self.cuttable = before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _pieces(self, text: str) -> list[str] | None:
+            described = json.load(file)
+        self.special = [t["content"] for t in described.get("added_tokens", [])]
+        found = ranks(described)
+        self.merger = found and tiktoken.Encoding(
+            "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={}
+        )
+        self.known = found and Pieces(self.merger)
+
+    def _one(self, text: str) -> bytes:
+        if self.merger is None or any(s in text for s in self.special):
+            return numbers(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if _UNEVEN.search(text):
+            return numbers(self.merger.encode_ordinary(text))
         first, *rest = text.split(" ")
-        if any(not p or p[0].isspace() for p in rest):
-            return None
-        return ([first] if first else []) + [" " + p for p in rest]
+        return numbers(self.merger.encode_ordinary(first)) + b"".join(map(self.known.__getitem__, rest))
+
+    def forget(self) -> None:
+        """Leave no pieces behind in a worker that goes on to other work."""
+        if self.known:
+            self.known.clear()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        whole = [(t or b"").decode("utf-8", "replace") for t in texts]
-        cut = [self._pieces(t) if self.cuttable else None for t in whole]
-        new = list({p for pieces in cut if pieces for p in pieces if p not in self})
-        if len(self) + len(new) > _CACHED:
-            self.clear()
-            new = list({p for pieces in cut if pieces for p in pieces})
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            self.update(zip(some, self._ids(some)))
-        return [
-            self._ids([text])[0] if pieces is None else b"".join([self[p] for p in pieces])
-            for text, pieces in zip(whole, cut)
-        ]
+        if self.known and len(self.known) > _CACHED:
+            self.known.clear()
+        return [self._one((t or b"").decode("utf-8", "replace")) for t in texts]
 
 
 @functools.cache
@@ -95,7 +148,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         tokens, seen = token_bytes(path), Counter()
-        mark = np.asarray([end], dtype="<u4").tobytes()
+        mark = numbers([end])
         for batch, texts in documents_in(batches):
             rows = []
             for doc_id, ids in zip(ids_of(batch).to_pylist(), tokens.encode(texts)):
@@ -109,6 +162,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names
             )
+        tokens.forget()
 
     return id_and_text(docs).mapInArrow(cut, PIECES)
 
