@@ -16,7 +16,7 @@ from revtrail.functions.deals import (
     is_won,
     weighted_points,
 )
-from revtrail.functions.numbers import mean_of, percent, ratio, round_half_up
+from revtrail.functions.numbers import percent, ratio, round_half_up, rounded_mean, rounded_ratio
 from revtrail.operators.joins import many_to_one
 from revtrail.params import QUALIFIED, STAGES, Params
 
@@ -69,7 +69,7 @@ def stage_velocity(opps: DataFrame) -> DataFrame:
     """Rows, average days and share of the pipeline per stage, in funnel order."""
     per_stage = opps.groupBy("stage").agg(
         F.count(F.lit(1)).alias("opp_count"),
-        round_half_up(F.avg("days_in_stage"), 1).alias("avg_days_in_stage"),
+        rounded_mean(F.col("days_in_stage"), 1).alias("avg_days_in_stage"),
     )
     position = reduce(
         lambda found, at: F.when(F.col("stage") == at[1], at[0]).otherwise(found),
@@ -90,7 +90,7 @@ def pipeline_coverage(opps: DataFrame, params: Params) -> DataFrame:
     return opps.where(is_open(F.col("stage"))).agg(
         round_half_up(total, 0).alias("open_pipeline_arr"),
         F.max(target).alias("quarterly_target"),
-        round_half_up(ratio(total, F.max(target)), 2).alias("coverage_ratio"),
+        rounded_ratio(total, F.max(target), 2).alias("coverage_ratio"),
     )
 
 
@@ -121,7 +121,6 @@ def arr_cac_by_segment_source(
     opps: DataFrame,
     leads: DataFrame,
     params: Params,
-    raw_deals: DataFrame | None = None,
 ) -> DataFrame:
     """Average deal value and cost per customer segment and lead source.
 
@@ -130,15 +129,15 @@ def arr_cac_by_segment_source(
     owners = opps.select("opp_id", "lead_id", F.lit(True).alias("_opp"))
     sources = leads.select("lead_id", "lead_source", F.lit(True).alias("_lead"))
     rows = deals.select("opp_id", "customer_segment", "arr_value", "cac")
-    linked = many_to_one(rows, owners, "opp_id", params, raw_deals).where("_opp")
+    linked = many_to_one(rows, owners, "opp_id", params).where("_opp")
     # Deals spread over leads as the opportunities do.
-    sourced = many_to_one(linked, sources, "lead_id", params, opps, joined=True).where("_lead")
+    sourced = many_to_one(linked, sources, "lead_id", params, opps).where("_lead")
     return (
         sourced.groupBy("customer_segment", "lead_source")
         .agg(
             F.count(F.lit(1)).alias("deals"),
-            round_half_up(mean_of(F.col("arr_value")), 0).alias("avg_arr"),
-            round_half_up(mean_of(F.col("cac")), 0).alias("avg_cac"),
+            rounded_mean(F.col("arr_value"), 0).alias("avg_arr"),
+            rounded_mean(F.col("cac"), 0).alias("avg_cac"),
         )
         .orderBy("customer_segment", F.desc("avg_arr"), "lead_source")
     )
@@ -165,7 +164,7 @@ def forecast_by_quarter(opps: DataFrame) -> DataFrame:
     return (
         opps.where(is_open(F.col("stage")))
         .groupBy(F.year(day).alias("yr"), quarter_name(day).alias("qtr"))
-        .agg(round_half_up(points / 100, 0).alias("forecast_arr"))
+        .agg(rounded_ratio(points, F.lit(100), 0).alias("forecast_arr"))
         .orderBy("yr", "qtr")
     )
 

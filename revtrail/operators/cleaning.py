@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.functions.deals import blank_to, canonical_label, is_won, segment_of
 from revtrail.functions.numbers import MONEY
-from revtrail.operators.joins import fits, is_small, lookup, many_to_one
+from revtrail.operators.joins import many_to_one
 from revtrail.operators.quantiles import exact_quantiles
 from revtrail.params import CLOSED_WON, NEW, QUALIFIED, Params
 
@@ -63,42 +61,29 @@ def stage_averages(opps: DataFrame) -> DataFrame:
     )
 
 
-def arr_medians(opps_with_leads: DataFrame, small: bool, few_groups: bool) -> DataFrame:
-    """Exact median deal value per industry and company size."""
+def arr_medians(opps_with_leads: DataFrame) -> DataFrame:
+    """Exact median deal value per industry and company size, to four places."""
     return exact_quantiles(
-        opps_with_leads,
-        "arr_value",
-        {"median_arr": 0.5},
-        ("industry", "company_size"),
-        small,
-        few_groups,
+        opps_with_leads, "arr_value", {"median_arr": 0.5}, ("industry", "company_size")
     )
 
 
-def few_lead_groups(leads: DataFrame, params: Params) -> bool:
-    """Checks the number of median groups on the (much smaller) lead table."""
-    return fits(leads.select("industry", "company_size").distinct(), params.broadcast_rows)
-
-
-def impute_arr(opps: DataFrame, small: bool, few_groups: bool, params: Params) -> DataFrame:
+def impute_arr(opps: DataFrame, params: Params) -> DataFrame:
     """Fill missing deal values with the median of the lead's industry and size.
 
-    A group without any known value, and an opportunity without a lead, stay null.
+    A group without any known value, and an opportunity without a lead, stay null. Only
+    rows without a value meet the medians; halves of a cent are rounded up.
     """
     groups = ["industry", "company_size"]
     known = F.col("industry").isNotNull() & F.col("company_size").isNotNull()
-    medians = arr_medians(opps.where(known), small, few_groups)
-    filled = [
-        F.coalesce("arr_value", F.col("median_arr").cast(MONEY)).alias("arr_value"),
-        F.when(F.col("arr_value").isNull(), 1).otherwise(0).alias("arr_imputed_flag"),
-    ]
+    medians = arr_medians(opps.where(known))
     kept = [c for c in opps.columns if c != "arr_value"]
-    if small:
-        # At most as many medians as rows, so few; they run as a stage of the same job.
-        joined = opps.join(F.broadcast(medians), groups, "left")
-    else:
-        joined = lookup(opps, medians, groups, params)
-    return joined.select(*kept, *filled)
+    full = opps.where("arr_value is not null").select(*kept, "arr_value", F.lit(0).alias("arr_imputed_flag"))
+    missing = many_to_one(opps.where("arr_value is null").drop("arr_value"), medians, groups, params)
+    filled = missing.select(
+        *kept, F.col("median_arr").cast(MONEY).alias("arr_value"), F.lit(1).alias("arr_imputed_flag")
+    )
+    return full.unionByName(filled)
 
 
 def impute_close_date(opps: DataFrame, raw_opps: DataFrame) -> DataFrame:
@@ -144,8 +129,7 @@ def opportunities_clean(
         one = leads_clean(leads, params).select("lead_id", *sorted(attributes))
         rows = many_to_one(rows, one, "lead_id", params)
     if fill_arr:
-        small = is_small(opps, params)
-        rows = impute_arr(rows, small, small or few_lead_groups(leads, params), params)
+        rows = impute_arr(rows, params)
     if fill_date:
         rows = impute_close_date(rows, opps)
     return rows.select(*columns)
@@ -159,16 +143,18 @@ def closed_deals_clean(deals: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def closed_deals_build(opps: DataFrame, leads: DataFrame, last_day: date, params: Params) -> DataFrame:
-    """Won opportunities as deals: source of the lead, close date not after the last day."""
-    won = opps.where(is_won(F.col("stage"))).select("opp_id", "lead_id", "arr_value", "close_date")
-    sources = leads_clean(leads, params).select("lead_id", "lead_source")
-    close = F.col("close_date")
-    return many_to_one(won, sources, "lead_id", params, source=opps).select(
+def closed_deals_build(opps_clean: DataFrame, params: Params) -> DataFrame:
+    """Won opportunities, cleaned and with their lead's source, as deals.
+
+    No deal closes after the last day of the calendar. A deal without a value has no segment.
+    """
+    won = opps_clean.where(is_won(F.col("stage")))
+    close, arr = F.col("close_date"), F.col("arr_value")
+    return won.select(
         F.col("opp_id").alias("deal_id"),
         "opp_id",
         "arr_value",
-        F.when(close.isNotNull(), F.least(close, F.lit(last_day))).alias("close_date"),
-        segment_of(F.col("arr_value"), params.segment_edges).alias("customer_segment"),
+        F.when(close.isNotNull(), F.least(close, F.lit(params.last_day))).alias("close_date"),
+        F.when(arr.isNotNull(), segment_of(arr, params.segment_edges)).alias("customer_segment"),
         "lead_source",
     )

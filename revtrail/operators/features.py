@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.functions.deals import days_since, is_open
-from revtrail.functions.numbers import ratio, round_half_even
+from revtrail.functions.numbers import rounded_ratio
 from revtrail.operators.cleaning import stage_averages
-from revtrail.operators.joins import is_small, lookup
+from revtrail.operators.joins import label_lookup
 from revtrail.operators.quantiles import exact_quantiles
 from revtrail.params import SIZE_BANDS, Params
 
@@ -28,18 +28,17 @@ def with_stalled_flag(opps: DataFrame, raw_opps: DataFrame, params: Params) -> D
     averages = stage_averages(raw_opps).select("stage", "avg_days")
     late = F.col("days_since_created") > params.stall_multiplier * F.col("avg_days")
     flag = F.coalesce(is_open(F.col("stage")) & late, F.lit(False))
-    return lookup(opps, averages, "stage", params, source=raw_opps).withColumn("is_stalled", flag).drop("avg_days")
+    return label_lookup(opps, averages, "stage", params).withColumn("is_stalled", flag).drop("avg_days")
 
 
-def size_edges(opps: DataFrame, small: bool) -> DataFrame:
-    quartiles = {"first": 0.25, "second": 0.5, "third": 0.75}
-    return exact_quantiles(opps, "arr_value", quartiles, small=small)
+def size_edges(opps: DataFrame) -> DataFrame:
+    return exact_quantiles(opps, "arr_value", {"first": 0.25, "second": 0.5, "third": 0.75})
 
 
-def with_size_band(opps: DataFrame, raw_opps: DataFrame, params: Params) -> DataFrame:
+def with_size_band(opps: DataFrame) -> DataFrame:
     """Quartile of the deal value over all opportunities; equal values share a band."""
-    edges = size_edges(opps, is_small(raw_opps, params)).select(F.struct("first", "second", "third")).scalar()
-    arr = F.col("arr_value").cast("double")
+    edges = size_edges(opps).select(F.struct("first", "second", "third")).scalar()
+    arr = F.col("arr_value")
     banded = opps.withColumn("_edges", edges)
     band = (
         F.when(arr <= F.col("_edges.first"), SIZE_BANDS[0])
@@ -53,7 +52,7 @@ def with_size_band(opps: DataFrame, raw_opps: DataFrame, params: Params) -> Data
 def with_cac_efficiency(deals: DataFrame) -> DataFrame:
     """Deal value per unit of acquisition cost."""
     return deals.withColumn(
-        "cac_efficiency", round_half_even(ratio(F.col("arr_value"), F.col("cac")), 2)
+        "cac_efficiency", rounded_ratio(F.col("arr_value"), F.col("cac"), 2, even=True)
     )
 
 

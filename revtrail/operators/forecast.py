@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtrail.functions.dates import month_label, quarter_label
 from revtrail.functions.deals import is_open, weighted_points
-from revtrail.functions.numbers import round_half_even, round_half_up
+from revtrail.functions.numbers import rounded_ratio
 from revtrail.params import Params
 
 
@@ -26,14 +28,15 @@ def forecast_monthly(opps: DataFrame, params: Params) -> DataFrame:
     monthly = _open_points(opps, month_label)
     # The window runs over one row per month.
     so_far = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-    expected = F.col("points").cast("double") / 100
+    points, hundred = F.col("points"), F.lit(100)
+    band = F.lit(Decimal(str(params.confidence)))
     return monthly.select(
         F.col("period").alias("month"),
-        round_half_up(expected, 2).alias("forecast_arr"),
-        round_half_up(expected * (1 - params.confidence), 2).alias("lower_arr"),
-        round_half_up(expected * (1 + params.confidence), 2).alias("upper_arr"),
+        rounded_ratio(points, hundred, 2).alias("forecast_arr"),
+        rounded_ratio(points * (1 - band), hundred, 2).alias("lower_arr"),
+        rounded_ratio(points * (1 + band), hundred, 2).alias("upper_arr"),
         F.lit(params.quarterly_target / 3).alias("target_arr"),
-        round_half_up(F.sum("points").over(so_far) / 100, 2).alias("cumulative_arr"),
+        rounded_ratio(F.sum("points").over(so_far), hundred, 2).alias("cumulative_arr"),
     ).orderBy("month")
 
 
@@ -41,12 +44,13 @@ def forecast_summary(opps: DataFrame, params: Params) -> DataFrame:
     """Expected value per quarter of creation against the quarterly target."""
     quarterly = _open_points(opps, quarter_label)
     target = F.lit(params.quarterly_target)
-    expected = F.col("points").cast("double") / 100
-    gap = expected - target
+    points, hundred = F.col("points"), F.lit(100)
+    # In hundredths, so that the share is one division.
+    gap = points - target * 100
     return quarterly.select(
         F.col("period").alias("quarter"),
-        round_half_up(expected, 4).alias("forecast_arr"),
+        rounded_ratio(points, hundred, 4).alias("forecast_arr"),
         target.alias("target"),
-        round_half_up(gap, 4).alias("variance_abs"),
-        round_half_even(gap / target * 100, 1).alias("variance_pct"),
+        rounded_ratio(gap, hundred, 4).alias("variance_abs"),
+        rounded_ratio(gap, target, 1, even=True).alias("variance_pct"),
     ).orderBy("quarter")

@@ -2,128 +2,59 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from weakref import WeakKeyDictionary
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtrail.operators.lineage import checkpointed
 from revtrail.params import Params
 
-# Counters kept while looking for hot keys: the estimate is off by well under 0.1 %.
-_COUNTERS = 10_000
 
-_counted: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+def heavy_keys(rows: DataFrame, on: list[str], params: Params) -> DataFrame:
+    """Keys (`_key0`, ...) with more than `hot_rows` rows and into how many parts to deal them.
 
-
-@dataclass(frozen=True)
-class HotKeys:
-    hashes: tuple[int, ...]
-    nulls: bool
-
-    def __bool__(self) -> bool:
-        return bool(self.hashes) or self.nulls
-
-
-def _any_null(on: list[str]) -> Column:
-    test = F.col(on[0]).isNull()
-    for name in on[1:]:
-        test = test | F.col(name).isNull()
-    return test
-
-
-def _key_hash(on: list[str]) -> Column:
-    return F.xxhash64(*on)
-
-
-def row_count(rows: DataFrame) -> int:
-    """Rows of a table, counted once per DataFrame; files answer from their footers."""
-    if rows not in _counted:
-        _counted[rows] = rows.count()
-    return _counted[rows]
-
-
-def is_small(rows: DataFrame, params: Params) -> bool:
-    return row_count(rows) <= params.small_rows
-
-
-def hot_keys(rows: DataFrame, on: list[str], params: Params) -> HotKeys:
-    """Keys that hold a large share of a large table: one pass, one row to the driver.
-
-    Keys are reported by hash. A collision only sends a cold key down the hot path,
-    it never changes the result of a join.
+    There are at most rows / `hot_rows` of them, so the list is small enough to broadcast
+    for any table that the setting was made for. A missing key counts as a key.
     """
-    if is_small(rows, params):
-        return HotKeys((), False)
-    keys = rows.select(F.when(~_any_null(on), _key_hash(on)).alias("k"))
-    most = int(1 / params.hot_share)
-    found = keys.agg(
-        F.expr(f"approx_top_k(k, {most}, {_COUNTERS})").alias("top"),
-        F.count("k").alias("filled"),
-        F.count(F.lit(1)).alias("total"),
-    ).first()
-    least = found["total"] * params.hot_share
-    hashes = tuple(t["item"] for t in found["top"] if t["item"] is not None and t["count"] >= least)
-    return HotKeys(hashes, found["total"] - found["filled"] >= least)
-
-
-def fits(rows: DataFrame, most: int) -> bool:
-    """True if the table holds no more than `most` rows; stops reading there."""
-    return len(rows.select(F.lit(1)).take(most + 1)) <= most
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(params.hot_rows)).cast("int")
+    keys = [F.col(c).alias(f"_key{i}") for i, c in enumerate(on)]
+    return rows.groupBy(*keys).agg(parts.alias("_parts")).where("_parts > 1")
 
 
 def many_to_one(
-    many: DataFrame,
-    one: DataFrame,
-    on: str | list[str],
-    params: Params,
-    source: DataFrame | None = None,
-    joined: bool = False,
+    many: DataFrame, one: DataFrame, on: str | list[str], params: Params, source: DataFrame | None = None
 ) -> DataFrame:
     """Left join of a fact to a table with at most one row per key.
 
-    `source` is the raw fact behind `many`: the same keys, but cheaper to look at.
-    `joined` says that `many` is itself the result of a join.
+    Rows of a heavy key are dealt to several parts by a hash of the whole row, and the one
+    row of the other side is repeated for each part. All keys go through the same join,
+    whatever the size of the table, and nothing runs while the join is planned.
 
-    Without hot keys this is a plain join and Spark picks the strategy. Rows of hot
-    keys, and rows without a key, never enter the shuffle: they meet the few matching
-    rows of the other side by broadcast.
+    `source` is the raw fact behind `many`: the same keys, but cheaper to count.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot = hot_keys(many if source is None else source, on, params)
-    if not hot:
-        return many.join(one, on, "left")
-
-    def is_hot() -> Column:
-        keyed = _key_hash(on).isin(*hot.hashes) if hot.hashes else F.lit(False)
-        return _any_null(on) | keyed
-
-    few = one.where(is_hot() & ~_any_null(on))
-    if not fits(few, params.broadcast_rows):
-        return many.join(one, on, "left")
-    if joined:
-        # Both halves read `many`: write it once instead of joining it twice.
-        many = checkpointed(many)
-    near = many.where(is_hot()).join(F.broadcast(few), on, "left")
-    far = many.where(~is_hot()).join(one, on, "left")
-    return near.unionByName(far)
-
-
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    on: str | list[str],
-    params: Params,
-    source: DataFrame | None = None,
-) -> DataFrame:
-    """Left join to a table of aggregates that is expected to be small.
+    heavy = heavy_keys(many if source is None else source, on, params)
+    tests = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(on)]
+    same = reduce(lambda a, b: a & b, tests)
+    parts = F.coalesce("_parts", F.lit(1))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(heavy), same, "left")
+
+    salted = counted(many).select(*many.columns, F.pmod(F.xxhash64(*many.columns), parts).cast("int").alias("_part"))
+    repeated = counted(one).select(*one.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    return salted.join(repeated, [*on, "_part"], "left").drop("_part")
+
+
+def label_lookup(rows: DataFrame, table: DataFrame, on: str, params: Params) -> DataFrame:
+    """Left join to an aggregate per label, which is broadcast behind a check of its size.
 
-    The table is computed once. If it fits the row limit its rows are broadcast, if
-    not the join runs as any other many-to-one join.
+    Labels are few by nature. Should they not be, the job stops and names the setting;
+    `many_to_one` joins tables of any size.
     """
-    few = table.limit(params.broadcast_rows + 1).toArrow()
-    if few.num_rows > params.broadcast_rows:
-        return many_to_one(rows, table, on, params, source, joined=True)
-    local = rows.sparkSession.createDataFrame(few, table.schema)
-    return rows.join(F.broadcast(local), on, "left")
+    count = F.count(F.lit(1)).over(Window.partitionBy())
+    message = f"{on}: more labels than broadcast_rows={params.broadcast_rows}"
+    fits = F.when(F.col("_labels") > params.broadcast_rows, F.raise_error(F.lit(message)).cast("boolean"))
+    # One row per label in the window.
+    checked = table.withColumn("_labels", count).where(F.coalesce(fits, F.lit(True))).drop("_labels")
+    return rows.join(F.broadcast(checked), on, "left")

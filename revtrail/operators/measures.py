@@ -52,14 +52,11 @@ def _closed_on_a_day() -> Column:
     return is_won(_stage()) & F.col("close_date").isNotNull()
 
 
-def _won_since(first: Callable[[Column], Column]) -> Callable[[Any], Column]:
-    """Won value closed from some day on, up to the last day of the calendar."""
-
-    def value(ds) -> Column:
-        last, day = F.lit(ds.calendar[1]), F.col("close_date")
-        return F.sum(F.when(is_won(_stage()) & day.between(first(last), last), _arr()))
-
-    return value
+# Time measures: first day of the window that ends on the last day in context.
+WINDOWS: dict[str, Callable[[Column], Column]] = {
+    "rolling_3m_arr": lambda last: F.date_add(F.add_months(last, -3), 1),
+    "qtd_arr": lambda last: F.trunc(last, "quarter"),
+}
 
 
 PARTS: dict[str, Part] = {
@@ -72,9 +69,8 @@ PARTS: dict[str, Part] = {
         "lead_status",
         counts=True,
     ),
-    "opportunities": Part(
-        "opportunities", ("opp_id",), lambda ds: F.count_distinct("opp_id"), counts=True
-    ),
+    # One row per opportunity; `relationship_integrity` checks that the key is unique.
+    "opportunities": Part("opportunities", ("opp_id",), lambda ds: F.count("opp_id"), counts=True),
     "won": Part(
         "opportunities", ("stage",), lambda ds: F.count_if(is_won(_stage())), "stage", counts=True
     ),
@@ -124,18 +120,9 @@ PARTS: dict[str, Part] = {
         lambda ds: F.sum(F.when(F.col("is_stalled"), _arr())),
         "is_stalled",
     ),
-    "rolling_3m_arr": Part(
-        "opportunities",
-        ("stage", "arr_value", "close_date"),
-        _won_since(lambda last: F.date_add(F.add_months(last, -3), 1)),
-        "stage",
-    ),
-    "qtd_arr": Part(
-        "opportunities",
-        ("stage", "arr_value", "close_date"),
-        _won_since(lambda last: F.trunc(last, "quarter")),
-        "stage",
-    ),
+    # Sums of won value per closing day; `_in_windows` adds them up.
+    "rolling_3m_arr": Part("days", ("stage", "arr_value", "close_date"), lambda ds: F.sum("arr_value")),
+    "qtd_arr": Part("days", ("stage", "arr_value", "close_date"), lambda ds: F.sum("arr_value")),
     "cac": Part("deals", ("cac",), lambda ds: F.sum("cac")),
     "cac_rows": Part("deals", ("cac",), lambda ds: F.count("cac"), counts=True),
     "deal_arr": Part("deals", ("arr_value",), lambda ds: F.sum("arr_value"), "customer_segment"),
@@ -196,6 +183,7 @@ MEASURES: dict[str, Measure] = {
 _VIEWS = {
     "leads": star.LEAD_VIEW,
     "opportunities": star.OPPORTUNITY_VIEW,
+    "days": star.OPPORTUNITY_VIEW,
     "deals": star.DEAL_VIEW,
 }
 
@@ -203,9 +191,9 @@ _VIEWS = {
 def _view(ds, fact: str, columns: list[str], date_role: str) -> DataFrame:
     if fact == "leads":
         return star.lead_view(ds, columns)
-    if fact == "opportunities":
-        return star.opportunity_view(ds, columns, date_role)
-    return star.deal_view(ds, columns)
+    if fact == "deals":
+        return star.deal_view(ds, columns)
+    return star.opportunity_view(ds, columns, date_role)
 
 
 def _passes(column: str, allowed: Any) -> Column:
@@ -214,21 +202,75 @@ def _passes(column: str, allowed: Any) -> Column:
     return F.col(column).isin(*allowed)
 
 
-def _totals(ds, fact, parts, axis, filters, date_role) -> DataFrame:
-    """One row per axis value with the parts of one fact."""
+def _filtered(ds, fact: str, needed: Iterable[str], filters: Mapping[str, Any], date_role: str) -> DataFrame:
+    """Rows of a fact that pass the filters, with the columns that are needed.
+
+    A segment filter keeps the opportunities that have any deal of the segments, whatever
+    the one segment their axis shows.
+    """
+    by_deal = fact in ("opportunities", "days") and "customer_segment" in filters
+    plain = {c: allowed for c, allowed in filters.items() if not (by_deal and c == "customer_segment")}
+    columns = [*needed, *plain, *(["opp_id"] if by_deal else [])]
+    rows = _view(ds, fact, columns, date_role)
+    for column, allowed in plain.items():
+        rows = rows.where(_passes(column, allowed))
+    if by_deal:
+        deals = ds.deals_clean.where(_passes("customer_segment", filters["customer_segment"]))
+        rows = rows.join(deals.select("opp_id").distinct(), "opp_id", "left_semi")
+    return rows
+
+
+def _reached(fact: str, axis: list[str], filters: Mapping[str, Any]) -> dict[str, Any]:
     reach = set(_VIEWS[fact])
     missing = [a for a in axis if a not in reach]
     if missing:
         raise ValueError(f"axis {', '.join(missing)} does not reach the {fact}")
     # A filter acts on the facts its column reaches and leaves the others alone.
-    acting = {c: allowed for c, allowed in filters.items() if c in reach}
-    needed = [*axis, *acting, *[c for p in parts for c in PARTS[p].needs]]
-    rows = _view(ds, fact, needed, date_role)
-    for column, allowed in acting.items():
-        rows = rows.where(_passes(column, allowed))
+    return {c: allowed for c, allowed in filters.items() if c in reach}
+
+
+def _totals(ds, fact, parts, axis, filters, date_role) -> DataFrame:
+    """One row per axis value with the parts of one fact."""
+    acting = _reached(fact, axis, filters)
+    needed = [*axis, *[c for p in parts for c in PARTS[p].needs]]
+    rows = _filtered(ds, fact, needed, acting, date_role)
     return rows.groupBy(*axis).agg(*[PARTS[p].value(ds).alias(f"_{p}") for p in parts])
 
 
+def _in_windows(ds, parts: list[str], axis: list[str], filters: Mapping[str, Any]) -> DataFrame:
+    """Won value in the windows that end on the last calendar day in context.
+
+    Date filters and date axes move the window: they choose the last day, and the days
+    before it count even where the filter leaves them out. All other filters and axes
+    choose rows. The calendar, the ends and their days are bounded by the settings.
+    """
+    acting = _reached("days", axis, filters)
+    date_columns = {*star.DATE_ATTRIBUTES, "close_date"}
+    days = ds.dim_date.withColumn("close_date", F.col("date"))
+    for column, allowed in acting.items():
+        if column in date_columns:
+            days = days.where(_passes(column, allowed))
+    on_dates = [a for a in axis if a in date_columns]
+    others = [a for a in axis if a not in date_columns]
+    ends = days.groupBy(*on_dates).agg(F.max("date").alias("_last"))
+
+    rest = {c: allowed for c, allowed in acting.items() if c not in date_columns}
+    won = _filtered(ds, "days", [*others, "stage", "arr_value", "close_date"], rest, "close")
+    daily = (
+        won.where(_closed_on_a_day())
+        .groupBy(*others, F.col("close_date").alias("_day"))
+        .agg(F.sum("arr_value").alias("_arr"))
+    )
+    found = []
+    for p in parts:
+        first = WINDOWS[p](F.col("_last"))
+        window = ends.select(*on_dates, F.explode(F.sequence(first, F.col("_last"))).alias("_day"))
+        found.append(
+            daily.join(F.broadcast(window), "_day").groupBy(*axis).agg(F.sum("_arr").alias(f"_{p}"))
+        )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+
 def evaluate(
     ds,
     measures: Iterable[str],
@@ -246,11 +288,17 @@ def evaluate(
     measures, axis, filters = list(measures), list(axis), dict(filters or {})
     parts = list(dict.fromkeys(p for m in measures for p in MEASURES[m].parts))
     facts = list(dict.fromkeys(PARTS[p].fact for p in parts))
-    totals = [
-        _totals(ds, f, [p for p in parts if PARTS[p].fact == f], axis, filters, date_role)
-        for f in facts
-    ]
-    if len(totals) == 1:
+    unknown = [c for c in filters if not any(c in _VIEWS[f] for f in facts)]
+    if unknown:
+        raise ValueError(f"filter {', '.join(unknown)} reaches none of {', '.join(facts)}")
+    totals = []
+    for f in facts:
+        own = [p for p in parts if PARTS[p].fact == f]
+        if f == "days":
+            totals.append(_in_windows(ds, own, axis, filters))
+        else:
+            totals.append(_totals(ds, f, own, axis, filters, date_role))
+    if len(parts) == 1 or (len(totals) == 1 and facts != ["days"]):
         merged = totals[0]
     else:
         # Each part comes from one fact only, so the greatest of its values is the value.
@@ -278,30 +326,29 @@ def _won(ds, *columns: str) -> DataFrame:
 
 
 def rolling_closed_arr(ds) -> DataFrame:
-    """Won value per closing month and over that month and the two before it."""
+    """Won value per closing month and over that month and the two before it, for every
+    month of the calendar."""
     day = F.col("close_date")
-    monthly = (
-        _won(ds)
-        .groupBy(month_label(day).alias("month"), month_index(day).alias("_at"))
-        .agg(F.sum("arr_value").alias("closed_won_arr"))
-    )
-    # The window runs over one row per month; months without deals leave a gap.
+    monthly = _won(ds).groupBy(month_label(day).alias("month")).agg(F.sum("arr_value").alias("closed_won_arr"))
+    months = ds.dim_date.groupBy("month").agg(F.min("date").alias("_first"))
+    every = months.join(monthly, "month", "left").withColumn("_at", month_index(F.col("_first")))
+    # The window runs over one row per month.
     recent = Window.orderBy("_at").rangeBetween(-2, 0)
-    return monthly.select(
+    return every.select(
         "month", "closed_won_arr", F.sum("closed_won_arr").over(recent).alias("rolling_3m_arr")
     ).orderBy("month")
 
 
 def quarter_to_date_arr(ds) -> DataFrame:
-    """Won value per closing day and from the start of that day's quarter on."""
-    day = F.col("close_date")
-    daily = _won(ds).groupBy(day.alias("date")).agg(F.sum("arr_value").alias("closed_won_arr"))
+    """Won value per day and from the start of its quarter on, for every day of the calendar."""
+    daily = _won(ds).groupBy(F.col("close_date").alias("date")).agg(F.sum("arr_value").alias("closed_won_arr"))
+    every = ds.dim_date.select("date").join(daily, "date", "left")
     so_far = (
         Window.partitionBy(F.trunc("date", "quarter"))
         .orderBy("date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return daily.select(
+    return every.select(
         "date", "closed_won_arr", F.sum("closed_won_arr").over(so_far).alias("qtd_arr")
     )
 

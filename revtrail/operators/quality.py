@@ -103,20 +103,26 @@ def band_conformance(opps: DataFrame) -> DataFrame:
     )
 
 
-def _keys(rows: DataFrame, many: dict[str, str], one: dict[str, str]) -> DataFrame:
-    """Every relationship key of a table as one row, from one pass over the table."""
-
-    def entry(name: str, column: str, n_many: int) -> Column:
-        return F.struct(
-            F.lit(name).alias("relationship"),
-            F.col(column).cast("string").alias("k"),
-            F.lit(n_many).cast("long").alias("n_many"),
-            F.lit(1 - n_many).cast("long").alias("n_one"),
-        )
+def _counted(rows: DataFrame, column: str, side: str) -> DataFrame:
+    """Rows per key, added up before the shuffle; the key keeps its type."""
+    other = "n_one" if side == "n_many" else "n_many"
+    return (
+        rows.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("k"))
+        .agg(F.count(F.lit(1)).alias(side))
+        .withColumn(other, F.lit(0).cast("long"))
+    )
+
 
-    entries = [entry(name, column, 1) for name, column in many.items()]
-    entries += [entry(name, column, 0) for name, column in one.items()]
-    return rows.select(F.inline(F.array(*entries))).where("k IS NOT NULL")
+def _relationship(name: str, many: DataFrame, key: str, one: DataFrame, one_key: str) -> DataFrame:
+    both = _counted(many, key, "n_many").unionByName(_counted(one, one_key, "n_one"))
+    keys = both.groupBy("k").agg(F.sum("n_many").alias("n_many"), F.sum("n_one").alias("n_one"))
+    orphan = F.col("n_one") == 0
+    return keys.agg(
+        F.count_if(F.col("n_one") > 1).alias("duplicate_keys"),
+        F.count_if(orphan).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n_many"))), F.lit(0)).alias("orphan_rows"),
+    ).select(F.lit(name).alias("relationship"), "*")
 
 
 def relationship_integrity(
@@ -124,31 +130,19 @@ def relationship_integrity(
 ) -> DataFrame:
     """One-side uniqueness and many-side orphans of the six star relationships.
 
-    Each table is read once and all keys are counted in one shuffle; a hot key is one
-    row per task by then.
+    Each relationship reads one column of each side and counts per key before anything is
+    shuffled, so owners and days, which are few, shuffle a few rows a task.
     """
-    keys = stack(
+    return stack(
         [
-            _keys(
-                opps,
-                {"R1": "lead_id", "R2": "owner_id", "R3": "close_date", "R4": "created_date"},
-                {"R5": "opp_id"},
-            ),
-            _keys(deals, {"R5": "opp_id", "R6": "close_date"}, {}),
-            _keys(leads, {}, {"R1": "lead_id"}),
-            _keys(reps, {}, {"R2": "owner_id"}),
-            _keys(dates, {}, {"R3": "date", "R4": "date", "R6": "date"}),
+            _relationship("R1", opps, "lead_id", leads, "lead_id"),
+            _relationship("R2", opps, "owner_id", reps, "owner_id"),
+            _relationship("R3", opps, "close_date", dates, "date"),
+            _relationship("R4", opps, "created_date", dates, "date"),
+            _relationship("R5", deals, "opp_id", opps, "opp_id"),
+            _relationship("R6", deals, "close_date", dates, "date"),
         ]
     )
-    counted = keys.groupBy("relationship", "k").agg(
-        F.sum("n_many").alias("n_many"), F.sum("n_one").alias("n_one")
-    )
-    orphan = F.col("n_one") == 0
-    return counted.groupBy("relationship").agg(
-        F.count_if(F.col("n_one") > 1).alias("duplicate_keys"),
-        F.count_if(orphan).alias("orphan_keys"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n_many"))), F.lit(0)).alias("orphan_rows"),
-    )
 
 
 def date_order_violations(opps: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Steps per unit of the natural logarithm: a bucket spans about 0.1 % of its value.
 _STEPS = 1000
+# Two places more than money: quarters of the step between neighbours are exact.
+QUANTILE = "decimal(22,4)"
 
 
 def _bucket(value: Column) -> Column:
@@ -24,37 +27,26 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
 
 
 def exact_quantiles(
-    rows: DataFrame,
-    value: str,
-    probabilities: dict[str, float],
-    by: Sequence[str] = (),
-    small: bool = False,
-    few_groups: bool = True,
+    rows: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Linearly interpolated quantiles of a column, one output column per probability.
+    """Linearly interpolated quantiles of a money column, one output column per probability.
 
-    `small` states that the caller has checked the table to be small; its quantiles
-    come from Spark's own aggregate, which keeps the values of a group in one task.
-    A table of any size takes two passes instead. First pass: count rows per value bucket, which leaves a bounded number of counts
-    per group, and find the buckets that hold the wanted ranks. Second pass: count
-    the distinct values of those buckets alone. Both passes add up on the map side,
-    so neither a large group nor a frequent value ends up in one task.
+    The rows are first added up to distinct values per group, on the map side. Counts per
+    value bucket, a bounded number a group, show which buckets hold the wanted ranks; only
+    the distinct values of those buckets are put in order. Neither a large group nor a
+    frequent value ends up in one task, and one way serves tables of every size.
 
-    `few_groups` states that the caller has checked the number of groups; only then
-    the list of wanted buckets (two per group and probability) is broadcast.
+    Interpolation is done in decimals and keeps four places.
     """
     by = list(by)
-    if small:
-        known = rows.where(F.col(value).isNotNull()).groupBy(*by)
-        places = [float(p) for p in probabilities.values()]
-        found = known.agg(F.percentile(F.col(value).cast("double"), places).alias("_all"))
-        return found.select(
-            *by, *[F.get("_all", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
-        )
-    values = rows.where(F.col(value).isNotNull()).select(
-        *by, F.col(value).alias("_value"), _bucket(F.col(value)).alias("_bucket")
+    places = {name: Fraction(p).limit_denominator(1000) for name, p in probabilities.items()}
+    values = (
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).cast("decimal(18,2)").alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bucket", _bucket(F.col("_value")))
     )
-    counts = values.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = values.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n"))
     rising = Window.partitionBy(*by).orderBy("_bucket")
     counts = counts.select(
         *by,
@@ -64,40 +56,43 @@ def exact_quantiles(
         F.sum("_n").over(Window.partitionBy(*by)).alias("_total"),
     )
 
-    def place(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("_total") - 1)
+    def steps(p: Fraction) -> Column:
+        """Place of the quantile in units of 1 / denominator."""
+        return F.lit(p.numerator) * (F.col("_total") - 1)
 
-    def ranks(p: float) -> tuple[Column, Column]:
-        return F.floor(place(p)), F.ceil(place(p))
+    def ranks(p: Fraction) -> tuple[Column, Column]:
+        low = F.floor(steps(p) / F.lit(p.denominator))
+        return low, F.least(low + 1, F.col("_total") - 1)
 
     def holds(rank: Column) -> Column:
         return (rank >= F.col("_before")) & (rank < F.col("_upto"))
 
-    wanted = [holds(rank) for p in probabilities.values() for rank in ranks(p)]
+    wanted = [holds(rank) for p in places.values() for rank in ranks(p)]
     targets = counts.where(reduce(lambda a, b: a | b, wanted)).drop("_upto")
-    if few_groups:
-        targets = F.broadcast(targets)
 
     keys = [*by, "_bucket"]
     inside = (
         values.alias("v")
         .join(targets.alias("t"), _same("v", "t", keys))
-        .groupBy(*[F.col(f"t.{c}").alias(c) for c in keys], "_before", "_total", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*[F.col(f"t.{c}").alias(c) for c in keys], "_before", "_total", "_value", "_n")
     )
     upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys).orderBy("_value"))
-    placed = inside.select(*by, "_total", "_value", upto.alias("_upto"), (upto - F.col("_n")).alias("_before"))
+    placed = inside.select(
+        *by, "_total", "_value", upto.alias("_upto"), (upto - F.col("_n")).alias("_before")
+    )
     found = placed.groupBy(*by).agg(
         F.max("_total").alias("_total"),
         *[
-            F.max(F.when(holds(rank), F.col("_value"))).cast("double").alias(f"_{side}_{name}")
-            for name, p in probabilities.items()
+            F.max(F.when(holds(rank), F.col("_value"))).alias(f"_{side}_{name}")
+            for name, p in places.items()
             for side, rank in zip(("low", "high"), ranks(p))
         ],
     )
 
-    def between(name: str, p: float) -> Column:
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        return (low + (high - low) * (place(p) - F.floor(place(p)))).alias(name)
+    def between(name: str, p: Fraction) -> Column:
+        parts = F.lit(p.denominator).cast("decimal(4,0)")
+        over = F.pmod(steps(p), F.lit(p.denominator)).cast("decimal(4,0)")
+        mixed = F.col(f"_low_{name}") * (parts - over) + F.col(f"_high_{name}") * over
+        return (mixed / parts).cast(QUANTILE).alias(name)
 
-    return found.select(*by, *[between(name, p) for name, p in probabilities.items()])
+    return found.select(*by, *[between(name, p) for name, p in places.items()])

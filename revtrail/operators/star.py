@@ -19,28 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.functions.dates import CALENDAR
-from revtrail.operators.cleaning import (
-    LEAD_ATTRIBUTES,
-    OPPORTUNITY_COLUMNS,
-    closed_deals_clean,
-    opportunities_clean,
-)
-from revtrail.operators.features import (
-    with_cac_efficiency,
-    with_pipeline_age,
-    with_size_band,
-    with_stalled_flag,
-)
+from revtrail.operators.cleaning import LEAD_ATTRIBUTES, OPPORTUNITY_COLUMNS
+from revtrail.operators.features import with_cac_efficiency
 from revtrail.operators.joins import many_to_one
-from revtrail.operators.segments import FEATURE_COLUMNS, kmeans_segments
-from revtrail.sources.dimensions import small_spine
 
 FEATURES = ("days_since_created", "is_stalled", "deal_size_band")
 REP_ATTRIBUTES = ("rep_name", "team", "rep_region", "annual_quota")
 DATE_ATTRIBUTES = tuple(CALENDAR)
 DATE_ROLES = {"close": "close_date", "created": "created_date"}
 
-LEAD_VIEW = ("lead_id", "created_date", *LEAD_ATTRIBUTES)
+# The model has no date relationship on leads, so their date has a name of its own.
+LEAD_VIEW = ("lead_id", "lead_created_date", *LEAD_ATTRIBUTES)
 OPPORTUNITY_VIEW = tuple(
     dict.fromkeys(
         (
@@ -62,8 +51,8 @@ DEAL_COLUMNS = (
     "cac",
     "renewal_flag",
 )
-# What a deal takes over from its opportunity; cleaning leaves these alone.
-LINKED = ("lead_id", "owner_id", "stage", "days_in_stage", "created_date")
+# What a deal takes over from its opportunity by R5.
+LINKED = ("lead_id", "owner_id", "stage", "days_in_stage", "created_date", "close_probability", *FEATURES)
 DEAL_VIEW = (
     *DEAL_COLUMNS,
     "cac_efficiency",
@@ -76,14 +65,6 @@ DEAL_VIEW = (
 
 SEGMENTED_COLUMNS = (*DEAL_COLUMNS, "cac_efficiency", "days_in_stage", "cluster_label")
 
-_SOURCES_OF = {
-    "days_since_created": ("stage", "created_date"),
-    "is_stalled": ("stage", "created_date"),
-    "deal_size_band": ("arr_value",),
-    "customer_segment": ("opp_id",),
-}
-
-
 def _unknown(columns: set[str], known: Iterable[str], view: str) -> None:
     missing = sorted(columns - set(known))
     if missing:
@@ -92,15 +73,21 @@ def _unknown(columns: set[str], known: Iterable[str], view: str) -> None:
 
 def _with_reps(ds, rows: DataFrame, attributes: list[str], source: DataFrame) -> DataFrame:
     reps = ds.reps.select("owner_id", *attributes)
-    return many_to_one(rows, reps, "owner_id", ds.params, source, joined=True)
+    return many_to_one(rows, reps, "owner_id", ds.params, source)
 
 
-def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str], source: DataFrame) -> DataFrame:
+def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str]) -> DataFrame:
     days = ds.dim_date.select(F.col("date").alias(day), *attributes)
-    # The length of the calendar is known before the join is planned.
-    if small_spine(*ds.calendar):
-        return rows.join(F.broadcast(days), day, "left")
-    return many_to_one(rows, days, day, ds.params, source, joined=True)
+    # As many rows as the calendar in the settings has days.
+    return rows.join(F.broadcast(days), day, "left")
+
+
+def segment_of_opportunity(ds) -> DataFrame:
+    """One segment per opportunity: that of its largest deal, of equal ones the first by id."""
+    deals = ds.deals_clean.select("opp_id", "customer_segment", "arr_value", "deal_id")
+    largest = deals.groupBy("opp_id").agg(F.max(F.coalesce("arr_value", F.lit(-1))).alias("_most"))
+    top = deals.join(largest, "opp_id").where(F.coalesce("arr_value", F.lit(-1)) == F.col("_most"))
+    return top.groupBy("opp_id").agg(F.min_by("customer_segment", "deal_id").alias("customer_segment"))
 
 
 def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> DataFrame:
@@ -111,30 +98,20 @@ def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> Da
     reps = [c for c in REP_ATTRIBUTES if c in wanted]
     dates = [c for c in DATE_ATTRIBUTES if c in wanted]
 
-    base = wanted & {*OPPORTUNITY_COLUMNS, *LEAD_ATTRIBUTES}
-    for column, sources in _SOURCES_OF.items():
-        if column in wanted:
-            base.update(sources)
+    base = wanted & {*OPPORTUNITY_COLUMNS, *LEAD_ATTRIBUTES, *FEATURES}
     if reps:
         base.add("owner_id")
     if dates:
         base.add(day)
-
-    rows = opportunities_clean(ds.opportunities, ds.leads, ds.params, sorted(base))
-    if wanted & {"days_since_created", "is_stalled"}:
-        rows = with_pipeline_age(rows, ds.params)
-    if "is_stalled" in wanted:
-        rows = with_stalled_flag(rows, ds.opportunities, ds.params)
-    if "deal_size_band" in wanted:
-        rows = with_size_band(rows, ds.opportunities, ds.params)
+    if "customer_segment" in wanted:
+        base.add("opp_id")
+    rows = ds.opportunity_base(sorted(base) or ["opp_id"])
     if reps:
         rows = _with_reps(ds, rows, reps, ds.opportunities)
     if dates:
-        rows = _with_dates(ds, rows, day, dates, ds.opportunities)
+        rows = _with_dates(ds, rows, day, dates)
     if "customer_segment" in wanted:
-        segments = closed_deals_clean(ds.closed_deals, ds.params)
-        segments = segments.select("opp_id", "customer_segment").distinct()
-        rows = many_to_one(rows, segments, "opp_id", ds.params, ds.opportunities, joined=True)
+        rows = many_to_one(rows, segment_of_opportunity(ds), "opp_id", ds.params, ds.opportunities)
     return rows.select(*columns)
 
 
@@ -153,27 +130,29 @@ def deal_view(ds, columns: Iterable[str]) -> DataFrame:
     if "cluster_label" in wanted:
         linked.add("days_in_stage")
 
-    rows = closed_deals_clean(ds.closed_deals, ds.params)
+    rows = ds.deals_clean
     if "cac_efficiency" in wanted:
         rows = with_cac_efficiency(rows)
     if linked:
-        one = ds.opportunities.select("opp_id", *sorted(linked))
-        rows = many_to_one(rows, one, "opp_id", ds.params, ds.closed_deals)
+        # Cleaning leaves all but the features alone, so the raw rows serve the others.
+        whole = linked & set(FEATURES)
+        one = ds.opportunity_view(["opp_id", *sorted(linked)]) if whole else ds.opportunities
+        rows = many_to_one(rows, one.select("opp_id", *sorted(linked)), "opp_id", ds.params, ds.closed_deals)
     if leads:
         # Deals spread over leads and reps as the opportunities do.
         one = ds.leads_clean.select("lead_id", *leads)
-        rows = many_to_one(rows, one, "lead_id", ds.params, ds.opportunities, joined=True)
+        rows = many_to_one(rows, one, "lead_id", ds.params, ds.opportunities)
     if reps:
         rows = _with_reps(ds, rows, reps, ds.opportunities)
     if dates:
-        rows = _with_dates(ds, rows, "close_date", dates, ds.closed_deals)
+        rows = _with_dates(ds, rows, "close_date", dates)
     if "cluster_label" in wanted:
-        kept = dict.fromkeys([*columns, *FEATURE_COLUMNS])
-        rows = kmeans_segments(rows.select(*[c for c in kept if c != "cluster_label"]), ds.params)
+        labels = ds.deal_clusters.select("deal_id", "cluster_label")
+        rows = rows.join(labels, "deal_id", "left")
     return rows.select(*columns)
 
 
 def lead_view(ds, columns: Iterable[str]) -> DataFrame:
     columns = list(dict.fromkeys(columns))
     _unknown(set(columns), LEAD_VIEW, "the lead view")
-    return ds.leads_clean.select(*columns)
+    return ds.leads_clean.withColumnRenamed("created_date", "lead_created_date").select(*columns)

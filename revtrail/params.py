@@ -69,14 +69,15 @@ class Params:
     confidence: float = 0.15
     lead_sources: tuple[str, ...] = LEAD_SOURCES
     clusters: int = 3
-    kmeans_starts: int = 10
+    kmeans_starts: int = 20
     kmeans_seed: int = 42
-    # Centres at rest: none moves further than this many standard deviations.
+    kmeans_rounds: int = 300
+    # All starts are followed until no centre moves further than this many standard deviations.
     kmeans_tolerance: float = 0.01
-    # A table is broadcast only after it was seen to hold no more rows than this.
+    # The calendar: first and last day of the date dimension, and the last closing day.
+    first_day: date = date(2024, 6, 1)
+    last_day: date = date(2026, 5, 31)
+    # A table of labels is broadcast only if it holds no more rows than this.
     broadcast_rows: int = 10_000
-    # A table of up to this many rows is safe in one task: no key in it can be too hot,
-    # and exact percentiles of its values fit in memory.
-    small_rows: int = 1_000_000
-    # In larger tables a join key is treated as hot from this share of all rows on.
-    hot_share: float = 0.01
+    # A join key with more rows than this is dealt out to several tasks.
+    hot_rows: int = 5_000_000

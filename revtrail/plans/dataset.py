@@ -8,7 +8,8 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revtrail.operators import cleaning, forecast, star
+from revtrail.operators import cleaning, features, forecast, segments, star
+from revtrail.operators.joins import many_to_one
 from revtrail.params import Params
 from revtrail.sources import dimensions, files, fixtures
 
@@ -93,37 +94,132 @@ class Dataset:
 
     @cached_property
     def calendar(self) -> tuple[date, date]:
-        """First day an opportunity was created and last day one was closed."""
-        return dimensions.date_range(self.opportunities, "created_date", "close_date")
+        return self.params.first_day, self.params.last_day
 
     @cached_property
     def dim_date(self) -> DataFrame:
         return dimensions.date_spine(self.spark, *self.calendar)
 
+    def opportunity_base(self, columns: Iterable[str]) -> DataFrame:
+        """Cleaned opportunities with their own features; steps that nobody asks for are left out."""
+        columns = list(columns)
+        wanted = set(columns)
+        base = wanted - set(star.FEATURES)
+        if wanted & {"days_since_created", "is_stalled"}:
+            base |= {"stage", "created_date"}
+        if "deal_size_band" in wanted:
+            base.add("arr_value")
+        rows = self.opportunities_clean(sorted(base))
+        if wanted & {"days_since_created", "is_stalled"}:
+            rows = features.with_pipeline_age(rows, self.params)
+        if "is_stalled" in wanted:
+            rows = features.with_stalled_flag(rows, self.opportunities, self.params)
+        if "deal_size_band" in wanted:
+            rows = features.with_size_band(rows)
+        return rows.select(*columns)
+
+    @cached_property
+    def deal_clusters(self) -> DataFrame:
+        """Every deal with its k-means cluster and archetype; fitted once per dataset."""
+        columns = ["deal_id", "customer_segment", *segments.FEATURE_COLUMNS]
+        return segments.kmeans_segments(self.deal_view(columns), self.params)
+
     def opportunity_view(self, columns: Iterable[str], date_role: str = "close") -> DataFrame:
         return star.opportunity_view(self, columns, date_role)
 
     def deal_view(self, columns: Iterable[str]) -> DataFrame:
         return star.deal_view(self, columns)
 
-    def build(self, folder: str, fmt: str = "parquet") -> None:
-        """Write the tables of the star schema once, for many later queries."""
+    def build(self, folder: str, fmt: str = "parquet") -> BuiltDataset:
+        """Write the clean and modelled tables once, and give the dataset that reads them."""
         files.write_outputs(
             {
                 "leads_clean": self.leads_clean,
-                "opportunities_modelled": self.opportunity_view(
+                "opportunities_clean": self.opportunities_clean(),
+                "closed_deals_clean": self.deals_clean,
+                "dim_date": self.dim_date.select(*files.schema_of("dim_date").names),
+                "dim_rep": self.reps,
+            },
+            folder,
+            fmt,
+        )
+        clean = BuiltDataset(self, folder, fmt, ("leads_clean", "opportunities_clean", "closed_deals_clean"))
+        files.write_outputs(
+            {
+                "opportunities_modelled": clean.opportunity_base(
                     [*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES]
                 ),
-                "closed_deals_segmented": self.deal_view(star.SEGMENTED_COLUMNS),
+                "deal_clusters": clean.deal_clusters,
                 "forecast_summary": forecast.forecast_summary(
-                    self.opportunities_clean(
-                        ["stage", "arr_value", "close_probability", "created_date"]
-                    ),
+                    clean.opportunities_clean(["stage", "arr_value", "close_probability", "created_date"]),
                     self.params,
                 ),
-                "dim_date": self.dim_date,
-                "dim_rep": self.reps,
             },
             folder,
             fmt,
         )
+        whole = BuiltDataset(self, folder, fmt)
+        files.write_outputs({"closed_deals_segmented": whole.deal_view(star.SEGMENTED_COLUMNS)}, folder, fmt)
+        return whole
+
+
+class BuiltDataset(Dataset):
+    """A dataset that reads its clean and modelled tables where `build` wrote them.
+
+    The raw tables are those of the dataset it was built from. `known` names the tables
+    that are there already.
+    """
+
+    def __init__(
+        self, raw: Dataset, folder: str, fmt: str = "parquet", known: Iterable[str] | None = None
+    ) -> None:
+        super().__init__(raw.spark, raw._tables, raw.params)
+        self._folder, self._fmt, self._known = folder, fmt, known and set(known)
+
+    def _built(self, table: str) -> DataFrame | None:
+        """A written table with the types it was written with; parquet and ORC keep them."""
+        if self._known is not None and table not in self._known:
+            return None
+        return self.spark.read.format(self._fmt).load(f"{self._folder}/{table}")
+
+    @cached_property
+    def leads_clean(self) -> DataFrame:
+        rows = self._built("leads_clean")
+        return super().leads_clean if rows is None else rows
+
+    @cached_property
+    def deals_clean(self) -> DataFrame:
+        rows = self._built("closed_deals_clean")
+        return super().deals_clean if rows is None else rows
+
+    @cached_property
+    def deal_clusters(self) -> DataFrame:
+        rows = self._built("deal_clusters")
+        return super().deal_clusters if rows is None else rows
+
+    def _wide(self, table: str, own: Iterable[str], columns: list[str]) -> DataFrame | None:
+        """Columns of a written opportunity table, further lead attributes joined to it."""
+        rows = self._built(table)
+        if rows is None:
+            return None
+        more = [c for c in columns if c not in own]
+        if more:
+            leads = self.leads_clean.select("lead_id", *more)
+            kept = dict.fromkeys([*[c for c in columns if c in own], "lead_id"])
+            rows = many_to_one(rows.select(*kept), leads, "lead_id", self.params, self.opportunities)
+        return rows.select(*columns)
+
+    def opportunities_clean(
+        self, columns: Iterable[str] = cleaning.OPPORTUNITY_COLUMNS
+    ) -> DataFrame:
+        columns = list(columns)
+        rows = self._wide("opportunities_clean", cleaning.OPPORTUNITY_COLUMNS, columns)
+        return super().opportunities_clean(columns) if rows is None else rows
+
+    def opportunity_base(self, columns: Iterable[str]) -> DataFrame:
+        columns = list(columns)
+        own = (*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES)
+        if not set(columns) & set(star.FEATURES):
+            return self.opportunities_clean(columns)
+        rows = self._wide("opportunities_modelled", own, columns)
+        return super().opportunity_base(columns) if rows is None else rows

@@ -19,11 +19,11 @@ from revtrail.operators import (
     segments,
     star,
 )
-from revtrail.operators.joins import is_small, many_to_one
+from revtrail.operators.joins import many_to_one
 from revtrail.operators.measures import Between, evaluate
 from revtrail.plans import report
 from revtrail.plans.dataset import Dataset
-from revtrail.sources.schemas import typed
+from revtrail.sources.schemas import schema_of, typed
 
 Answer = Callable[[Dataset], DataFrame]
 
@@ -35,6 +35,10 @@ SLICERS = {
     "team": ["Enterprise", "SMB"],
 }
 
+# A date slicer alone, and three centres of raw deal value, cost and days.
+DATES = {"close_date": Between(date(1998, 2, 1), date(1999, 5, 20))}
+FIXED_CENTRES = [(320_000.0, 30_000.0, 45.0), (150_000.0, 12_000.0, 40.0), (40_000.0, 2_000.0, 20.0)]
+
 
 def presented(rows: DataFrame) -> DataFrame:
     """Money as plain numbers, which every consumer of a result reads alike."""
@@ -65,21 +69,34 @@ def _clean_tables(ds: Dataset) -> dict[str, DataFrame]:
 
 def _arr_medians(ds: Dataset) -> DataFrame:
     one = ds.leads_clean.select("lead_id", "industry", "company_size")
-    rows = many_to_one(ds.opportunities, one, "lead_id", ds.params)
-    small = is_small(ds.opportunities, ds.params)
-    return cleaning.arr_medians(rows, small, cleaning.few_lead_groups(ds.leads, ds.params))
+    return cleaning.arr_medians(many_to_one(ds.opportunities, one, "lead_id", ds.params))
+
+
+def _from_text(rows: DataFrame, table: str) -> DataFrame:
+    """A table as a text file would bring it, truth values as 0 and 1, given its types back."""
+    names = schema_of(table).names
+    kinds = dict(rows.dtypes)
+    text = [F.col(c).cast("int") if kinds[c] == "boolean" else F.col(c) for c in names]
+    return typed(rows.select(*[t.cast("string").alias(c) for c, t in zip(names, text)]), table)
 
 
 def _modelled(ds: Dataset) -> DataFrame:
     return ds.opportunity_view([*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES])
 
 
+def _forecast_summary(ds: Dataset) -> DataFrame:
+    return forecast.forecast_summary(ds.opportunities_clean(FORECAST), ds.params)
+
+
 def _segment_features(ds: Dataset) -> DataFrame:
     return ds.deal_view(["deal_id", "customer_segment", *segments.FEATURE_COLUMNS])
 
 
-def _kmeans(ds: Dataset) -> DataFrame:
-    return segments.kmeans_segments(_segment_features(ds), ds.params)
+def _fixed_clusters(ds: Dataset) -> DataFrame:
+    """Deals with the nearest of three given centres in raw feature values."""
+    rows = _segment_features(ds).select("deal_id", *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(segments.FEATURE_COLUMNS)])
+    whole = rows.where(" and ".join(f"_x{i} is not null" for i in range(len(segments.FEATURE_COLUMNS))))
+    return segments.assigned_to(whole, FIXED_CENTRES)
 
 
 def _named_by_segment(ds: Dataset) -> DataFrame:
@@ -104,6 +121,12 @@ ANSWERS: dict[str, Answer] = {
     "raw_opportunities": lambda ds: ds.opportunities,
     "raw_closed_deals": lambda ds: ds.closed_deals,
     "typed_import": _typed_import,
+    "typed_leads_clean": lambda ds: _from_text(ds.leads_clean, "leads_clean"),
+    "typed_opportunities_modelled": lambda ds: _from_text(_modelled(ds), "opportunities_modelled"),
+    "typed_closed_deals_clean": lambda ds: _from_text(ds.deals_clean, "closed_deals_clean"),
+    "typed_dim_rep": lambda ds: _from_text(ds.reps, "dim_rep"),
+    "typed_dim_date": lambda ds: _from_text(ds.dim_date, "dim_date"),
+    "typed_forecast_summary": lambda ds: _from_text(_forecast_summary(ds), "forecast_summary"),
     "dim_rep": lambda ds: ds.reps,
     "dim_date": lambda ds: ds.dim_date,
     # profiles and audits
@@ -142,7 +165,7 @@ ANSWERS: dict[str, Answer] = {
     "opportunities_clean": lambda ds: ds.opportunities_clean(),
     "closed_deals_clean": lambda ds: ds.deals_clean,
     "closed_deals_build": lambda ds: cleaning.closed_deals_build(
-        ds.opportunities, ds.leads, ds.params.as_of, ds.params
+        ds.opportunities_clean(["opp_id", "stage", "arr_value", "close_date", "lead_source"]), ds.params
     ),
     # analytical questions
     "funnel_by_source": lambda ds: analytics.funnel_by_source(
@@ -161,7 +184,7 @@ ANSWERS: dict[str, Answer] = {
         ds.opportunities_clean(["owner_id", "stage"]), ds.reps
     ),
     "arr_cac_by_segment_source": lambda ds: analytics.arr_cac_by_segment_source(
-        ds.deals_clean, ds.opportunities, ds.leads_clean, ds.params, ds.closed_deals
+        ds.deals_clean, ds.opportunities, ds.leads_clean, ds.params
     ),
     "rolling_3mo_arr": lambda ds: analytics.rolling_3mo_arr(ds.deals_clean),
     "forecast_by_quarter": lambda ds: analytics.forecast_by_quarter(
@@ -184,18 +207,17 @@ ANSWERS: dict[str, Answer] = {
     "opportunities_modelled": _modelled,
     "segment_features": _segment_features,
     "standardized_features": lambda ds: segments.standardized_features(_segment_features(ds)),
-    "kmeans_segments": _kmeans,
-    "kmeans_profile": lambda ds: segments.name_clusters(segments.cluster_profile(_kmeans(ds))),
-    "kmeans_cluster_counts": lambda ds: quality.frequencies(_kmeans(ds), "cluster_label"),
+    "kmeans_segments": lambda ds: ds.deal_clusters,
+    "kmeans_fixed_centres": _fixed_clusters,
+    "kmeans_profile": lambda ds: segments.name_clusters(segments.cluster_profile(ds.deal_clusters)),
+    "kmeans_cluster_counts": lambda ds: quality.frequencies(ds.deal_clusters, "cluster_label"),
     "cluster_naming": _named_by_segment,
     "closed_deals_segmented": lambda ds: ds.deal_view(star.SEGMENTED_COLUMNS),
-    "cluster_mix": lambda ds: segments.cluster_mix(_kmeans(ds)),
+    "cluster_mix": lambda ds: segments.cluster_mix(ds.deal_clusters),
     "forecast_monthly": lambda ds: forecast.forecast_monthly(
         ds.opportunities_clean(FORECAST), ds.params
     ),
-    "forecast_summary": lambda ds: forecast.forecast_summary(
-        ds.opportunities_clean(FORECAST), ds.params
-    ),
+    "forecast_summary": _forecast_summary,
     # star views
     "star_opportunities": lambda ds: ds.opportunity_view(star.OPPORTUNITY_VIEW),
     "star_opportunities_created": lambda ds: ds.opportunity_view(
@@ -223,6 +245,16 @@ ANSWERS: dict[str, Answer] = {
     "m17_stalled_arr": _measure("stalled_arr", "team"),
     "m18_rolling_3m_arr": measures.rolling_closed_arr,
     "m19_qtd_arr": measures.quarter_to_date_arr,
+    "m18_by_year": _measure("rolling_3m_arr", "year"),
+    "m18_by_region": _measure("rolling_3m_arr", "region"),
+    "m18_sliced": _measure("rolling_3m_arr", "region", filters=DATES),
+    "m19_by_year": _measure("qtd_arr", "year"),
+    "m19_by_region": _measure("qtd_arr", "region"),
+    "m19_sliced": _measure("qtd_arr", "region", filters=DATES),
+    "m14_sliced_by_size_band": _measure("avg_cac", "lead_source", filters={"deal_size_band": ["Q4"]}),
+    "segment_sliced_kpis": lambda ds: evaluate(
+        ds, ["closed_won_count", "closed_won_arr", "segment_arr"], filters={"customer_segment": ["SMB", "Enterprise"]}
+    ),
     "m20_arr_by_segment": measures.arr_by_segment,
     "m21_cohort_won_arr": measures.cohort_won_arr,
     "measures_all": measures.measures_all,

@@ -148,8 +148,8 @@ def rep_leaderboard(ds) -> DataFrame:
     rows = _by_owner(
         ds, "closed_won_count", "closed_won_arr", "win_rate", "avg_days_to_close", "stalled_arr"
     )
-    # The rep table may be long: the extremes come from an aggregate, not a window.
-    ends = rows.agg(F.min("win_rate").alias("low"), F.max("win_rate").alias("high"))
+    # Owners may be many, so the extremes come from an aggregate; the rate alone needs no values.
+    ends = _by_owner(ds, "win_rate").agg(F.min("win_rate").alias("low"), F.max("win_rate").alias("high"))
     scaled = rows.withColumn("_ends", ends.select(F.struct("low", "high")).scalar())
     scale = _scaled(F.col("win_rate"), F.col("_ends.low"), F.col("_ends.high"))
     return (

@@ -9,26 +9,9 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.dates import CALENDAR
 
-# A day range of up to this length (about 270 years) is safe to broadcast.
-BROADCAST_DAYS = 100_000
-
-
-def date_range(rows: DataFrame, *columns: str) -> tuple[date, date]:
-    """First and last day over some date columns: one row to the driver."""
-    bounds = rows.agg(
-        F.least(*[F.min(c) for c in columns]) if len(columns) > 1 else F.min(columns[0]),
-        F.greatest(*[F.max(c) for c in columns]) if len(columns) > 1 else F.max(columns[0]),
-    ).first()
-    return bounds[0], bounds[1]
-
-
 def date_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from start to end with its calendar attributes."""
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("date")
     )
     return days.select("date", *[f(F.col("date")).alias(name) for name, f in CALENDAR.items()])
-
-
-def small_spine(start: date, end: date) -> bool:
-    return (end - start).days < BROADCAST_DAYS

@@ -5,16 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from revtrail.sources.schemas import schema_of
+from revtrail.sources.schemas import schema_of, typed
 
 
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """A table from parquet, ORC or CSV with its declared types."""
-    reader = spark.read.schema(schema_of(table))
-    if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
-    return reader.format(fmt).load(path)
+    """A table from parquet, ORC or CSV with its declared types.
+
+    CSV is read as text and then given its types, so that true, True and 1 mean the same.
+    """
+    schema = schema_of(table)
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    reader = spark.read.schema(text).option("header", True).option("mode", "FAILFAST")
+    return typed(reader.csv(path), table)
 
 
 def load_tables(

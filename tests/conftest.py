@@ -130,4 +130,4 @@ def business(spark, make):
             dict(owner_id="R3", rep_name="Cy", team="SMB", rep_region="APAC", annual_quota=5),
         ],
     )
-    return Dataset.of(leads, opps, deals, reps, Params(as_of=D("2025-06-01")))
+    return Dataset.of(leads, opps, deals, reps, Params(as_of=D("2025-06-01"), first_day=D("2025-01-01"), last_day=D("2025-05-31")))

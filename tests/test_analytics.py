@@ -128,12 +128,11 @@ def test_stalled_flag(spark):
     }
 
 
-@pytest.mark.parametrize("small_rows", [10**6, 0])
-def test_size_bands_never_split_equal_values(spark, small_rows):
+def test_size_bands_never_split_equal_values(spark):
     opps = spark.createDataFrame(
         [(M(v),) for v in (1, 2, 3, 10, 10, 4, 5)] + [(None,)], "arr_value decimal(18,2)"
     )
-    rows = features.with_size_band(opps, opps, Params(small_rows=small_rows)).collect()
+    rows = features.with_size_band(opps).collect()
     bands = {(r["arr_value"], r["deal_size_band"]) for r in rows}
     assert bands == {
         (M("1.00"), "Q1"),
@@ -186,3 +185,26 @@ def test_profile(business):
     assert [r["opp_id"] for r in outliers.collect()] == ["O1", "O4"]
     audit = quality.imputation_audit(business.opportunities_clean()).first()
     assert tuple(audit) == (1, 1, 0)
+
+
+def test_fractions_are_rounded_once(spark):
+    from revtrail.functions.numbers import rounded_ratio
+
+    cases = [
+        # above, below, half up, half even
+        ("71250003", "10000000", 7.13, 7.13),
+        ("71349999999999", "10000000000000", 7.13, 7.13),
+        ("7.125", "1", 7.13, 7.12),
+        ("7.135", "1", 7.14, 7.14),
+        ("-7.125", "1", -7.13, -7.12),
+        ("1", "-8", -0.13, -0.12),
+        ("1", "0", None, None),
+        (None, "1", None, None),
+    ]
+    rows = spark.createDataFrame([(a, b) for a, b, _, _ in cases], "a string, b string").selectExpr(
+        "CAST(a AS decimal(22,4)) AS a", "CAST(b AS decimal(18,4)) AS b"
+    )
+    from pyspark.sql import functions as F
+
+    found = rows.select(rounded_ratio(F.col("a"), F.col("b"), 2), rounded_ratio(F.col("a"), F.col("b"), 2, even=True))
+    assert [tuple(r) for r in found.collect()] == [(u, e) for _, _, u, e in cases]

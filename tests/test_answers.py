@@ -5,9 +5,10 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
+from revtrail.plans import oracle, registry
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,11 @@ def test_only_clustering_has_no_sql():
     assert set(SQL) <= set(QUERIES)
 
 
+def test_entry_points_hold_every_answer():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark)
     assert rows.columns[0] == "lead_source"

@@ -62,8 +62,8 @@ def test_medians_fill_missing_values(make):
     leads = make(LEADS, [p[0] for p in pairs])
     orphan = dict(opp_id="X", lead_id="nobody", stage="Proposal", days_in_stage=1)
     opps = make(OPPS, [*[p[1] for p in pairs], orphan])
-    for small in (10**6, 0):
-        rows = cleaning.opportunities_clean(opps, leads, Params(small_rows=small)).collect()
+    for hot in (10**6, 1):
+        rows = cleaning.opportunities_clean(opps, leads, Params(hot_rows=hot)).collect()
         assert len(rows) == i + 1
         filled = {r["industry"]: r["arr_value"] for r in rows if r["arr_imputed_flag"] == 1}
         assert filled == {
@@ -76,6 +76,18 @@ def test_medians_fill_missing_values(make):
         }
 
 
+def test_half_cents_round_up(make):
+    pairs, expected = [], {}
+    for n, cents in enumerate([(101, 102), (803_605, 803_606), (1, 2), (12_345_677, 12_345_678)]):
+        low, high = cents
+        pairs += [group(f"{n}a", low / 100, f"i{n}"), group(f"{n}b", high / 100, f"i{n}"), group(f"{n}c", None, f"i{n}")]
+        expected[f"i{n}"] = M(high / 100)
+    rows = cleaning.opportunities_clean(
+        make(OPPS, [p[1] for p in pairs]), make(LEADS, [p[0] for p in pairs]), PARAMS
+    ).where("arr_imputed_flag = 1")
+    assert {r["industry"]: r["arr_value"] for r in rows.collect()} == expected
+
+
 def test_close_dates_of_won_deals_are_filled(make):
     def opp(i, stage, closed, days):
         return dict(opp_id=i, lead_id="L", stage=stage, created_date=D("2025-01-01"),
@@ -136,20 +148,25 @@ def test_segments_and_costs(make):
 
 
 def test_deals_from_won_opportunities(make):
+    def won(i, lead_id, arr, closed="2025-03-03"):
+        return dict(opp_id=i, lead_id=lead_id, stage="Closed Won", arr_value=M(arr), days_in_stage=1,
+                    created_date=D("2025-01-01"), close_date=D(closed))
+
     opps = make(
         OPPS,
-        [
-            dict(opp_id="a", lead_id="L", stage="Closed Won", arr_value=M(10), close_date=D("2025-09-09")),
-            dict(opp_id="b", lead_id="M", stage="Closed Won", arr_value=M(30_000)),
-            dict(opp_id="c", lead_id="L", stage="Proposal", arr_value=M(10)),
-        ],
+        [won("a", "L", 10, "2025-09-09"), won("b", "M", 30_000), won("c", "L", None), won("d", "M", None),
+         dict(opp_id="e", lead_id="L", stage="Proposal", arr_value=M(10))],
     )
-    leads = make(LEADS, [lead("L", source="event")])
-    built = cleaning.closed_deals_build(opps, leads, D("2025-06-30"), PARAMS).collect()
-    found = {r["deal_id"]: r for r in built}
-    assert set(found) == {"a", "b"}
+    leads = make(LEADS, [lead("L", source="event", industry="SaaS", company_size="1-10")])
+    params = Params(last_day=D("2025-06-30"))
+    clean = cleaning.opportunities_clean(opps, leads, params, ["opp_id", "stage", "arr_value", "close_date", "lead_source"])
+    found = {r["deal_id"]: r for r in cleaning.closed_deals_build(clean, params).collect()}
+    assert set(found) == {"a", "b", "c", "d"}
     assert found["a"]["close_date"] == D("2025-06-30") and found["a"]["lead_source"] == "Event"
-    assert found["b"]["close_date"] is None and found["b"]["customer_segment"] == "Mid-Market"
+    assert found["b"]["customer_segment"] == "Mid-Market" and found["b"]["lead_source"] is None
+    # the median of the lead's group, and no segment where no value is known
+    assert (found["c"]["arr_value"], found["c"]["customer_segment"]) == (M(10), "SMB")
+    assert (found["d"]["arr_value"], found["d"]["customer_segment"]) == (None, None)
 
 
 def test_qualified_only(make):

@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
-from revtrail.operators.joins import fits, hot_keys, lookup, many_to_one, row_count
+from revtrail.operators.joins import heavy_keys, label_lookup, many_to_one
 from revtrail.params import Params
 
-LARGE = Params(small_rows=1000)
+HEAVY = Params(hot_rows=1000)
 
 
 def facts(spark, n=30_000):
@@ -17,53 +18,45 @@ def ones(spark, n=30_000):
     return spark.range(n + 100).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
 
 
-def test_hot_keys_are_found(spark):
-    hot = hot_keys(facts(spark), ["k"], LARGE)
-    assert len(hot.hashes) == 1 and hot.nulls
+def test_heavy_keys_are_found(spark):
+    found = {r["_key0"]: r["_parts"] for r in heavy_keys(facts(spark), ["k"], HEAVY).collect()}
+    assert found == {1: 10, None: 10}
     even = spark.range(30_000).select(F.col("id").alias("k"))
-    assert not hot_keys(even, ["k"], LARGE)
+    assert heavy_keys(even, ["k"], HEAVY).count() == 0
 
 
-def test_small_tables_have_no_hot_keys(spark):
-    assert not hot_keys(facts(spark), ["k"], Params())
-
-
-def test_hot_rows_join_by_broadcast_and_none_is_lost(spark):
+@pytest.mark.parametrize("params", [HEAVY, Params()])
+def test_no_row_is_lost_or_repeated(spark, params):
     many, one = facts(spark), ones(spark)
-    joined = many_to_one(many, one, "k", LARGE)
+    joined = many_to_one(many, one, "k", params)
     expected = many.join(one, "k", "left")
-    assert joined.count() == 30_000
-    assert joined.exceptAll(expected).count() == 0
-    assert expected.exceptAll(joined).count() == 0
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "strategy=broadcast" in plan
+    assert sorted(joined.columns) == sorted(expected.columns) and joined.count() == 30_000
+    joined = joined.select(*expected.columns)
+    assert joined.exceptAll(expected).count() == 0 and expected.exceptAll(joined).count() == 0
 
 
-def test_only_missing_keys_are_hot(spark):
-    many = facts(spark).where("k is null or k <> 1")
-    joined = many_to_one(many, ones(spark), "k", LARGE)
-    assert joined.count() == 20_000
-    assert joined.where("v is null").count() == 10_000
+def test_rows_of_a_heavy_key_are_dealt_out(spark):
+    many = facts(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = many_to_one(many, ones(spark), "k", HEAVY)
+        largest = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert largest < 10_000
 
 
-def test_hot_join_with_several_keys(spark):
+def test_several_keys(spark):
     many = facts(spark).withColumn("j", F.lit("x"))
     one = ones(spark).withColumn("j", F.lit("x"))
-    joined = many_to_one(many, one, ["k", "j"], LARGE)
-    assert joined.where("v is not null").count() == 20_000
+    assert many_to_one(many, one, ["k", "j"], HEAVY).where("v is not null").count() == 20_000
 
 
-def test_lookup_beyond_the_limit_still_joins(spark):
+def test_labels_join_by_a_checked_broadcast(spark):
     many, one = facts(spark), ones(spark)
     few = one.where("k < 5")
-    tight = Params(small_rows=1000, broadcast_rows=10)
-    near = lookup(many, few, "k", tight)
-    assert near.where("v = 10").count() == 10_000
-    far = lookup(many, one, "k", tight)
-    assert far.where("v is not null").count() == 20_000
-
-
-def test_counting(spark):
-    rows = spark.range(50)
-    assert row_count(rows) == 50
-    assert fits(rows, 50) and not fits(rows, 49)
+    assert label_lookup(many, few, "k", Params(broadcast_rows=10)).where("v = 10").count() == 10_000
+    with pytest.raises(Exception, match="more labels than broadcast_rows=10"):
+        label_lookup(many, one, "k", Params(broadcast_rows=10)).collect()

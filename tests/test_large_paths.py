@@ -1,4 +1,4 @@
-"""The ways taken by large tables, forced on the test data, must change no value."""
+"""Heavy keys dealt to several tasks must change no value, and planning runs no job."""
 
 import dataclasses
 
@@ -6,32 +6,39 @@ import compare
 import pytest
 from conftest import SF_DIR
 
-import __spark_entry__ as entry_points
-from revtrail.plans import registry
+from revtrail.plans import oracle, registry
 from revtrail.plans.dataset import Dataset
 
-SQL = entry_points.oracle_sql()
+SQL = oracle.statements()
 NAMES = [
+    "opportunities_clean",
     "arr_median_by_segment",
     "arr_cac_by_segment_source",
     "closed_deals_build",
     "star_opportunities",
     "star_deals",
 ]
+FITTED = {"kmeans_segments", "kmeans_profile", "kmeans_cluster_counts", "cluster_mix", "closed_deals_segmented"}
 
 
 @pytest.mark.parametrize("name", NAMES)
-@pytest.mark.parametrize(
-    "limits",
-    [
-        dict(small_rows=0),
-        dict(small_rows=0, hot_share=0.002),
-        dict(small_rows=0, broadcast_rows=1),
-    ],
-    ids=["large", "hot", "nothing_fits"],
-)
-def test_large_table_paths(spark, name, limits):
+@pytest.mark.parametrize("hot_rows", [1, 7])
+def test_heavy_keys(spark, name, hot_rows):
     ds = Dataset.from_testdata(spark, SF_DIR)
-    ds.params = dataclasses.replace(ds.params, **limits)
+    ds.params = dataclasses.replace(ds.params, hot_rows=hot_rows)
     rows = registry.presented(registry.ANSWERS[name](ds))
     assert compare.differences(rows, compare.connect(SF_DIR), SQL[name]) == []
+
+
+def test_planning_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    started = {}
+    for name, query in registry.queries().items():
+        if name in FITTED:
+            continue
+        spark.sparkContext.setJobGroup(f"plan {name}", name)
+        query(spark, SF_DIR)
+        if jobs := tracker.getJobIdsForGroup(f"plan {name}"):
+            started[name] = len(jobs)
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert started == {}

@@ -84,10 +84,61 @@ def test_facts_do_not_multiply_each_other(business):
 
 
 def test_rolling_by_calendar_and_quarter_to_date(business):
-    rolling = [(r["month"], float(r["rolling_3m_arr"])) for r in measures.rolling_closed_arr(business).collect()]
-    assert rolling == [("2025-02", 100.0), ("2025-03", 200.0)]
-    qtd = {r["date"]: float(r["qtd_arr"]) for r in measures.quarter_to_date_arr(business).collect()}
-    assert qtd == {D("2025-02-21"): 100.0, D("2025-03-01"): 200.0}
+    rolling = {r["month"]: r["rolling_3m_arr"] and float(r["rolling_3m_arr"]) for r in measures.rolling_closed_arr(business).collect()}
+    assert rolling == {"2025-01": None, "2025-02": 100.0, "2025-03": 200.0, "2025-04": 200.0, "2025-05": 100.0}
+    qtd = {r["date"]: r["qtd_arr"] and float(r["qtd_arr"]) for r in measures.quarter_to_date_arr(business).collect()}
+    assert len(qtd) == 151 and qtd[D("2025-02-20")] is None and qtd[D("2025-05-31")] is None
+    assert qtd[D("2025-02-21")] == qtd[D("2025-02-28")] == 100.0 and qtd[D("2025-03-01")] == qtd[D("2025-03-31")] == 200.0
+
+
+def test_time_measures_follow_axis_and_filter(business):
+    names = ["rolling_3m_arr", "qtd_arr"]
+    march = {"close_date": Between(D("2025-03-01"), D("2025-03-15"))}
+    row = one(evaluate(business, names, filters=march))
+    # the filter moves the last day; the days before it count
+    assert (float(row["rolling_3m_arr"]), float(row["qtd_arr"])) == (200, 200)
+    by_quarter = {r["quarter"]: tuple(v and float(v) for v in tuple(r)[1:]) for r in evaluate(business, names, ["quarter"]).collect()}
+    assert by_quarter == {"Q1": (200.0, 200.0), "Q2": (100.0, None)}
+    by_team = {r["team"]: float(r["rolling_3m_arr"]) for r in evaluate(business, ["rolling_3m_arr"], ["team"], march).collect()}
+    assert by_team == {"SMB": 200.0}
+
+
+def test_filters_that_reach_nothing_are_errors(business):
+    with pytest.raises(ValueError, match="no_such_column"):
+        evaluate(business, ["closed_won_count"], filters={"no_such_column": ["x"]})
+    # the leads have no date of the calendar; their own has its own name
+    row = one(evaluate(business, ["total_leads", "total_opportunities"], filters={"created_date": [D("2025-01-01")]}))
+    assert row == {"total_leads": 2, "total_opportunities": 1}
+    row = one(evaluate(business, ["total_leads"], filters={"lead_created_date": [D("2025-01-02")]}))
+    assert row == {"total_leads": 0}
+
+
+def test_opportunity_attributes_reach_the_deals(business):
+    everything = one(evaluate(business, ["avg_cac"]))
+    assert everything == {"avg_cac": 10.0}
+    assert one(evaluate(business, ["avg_cac"], filters={"deal_size_band": ["Q4"]})) == {"avg_cac": None}
+    assert one(evaluate(business, ["avg_cac"], filters={"close_probability": [100]})) == {"avg_cac": 10.0}
+    assert one(evaluate(business, ["avg_cac"], filters={"is_stalled": [True]})) == {"avg_cac": None}
+
+
+def test_deals_do_not_multiply_their_opportunity(make, business):
+    from conftest import DEALS, M
+
+    deals = make(
+        DEALS,
+        [
+            dict(deal_id="D1", opp_id="O1", arr_value=M(10), customer_segment="SMB", cac=M(1)),
+            dict(deal_id="D2", opp_id="O1", arr_value=M(90), customer_segment="Enterprise", cac=M(1)),
+        ],
+    )
+    ds = Dataset.of(business.leads, business.opportunities, deals, business.reps, business.params)
+    view = ds.opportunity_view(["opp_id", "customer_segment"]).collect()
+    assert len(view) == 5 and {r["opp_id"]: r["customer_segment"] for r in view}["O1"] == "Enterprise"
+    total = one(evaluate(ds, ["closed_won_arr"], filters={"customer_segment": ["SMB", "Enterprise"]}))
+    assert total == one(evaluate(ds, ["closed_won_arr"], filters={"customer_segment": ["SMB"]}))
+    assert float(total["closed_won_arr"]) == 100
+    rows = {r[0]: float(r[1]) for r in evaluate(ds, ["closed_won_arr"], ["customer_segment"]).where("closed_won_arr is not null").collect()}
+    assert rows == {"Enterprise": 100.0, None: 100.0}
 
 
 def test_segments_with_total(business):

@@ -1,6 +1,8 @@
 import math
 
+import pytest
 from conftest import M
+from published_deals import ROWS
 
 from revtrail.operators import segments
 from revtrail.params import HIGH_VALUE, LONG_TAIL, MID_MARKET, Params
@@ -51,3 +53,41 @@ def test_standardized_features(spark):
         values = [r[name] for r in rows]
         assert abs(sum(values)) < 1e-3
         assert math.isclose(sum(v * v for v in values) / len(values), 1.0, rel_tol=1e-4)
+
+
+PUBLISHED = [line.split() for line in ROWS.split("\n") if line]
+NAMES = {"H": HIGH_VALUE, "M": MID_MARKET, "L": LONG_TAIL}
+
+
+@pytest.fixture(scope="module")
+def published(spark):
+    rows = [(f"P{n:04d}", "SMB", M(arr), M(cac), int(days)) for n, (arr, cac, days, _) in enumerate(PUBLISHED)]
+    table = spark.createDataFrame(
+        rows, "deal_id string, customer_segment string, arr_value decimal(18,2), cac decimal(18,2), days_in_stage int"
+    )
+    return {
+        parts: {r["deal_id"]: (r["cluster"], r["cluster_label"]) for r in segments.kmeans_segments(table.repartition(parts), Params()).collect()}
+        for parts in (1, 2, 4, 8)
+    }
+
+
+def test_labels_do_not_depend_on_the_layout(published):
+    assert published[1] == published[2] == published[4] == published[8]
+
+
+def test_labels_agree_with_the_published_ones(published):
+    found = [published[1][f"P{n:04d}"][1] for n in range(len(PUBLISHED))]
+    agree = sum(f == NAMES[row[3]] for f, row in zip(found, PUBLISHED))
+    assert len(PUBLISHED) == 127 and agree >= 0.95 * 127
+
+
+def test_deals_without_a_feature_are_set_apart(spark):
+    rows = deals(spark).unionByName(
+        spark.createDataFrame([("x", "SMB", M(5), M(5), None)], "deal_id string, customer_segment string, arr_value decimal(18,2), cac decimal(18,2), days_in_stage int")
+    )
+    found = {r["deal_id"]: r["cluster_label"] for r in segments.kmeans_segments(rows, Params(kmeans_starts=3)).collect()}
+    assert found["x"] is None and len(found) == 91 and set(found.values()) == {None, *NAMES.values()}
+
+
+def test_no_deals(spark):
+    assert segments.kmeans_segments(deals(spark).limit(0), Params(kmeans_starts=2)).collect() == []

@@ -2,6 +2,7 @@ import pytest
 from conftest import SF_DIR, D, M
 
 from revtrail.operators.quality import row_counts
+from revtrail.plans import registry
 from revtrail.plans.dataset import Dataset
 from revtrail.sources import dimensions, files
 from revtrail.sources.schemas import TABLES, schema_of, typed
@@ -67,17 +68,40 @@ def test_typed_import(spark):
         typed(broken, "closed_deals").collect()
 
 
+def test_truth_values_of_text_files(spark, tmp_path):
+    folder = tmp_path / "closed_deals"
+    folder.mkdir()
+    (folder / "part.csv").write_text(
+        "deal_id,opp_id,arr_value,close_date,customer_segment,cac,renewal_flag\n"
+        "D1,O1,10.5,2025-01-02,SMB,3,1\nD2,O2,,,SMB,3,0\nD3,O3,1,2025-01-03,,3,True\nD4,O4,1,2025-01-03,,3,false\n"
+    )
+    rows = files.read_table(spark, str(folder), "closed_deals", "csv").orderBy("deal_id").collect()
+    assert [r["renewal_flag"] for r in rows] == [True, False, True, False]
+    assert rows[0]["arr_value"] == M("10.50") and rows[1]["arr_value"] is None and rows[1]["close_date"] is None
+
+
 def test_every_schema_parses():
     assert all(len(schema_of(name).fields) >= 5 for name in TABLES)
 
 
-def test_build_writes_tables_that_are_read_back(spark, tmp_path):
+def test_built_tables_give_the_same_answers(spark, tmp_path):
+    import dataclasses
+
     ds = Dataset.from_testdata(spark, SF_DIR)
-    ds.build(str(tmp_path))
-    again = spark.read.parquet(str(tmp_path / "opportunities_modelled"))
-    assert again.count() == ds.opportunities.count()
-    deals = spark.read.parquet(str(tmp_path / "closed_deals_segmented"))
-    assert deals.where("cluster_label is null").count() == 0 and deals.count() == ds.deals_clean.count()
+    ds.params = dataclasses.replace(ds.params, kmeans_starts=3)
+    built = ds.build(str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "forecast_summary")).count() > 4
-    counts = {r["tbl"]: (r["n_rows"], r["n_columns"]) for r in row_counts({"m": again}).collect()}
+    modelled = spark.read.parquet(str(tmp_path / "opportunities_modelled"))
+    counts = {r["tbl"]: (r["n_rows"], r["n_columns"]) for r in row_counts({"m": modelled}).collect()}
     assert counts == {"m": (1500, 16)}
+    for name in ("leads_clean", "opportunities_modelled", "coverage_ratio", "won_by_size_band", "star_deals",
+                 "exec_arr_by_region", "m14_sliced_by_size_band", "kmeans_segments", "closed_deals_segmented"):
+        first, again = registry.ANSWERS[name](ds), registry.ANSWERS[name](built)
+        columns = sorted(first.columns)
+        assert sorted(again.columns) == columns, name
+        assert sorted(map(str, again.select(*columns).collect())) == sorted(map(str, first.select(*columns).collect())), name
+
+
+def test_calendar_is_a_setting(business):
+    days = [r["date"] for r in business.dim_date.orderBy("date").collect()]
+    assert (days[0], days[-1], len(days)) == (D("2025-01-01"), D("2025-05-31"), 151)
