@@ -2,8 +2,8 @@
 
 The sketch of a document is the `k` smallest hashes of its distinct shingles under one
 hash function; a document with fewer shingles is its own sketch. Two documents with a
-similarity of 0.75 have the same value among their smallest ones all but surely (a pair
-shares none of the lowest 16 with a chance of 0.25^16), so inverted lists of the lowest
+similarity of 0.75 have a same value among their smallest ones all but surely (a pair
+shares none of the lowest 10 with a chance of 0.25^10, one in a million), so inverted lists of the lowest
 `heads` values bring all pairs together. Inside a list the union of two sketches
 estimates the similarity; pairs far below the limit go (`loose` lies more than four
 standard deviations under it). What is left connects documents to groups, and within a
@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.llm.frames import documents_in, id_and_text, ids_of, settled
-from revtrail.llm.links import BLOCK, Test, components, in_blocks, jaccard_test, link_lists
+from revtrail.llm.links import BLOCK, Test, components, distinct_lists, in_blocks, jaccard_test, link_lists
 from revtrail.llm.words import Words, windows
 
 WIDTH = 5
 K = 64
-HEADS = 16
+HEADS = 10
 LOOSE = 0.5
 PERCENT = 75
 
@@ -91,6 +91,13 @@ def sketch_test(k: int, loose: float) -> Callable[[list[np.ndarray]], Test]:
         last = table[:, -1]
 
         def linked(shared: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+            # one of the two sketches is counted whole, so the estimate needs this much of it
+            able = np.flatnonzero(shared >= loose * np.minimum(sizes[one], sizes[others]))
+            out = np.zeros(len(others), dtype=bool)
+            out[able] = estimate(shared[able], one, others[able])
+            return out
+
+        def estimate(shared: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
             upto = np.minimum(last[one], last[others])[:, None]
             own = np.minimum((table[one][None, :] <= upto).sum(axis=1), sizes[one])
             theirs = np.minimum((table[others] <= upto).sum(axis=1), sizes[others])
@@ -149,19 +156,17 @@ def labelled(
             F.first("heads").alias("heads"),
         )
     )
-    listed = classes.select("digest", F.explode("heads").alias("value"))
-    shared = listed.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    entries = listed.join(shared, "value").join(classes.select("digest", "sketch"), "digest")
-    entries = in_blocks(entries, ["value"], F.col("digest"), "n", block)
-    entries = entries.select("value", "part", F.col("digest").alias("member"), F.col("sketch").alias("held"))
-    canopies = components(link_lists(entries, ["value"], sketch_test(k, loose)))
+    listed = classes.select(F.explode("heads").alias("value"), F.col("digest").alias("member"))
+    sketches = classes.select(F.col("digest").alias("member"), F.col("sketch").alias("held"))
+    entries = in_blocks(distinct_lists(listed).join(sketches, "member"), block)
+    canopies = components(link_lists(entries, sketch_test(k, loose), loose))
 
     canopies = canopies.select(F.col("node").alias("digest"), F.col("root").alias("canopy"))
     wanted = canopies.join(classes.select("digest", "first_id"), "digest")
     sizes = canopies.groupBy("canopy").agg(F.count(F.lit(1)).alias("n"))
     sets = full_sets(docs, wanted, width).join(sizes, "canopy")
-    sets = in_blocks(sets, ["canopy"], F.col("member"), "n", block)
-    roots = components(link_lists(sets, ["canopy"], exact_test(percent)))
+    sets = in_blocks(sets.withColumnRenamed("canopy", "value"), block)
+    roots = components(link_lists(sets, exact_test(percent), percent / 100))
 
     rooted = classes.select("digest", "first_id").join(
         roots.select(F.col("node").alias("digest"), "root"), "digest", "left"

@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.llm.bottomk_dedup import exact_test
-from revtrail.llm.frames import Chunk, packed, rows_of, settled
+from revtrail.llm.frames import Chunk, in_chunks, packed, rows_of, settled
 from revtrail.llm.keys import SENT, batch_of, bucket_count, key_list, member, sent, shared_keys
-from revtrail.llm.links import BLOCK, components, in_blocks, link_lists
+from revtrail.llm.links import BLOCK, components, distinct_lists, in_blocks, link_lists
 from revtrail.llm.words import Words, mix, windows
 
 
@@ -216,27 +216,26 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
     chunks = packed(docs)
     buckets = bucket_count(docs)
 
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            _, keys = band_keys(paragraphs(Chunk(row), how), how)
-            yield batch_of(list(sent(row["chunk"], keys.reshape(-1), buckets)), SENT)
+    def seeds(chunk: Chunk) -> pa.RecordBatch:
+        _, keys = band_keys(paragraphs(chunk, how), how)
+        return batch_of(list(sent(chunk.number, keys.reshape(-1), buckets)), SENT)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            yield batch_of(candidates(Chunk(row), key_list(row["shared"]), how), ENTRY)
+            yield batch_of(candidates(Chunk.unpacked(row), key_list(row["shared"]), how), ENTRY)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             gone = {g["number"]: g["first"] for g in row["gone"] or []}
-            yield report(Chunk(row), gone, how)
+            yield report(Chunk.unpacked(row), gone, how)
 
-    told = shared_keys(chunks.mapInArrow(seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
+    told = shared_keys(in_chunks(docs, seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
     found = settled(chunks.join(told, "chunk").mapInArrow(choose, ENTRY))
 
-    entries = found.groupBy("value", "member").agg(F.first("held").alias("held"))
-    sizes = entries.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    entries = in_blocks(entries.join(sizes, "value"), ["value"], F.col("member"), "n", block)
-    roots = components(link_lists(entries, ["value"], exact_test(how.percent)))
+    listed = found.select("value", "member").distinct()
+    sets = found.groupBy("member").agg(F.first("held").alias("held"))
+    entries = in_blocks(distinct_lists(listed).join(sets, "member"), block)
+    roots = components(link_lists(entries, exact_test(how.percent), how.percent / 100))
 
     spots = found.select("chunk", "number", "member", "doc_id").distinct()
     rooted = spots.join(roots.withColumnRenamed("node", "member"), "member", "left")

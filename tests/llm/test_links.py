@@ -52,7 +52,7 @@ def test_no_edges(spark):
 @given(st.lists(st.sets(st.integers(0, 12), max_size=8), max_size=10))
 def test_forest_connects_what_is_linked(sets):
     arrays = [np.asarray(sorted(s), dtype=np.uint64) for s in sets]
-    edges = forest(arrays, exact_test(75)(arrays))
+    edges = forest(arrays, exact_test(75)(arrays), 0.75)
     linked = [
         (i, j)
         for i in range(len(sets))
@@ -77,9 +77,9 @@ def test_long_lists_go_out_as_pairs_of_blocks(spark):
         sets.append(sorted(own))
     rows = [(7, key(i), np.asarray(s, dtype="<u8").tobytes(), len(sets)) for i, s in enumerate(sets)]
     entries = spark.createDataFrame(rows, "value long, member binary, held binary, n long")
-    dealt = in_blocks(entries, ["value"], F.col("member"), "n", block=10)
+    dealt = in_blocks(entries, block=10)
     assert dealt.groupBy("part").count().agg(F.max("count")).first()[0] < 40
-    edges = [(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in link_lists(dealt, ["value"], exact_test(75)).collect()]
+    edges = [(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for r in link_lists(dealt, exact_test(75), 0.75).collect()]
     linked = [
         (i, j)
         for i in range(60)
