@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text that one step of a task holds as arrays.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def settled(rows: DataFrame) -> DataFrame:
@@ -37,8 +38,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def utf8(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.binary()).to_pylist()
+def texts_in(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Slices of a text column as (start, stop, bytes); only one slice is in Python at a time."""
+    raw = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(raw), 0).to_pylist()
+    for start, stop in slices((size + 64 for size in sizes), most):
+        yield start, stop, raw.slice(start, stop - start).to_pylist()
+    # what a batch needed goes back to the system, not to the next batch of this worker alone
+    pa.default_memory_pool().release_unused()
 
 
 def slices(sizes: Iterable[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -59,9 +66,8 @@ def documents_in(
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of (rows, texts); the second column holds the text."""
     for batch in batches:
-        texts = utf8(batch.column(1))
-        for start, stop in slices((len(t or b"") + 64 for t in texts), most):
-            yield batch.slice(start, stop - start), texts[start:stop]
+        for start, stop, texts in texts_in(batch.column(1), most):
+            yield batch.slice(start, stop - start), texts
 
 
 def ids_of(batch: pa.RecordBatch) -> pa.Array:
@@ -73,117 +79,99 @@ def per_text(judge: Callable[[list[bytes | None]], list[pa.Array]], kind: str) -
     names = [part.split()[0] for part in kind.split(", ")]
 
     def answer(column: pa.Array) -> pa.Array:
-        texts = utf8(column)
-        ranges = list(slices(len(t or b"") + 64 for t in texts)) or [(0, 0)]
-        return pa.concat_arrays([pa.StructArray.from_arrays(judge(texts[a:b]), names=names) for a, b in ranges])
+        parts = [judge(texts) for _, _, texts in texts_in(column)] or [judge([])]
+        return pa.concat_arrays([pa.StructArray.from_arrays(part, names=names) for part in parts])
 
     # the types are given in full: `from __future__ import annotations` hides them from Spark
     answer.__annotations__ = {"column": pa.Array, "return": pa.Array}
     return F.arrow_udf(answer, f"struct<{', '.join(p.replace(' ', ': ', 1) for p in kind.split(', '))}>")
 
 
-CHUNK = "chunk long, ids binary, known binary, sizes binary, data binary"
+class Chunk:
+    """Documents that are worked on together: ids (0 where not known), and texts as bytes in
+    one string (null texts are empty)."""
 
+    def __init__(self, number: int, ids: np.ndarray, known: np.ndarray, sizes: np.ndarray, data: bytes):
+        self.number, self.ids, self.known, self.data = number, ids, known, data
+        self.sizes = np.maximum(sizes, 0).astype(np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
 
-def numbered(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
-    """Where `packed` puts each document: chunk, place in it, doc_id."""
+    @classmethod
+    def unpacked(cls, row: dict) -> Chunk:
+        sizes = np.frombuffer(row["sizes"], "<i4")
+        whole = max(1, int(np.maximum(sizes, 0).sum()))
+        return cls(
+            row["chunk"],
+            np.frombuffer(row["ids"], "<i8"),
+            np.frombuffer(row["known"], np.uint8).astype(bool),
+            sizes,
+            zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=whole),
+        )
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        for batch, _ in documents_in(batches, most):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * batch.num_rows, pa.int64()), pa.array(range(batch.num_rows), pa.int32()), ids_of(batch)],
-                names=["chunk", "number", "doc_id"],
-            )
-            chunk += 1
+    def __len__(self) -> int:
+        return len(self.sizes)
 
-    return id_and_text(docs).mapInArrow(number, "chunk long, number int, doc_id long")
+    def texts(self) -> list[bytes]:
+        return [self.data[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]
 
+    def id_list(self) -> list[int | None]:
+        return [i if k else None for i, k in zip(self.ids.tolist(), self.known.tolist())]
 
-def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
-    """Documents as compressed chunks of about `most` bytes of text.
 
-    A chunk is numbered by its input partition and its place there, so a repeated task
-    gives the same chunks. Shuffling chunks moves a third of the bytes of the texts.
+def in_chunks(
+    docs: DataFrame, work: Callable[[Chunk], pa.RecordBatch], schema: str, most: int = SLICE_BYTES
+) -> DataFrame:
+    """One batch of rows for each chunk of about `most` bytes of text.
+
+    A chunk is numbered by its input partition and its place there, so a repeated task and
+    every other pass over the same documents give the same chunks.
     """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        squeeze = zstandard.ZstdCompressor(level=1)
         for batch, texts in documents_in(batches, most):
             ids = ids_of(batch)
-            known = np.asarray([v.is_valid for v in ids], dtype=np.uint8)
+            known = np.asarray(ids.is_valid(), dtype=bool)
             values = np.asarray(ids.fill_null(0), dtype="<i8")
             sizes = np.asarray([-1 if t is None else len(t) for t in texts], dtype="<i4")
-            data = squeeze.compress(b"".join(t for t in texts if t))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": pa.array([number], pa.int64()),
-                    "ids": [values.tobytes()],
-                    "known": [known.tobytes()],
-                    "sizes": [sizes.tobytes()],
-                    "data": [data],
-                }
-            )
+            yield work(Chunk(number, values, known, sizes, b"".join(t for t in texts if t)))
             number += 1
 
-    return id_and_text(docs).mapInArrow(pack, CHUNK)
+    return id_and_text(docs).mapInArrow(run, schema)
 
 
-class Chunk:
-    """One packed row: ids (None where unknown), texts as bytes (null texts are empty)."""
-
-    def __init__(self, row: dict):
-        self.number: int = row["chunk"]
-        self.ids = np.frombuffer(row["ids"], "<i8")
-        self.known = np.frombuffer(row["known"], np.uint8).astype(bool)
-        self.sizes = np.maximum(np.frombuffer(row["sizes"], "<i4"), 0).astype(np.int64)
-        whole = int(self.sizes.sum())
-        self.data = zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(whole, 1))
-        self.ends = np.cumsum(self.sizes)
-        self.starts = self.ends - self.sizes
-
-    def __len__(self) -> int:
-        return len(self.sizes)
+def numbered(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
+    """Where `packed` puts each document: chunk, place in it, doc_id."""
 
-    def texts(self) -> list[bytes]:
-        return [self.data[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]
+    def number(chunk: Chunk) -> pa.RecordBatch:
+        places = pa.array(range(len(chunk)), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk.number] * len(chunk), pa.int64()), places, pa.array(chunk.id_list(), pa.int64())],
+            names=["chunk", "number", "doc_id"],
+        )
 
-    def id_list(self) -> list[int | None]:
-        return [i if k else None for i, k in zip(self.ids.tolist(), self.known.tolist())]
+    return in_chunks(docs, number, "chunk long, number int, doc_id long", most)
 
 
-def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
+    """Chunks as rows with compressed texts; shuffling them moves a third of the bytes."""
 
+    def pack(chunk: Chunk) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {
+                "chunk": pa.array([chunk.number], pa.int64()),
+                "ids": [chunk.ids.tobytes()],
+                "known": [chunk.known.astype(np.uint8).tobytes()],
+                "sizes": [chunk.sizes.astype("<i4").tobytes()],
+                "data": [zstandard.ZstdCompressor(level=1).compress(chunk.data)],
+            }
+        )
 
-def grouped(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Runs of rows with equal first `keys` columns, for input sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
+    return in_chunks(docs, pack, "chunk long, ids binary, known binary, sizes binary, data binary", most)
 
-    def key(batch: pa.RecordBatch, row: int) -> tuple:
-        return tuple(batch.column(i)[row].as_py() for i in range(keys))
 
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        changed = np.zeros(batch.num_rows - 1, dtype=bool)
-        for i in range(keys):
-            column = batch.column(i)
-            changed |= np.asarray(pa.compute.not_equal(column[1:], column[:-1]).fill_null(True))
-        cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            now = key(batch, a)
-            if held and now != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = now
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
