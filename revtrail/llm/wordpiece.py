@@ -49,6 +49,8 @@ class Automaton:
 
     def move(self, nodes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The node an edge leads to, or -1."""
+        if not len(self.edges):
+            return np.full(len(nodes), -1)
         keys = nodes * 256 + symbols
         at = np.searchsorted(self.edges, keys)
         at[at == len(self.edges)] = 0
