@@ -97,13 +97,13 @@ def paragraphs(chunk: Chunk, how: Settings) -> Paragraphs:
     joint = np.empty(total, dtype=np.uint64)
     joint[:-1] = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
     joint[-1] = np.iinfo(np.uint64).max
-    # a word ends its paragraph if its joint is the smallest within reach on both sides
-    padded = np.full(total + 2 * how.reach, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[how.reach : how.reach + total] = joint
-    least = padded[:total].copy()
-    for j in range(1, 2 * how.reach + 1):
-        if j != how.reach:
-            np.minimum(least, padded[j : j + total], out=least)
+    joint[:-1][line[1:] != line[:-1]] = np.iinfo(np.uint64).max
+    # a word ends its paragraph if its joint is the smallest within reach in its line
+    least = np.full(total, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for j in range(1, how.reach + 1):
+        same = line[j:] == line[:-j]
+        np.minimum(least[:-j], joint[j:], out=least[:-j], where=same)
+        np.minimum(least[j:], joint[:-j], out=least[j:], where=same)
     last = joint < least
     last[:-1] |= line[1:] != line[:-1]
     last[-1] = True
