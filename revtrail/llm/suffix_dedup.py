@@ -35,10 +35,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtrail.llm.frames import Chunk, packed, rows_of
+from revtrail.llm.frames import Chunk, in_chunks, packed, rows_of
 from revtrail.llm.keys import SENT, batch_of, bucket_count, bucket_of, key_list, member, sent, shared_keys
 from revtrail.llm.words import mix
 
@@ -65,10 +66,9 @@ def anchors(chunk: Chunk, width: int, seed: int = SEED) -> Anchors:
     none = np.zeros(0, np.int64)
     if size < width:
         return Anchors(none, none.astype(np.uint64), none, none)
-    words = np.ascontiguousarray(np.ndarray((size - 7,), "<u8", data, strides=(1,)))
+    words = np.ndarray((size - 7,), "<u8", data, strides=(1,))
     seeds = size - seed + 1
-    keys = mix(words[:seeds] + np.uint64(0x9E3779B97F4A7C15)) ^ words[seed - 8 : seed - 8 + seeds]
-    keys = mix(keys)
+    keys = mix(mix(words[:seeds] + np.uint64(0x9E3779B97F4A7C15)) ^ words[seed - 8 : seed - 8 + seeds])
     # smallest hash of each window, the leftmost of equal ones: the place fills the low bits
     low_bits = np.uint64(max(1, int(seeds).bit_length()))
     least = ((keys >> low_bits) << low_bits) | np.arange(seeds, dtype=np.uint64)
@@ -78,19 +78,23 @@ def anchors(chunk: Chunk, width: int, seed: int = SEED) -> Anchors:
         covered *= 2
     if covered < span:
         least = np.minimum(least[: -(span - covered)], least[span - covered :])
-    chosen = (least & ((np.uint64(1) << low_bits) - np.uint64(1))).astype(np.int64)
+    chosen = (least & ((np.uint64(1) << low_bits) - np.uint64(1))).astype(np.int32)
+    del least
     starts = np.concatenate(
-        [np.arange(a, b - width + 1) for a, b in zip(chunk.starts.tolist(), chunk.ends.tolist()) if b - a >= width]
+        [np.arange(a, b - width + 1, dtype=np.int32) for a, b in zip(chunk.starts.tolist(), chunk.ends.tolist()) if b - a >= width]
         or [none]
     )
     if not len(starts):
         return Anchors(none, none.astype(np.uint64), none, none)
     place = chosen[starts]
+    del chosen
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    return Anchors(place[first], keys[place[first]], starts[first], starts[last])
+    owned = place[first].astype(np.int64)
+    # anchors have small hashes; mixed once more, their keys spread evenly over the buckets
+    return Anchors(owned, mix(keys[owned]), starts[first].astype(np.int64), starts[last].astype(np.int64))
 
 
 RUN = (
@@ -163,9 +167,9 @@ def runs(chunk: Chunk, shared: np.ndarray, hot: np.ndarray, width: int, buckets:
             "chunk": chunk.number,
             "shared": np.asarray(lcps, "<u2").tobytes(),
             "sizes": np.asarray([len(r[1]) for r in own], "<u2").tobytes(),
-            "tails": tails,
+            "tails": zstandard.compress(tails, 1),
             "left_sizes": np.asarray([len(r[2]) for r in own], "<u2").tobytes(),
-            "lefts": b"".join(r[2] for r in own),
+            "lefts": zstandard.compress(b"".join(r[2] for r in own), 1),
             "place": np.asarray([r[5] for r in own], "<i4").tobytes(),
             "near": np.asarray([r[3] for r in own], "<u2").tobytes(),
             "far": np.asarray([r[4] for r in own], "<u2").tobytes(),
@@ -260,7 +264,8 @@ def repeats(table: pa.Table, width: int) -> list[dict]:
     heads = []
     for r in rows:
         shared = np.frombuffer(r["shared"], "<u2")
-        heads.append((unpack(shared, np.frombuffer(r["sizes"], "<u2"), r["tails"]), shared.tolist()))
+        tails = zstandard.decompress(r["tails"])
+        heads.append((unpack(shared, np.frombuffer(r["sizes"], "<u2"), tails), shared.tolist()))
     base = np.cumsum([0] + [len(h[0]) for h in heads])
     merged, prefix = [], []
     for run, at, same in merge(heads):
@@ -275,9 +280,9 @@ def repeats(table: pa.Table, width: int) -> list[dict]:
     chunk = np.repeat([r["chunk"] for r in rows], [len(h[0]) for h in heads])[merged]
     lefts = []
     for r in rows:
-        at = 0
+        at, whole = 0, zstandard.decompress(r["lefts"])
         for size in np.frombuffer(r["left_sizes"], "<u2").tolist():
-            lefts.append(r["lefts"][at : at + size])
+            lefts.append(whole[at : at + size])
             at += size
     by_left, left_shared = left_classes([lefts[i] for i in merged.tolist()])
     rank = np.empty(len(merged), dtype=np.int64)
@@ -346,21 +351,20 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> Data
     chunks = packed(docs)
     buckets = bucket_count(docs)
 
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            yield batch_of(list(sent(row["chunk"], anchors(Chunk(row), width).key, buckets)), SENT)
+    def seeds(chunk: Chunk) -> pa.RecordBatch:
+        return batch_of(list(sent(chunk.number, anchors(chunk, width).key, buckets)), SENT)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             shared, hottest = key_list(row["shared"]), key_list(row["hot"])
-            yield batch_of(list(runs(Chunk(row), shared, hottest, width, buckets)), RUN)
+            yield batch_of(list(runs(Chunk.unpacked(row), shared, hottest, width, buckets)), RUN)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             spans = np.frombuffer(b"".join(row["spans"] or []), "<i4").reshape(-1, 2)
-            yield batch_of(rest(Chunk(row), spans, width), RESULT)
+            yield batch_of(rest(Chunk.unpacked(row), spans, width), RESULT)
 
-    told = shared_keys(chunks.mapInArrow(seeds, SENT), hot)
+    told = shared_keys(in_chunks(docs, seeds, SENT), hot)
     sorted_runs = chunks.join(told, "chunk").mapInArrow(sort, RUN)
 
     def find(table: pa.Table) -> pa.Table:
