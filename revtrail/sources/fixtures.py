@@ -61,13 +61,13 @@ LEAD_RULES = (
     # Planted defect: untidy labels.
     "CASE WHEN c_custkey % 7 = 0 THEN concat('  ', lower(c_mktsegment), ' ') "
     "ELSE c_mktsegment END AS lead_source",
-    "element_at(array('SaaS', 'FinTech', 'HealthTech', 'E-Commerce', 'Manufacturing', "
-    "'Professional Services'), c_nationkey % 6 + 1) AS industry",
-    "CASE WHEN c_acctbal < 1000 THEN '1-10' WHEN c_acctbal < 4000 THEN '11-50' "
-    "WHEN c_acctbal < 7000 THEN '51-200' WHEN c_acctbal < 9000 THEN '201-1000' "
-    "ELSE '1000+' END AS company_size",
+    "concat('Industry ', c_nationkey % 6 + 1) AS industry",
+    "CASE WHEN c_acctbal < 1000 THEN 'Size 1' WHEN c_acctbal < 4000 THEN 'Size 2' "
+    "WHEN c_acctbal < 7000 THEN 'Size 3' WHEN c_acctbal < 9000 THEN 'Size 4' "
+    "ELSE 'Size 5' END AS company_size",
     "r_name AS region",
-    # Planted defects: blank and missing statuses.
+    # The statuses that cleaning and measures refer to. Planted defects:
+    # blank and missing ones.
     "CASE WHEN c_custkey % 25 <= 5 THEN 'New' WHEN c_custkey % 25 <= 12 THEN 'Contacted' "
     "WHEN c_custkey % 25 <= 19 THEN 'Qualified' WHEN c_custkey % 25 <= 22 THEN 'Disqualified' "
     "WHEN c_custkey % 25 = 23 THEN ' ' END AS lead_status",
