@@ -155,6 +155,12 @@ def runs(chunk: Chunk, shared: np.ndarray, hot: np.ndarray, width: int, buckets:
             if order(i) < order(other):
                 first[record[:5]], i = i, other
             gone += [records[i][5] - records[i][4], records[i][5] - records[i][3]]
+    if gone:
+        # what repeats inside the chunk needs no sorting; it passes through a bucket of its own
+        none = dict.fromkeys(("shared", "sizes", "left_sizes", "place", "near", "far", "doc"), b"")
+        empty = zstandard.compress(b"")
+        passing = int(mix(np.asarray([chunk.number], dtype=np.uint64))[0] % np.uint64(buckets))
+        yield none | {"bucket": passing, "chunk": chunk.number, "tails": empty, "lefts": empty, "gone": united(gone)}
     kept = sorted(first.values(), key=lambda i: records[i][:3])
     start = 0
     for stop in range(1, len(kept) + 1):
@@ -174,9 +180,19 @@ def runs(chunk: Chunk, shared: np.ndarray, hot: np.ndarray, width: int, buckets:
             "near": np.asarray([r[3] for r in own], "<u2").tobytes(),
             "far": np.asarray([r[4] for r in own], "<u2").tobytes(),
             "doc": np.asarray([ids[document[i]] if known[document[i]] else np.iinfo("<i8").max for i in kept[start:stop]], "<i8").tobytes(),
-            "gone": np.asarray(gone, "<i4").tobytes(),
+            "gone": b"",
         }
-        gone, start = [], stop
+        start = stop
+
+
+def united(spans: list[int]) -> bytes:
+    """Spans (first, last), given in one list, with neighbours and overlaps as one span."""
+    ordered = np.asarray(spans, dtype=np.int64).reshape(-1, 2)
+    ordered = ordered[np.argsort(ordered[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(ordered[:, 1])
+    cut = np.flatnonzero(ordered[1:, 0] > reach[:-1] + 1)
+    firsts, lasts = ordered[np.append(0, cut + 1), 0], reach[np.append(cut, len(reach) - 1)]
+    return np.stack([firsts, lasts], axis=1).astype("<i4").tobytes()
 
 
 def unpack(shared: np.ndarray, sizes: np.ndarray, tails: bytes) -> list[bytes]:
@@ -261,6 +277,10 @@ SPANS = "chunk long, spans binary"
 def repeats(table: pa.Table, width: int) -> list[dict]:
     """Spans of window starts that repeat an earlier window, per chunk, from the runs of a bucket."""
     rows = table.to_pylist()
+    out = [{"chunk": r["chunk"], "spans": r["gone"]} for r in rows if r["gone"]]
+    rows = [r for r in rows if r["sizes"]]
+    if not rows:
+        return out
     heads = []
     for r in rows:
         shared = np.frombuffer(r["shared"], "<u2")
@@ -302,7 +322,6 @@ def repeats(table: pa.Table, width: int) -> list[dict]:
         again = own[order[later]]
         chunks.append(chunk[again])
         starts.append(place[again] - back)
-    out = [{"chunk": r["chunk"], "spans": r["gone"]} for r in rows if len(r["gone"])]
     if not chunks or not sum(map(len, chunks)):
         return out
     # windows in a row become one span (first start, last start)
