@@ -142,29 +142,28 @@ def band_keys(found: Paragraphs, how: Settings) -> tuple[np.ndarray, np.ndarray]
     return which, keys
 
 
-ENTRY = "value long, member binary, held binary, chunk long, number int, doc_id long"
-SPOT = "chunk long, number int, member binary, doc_id long"
+SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>"
 
 
-def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> list[dict]:
-    """A row for each paragraph and each of its band keys that occurs elsewhere too."""
+def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatch:
+    """A row for each paragraph with a band key that occurs elsewhere too, and those keys."""
     found = paragraphs(chunk, how)
     which, keys = band_keys(found, how)
     known = member(keys.reshape(-1), shared).reshape(keys.shape)
     some = np.flatnonzero(known.any(axis=1))
+    held = [h.astype("<u8").tobytes() for h in shingles(found, which[some], how.width)]
     ids = chunk.id_list()
-    rows = []
-    for row, held in zip(some.tolist(), shingles(found, which[some], how.width)):
-        held = held.astype("<u8").tobytes()
-        own = {
-            "member": xxhash.xxh3_128_digest(held),
-            "held": held,
-            "chunk": chunk.number,
-            "number": int(which[row]),
-            "doc_id": ids[found.document[which[row]]],
-        }
-        rows += [own | {"value": int(v)} for v in keys[row][known[row]].view(np.int64)]
-    return rows
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([xxhash.xxh3_128_digest(h) for h in held], pa.binary()),
+            pa.array(held, pa.binary()),
+            pa.array([chunk.number] * len(some), pa.int64()),
+            pa.array(which[some], pa.int32()),
+            pa.array([ids[d] for d in found.document[which[some]].tolist()], pa.int64()),
+            pa.array([keys[r][known[r]].view(np.int64).tolist() for r in some.tolist()], pa.list_(pa.int64())),
+        ],
+        names=[part.split()[0] for part in SPOT.split(", ")],
+    )
 
 
 RESULT = (
@@ -222,7 +221,7 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            yield batch_of(candidates(Chunk.unpacked(row), key_list(row["shared"]), how), ENTRY)
+            yield candidates(Chunk.unpacked(row), key_list(row["shared"]), how)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -230,14 +229,14 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
             yield report(Chunk.unpacked(row), gone, how)
 
     told = shared_keys(in_chunks(docs, seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
-    found = settled(chunks.join(told, "chunk").mapInArrow(choose, ENTRY))
+    found = settled(chunks.join(told, "chunk").mapInArrow(choose, SPOT))
 
-    listed = found.select("value", "member").distinct()
+    listed = found.select(F.explode("keys").alias("value"), "member").distinct()
     sets = found.groupBy("member").agg(F.first("held").alias("held"))
     entries = in_blocks(distinct_lists(listed).join(sets, "member"), block)
     roots = components(link_lists(entries, exact_test(how.percent), how.percent / 100))
 
-    spots = found.select("chunk", "number", "member", "doc_id").distinct()
+    spots = found.select("chunk", "number", "member", "doc_id")
     rooted = spots.join(roots.withColumnRenamed("node", "member"), "member", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "member"))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "chunk", "number")
