@@ -1,9 +1,10 @@
 """Quality rules: word counts, repetition, and compression bands.
 
 A text that compresses far better than prose repeats itself; one that hardly compresses
-is noise. What is normal depends on length, since short inputs compress badly, so each
-length class has its own band of accepted zstandard ratios. The whole text is measured,
-and every full chunk of fixed size, so that a long text cannot hide a bad stretch.
+is noise. What is normal depends on length, since short inputs compress badly, so the band
+of accepted zstandard ratios follows the length, just outside the ratios of normal text. The whole text is measured, and every chunk of fixed size, so that a long
+text cannot hide a bad stretch; the last chunk ends with the text and may overlap its
+predecessor.
 
 Null and empty texts have zero counts, fail the base rules and are not kept. Rows are
 judged one by one: repeated rows get equal answers, an empty table gives none, and other
@@ -31,21 +32,32 @@ WINDOW = 8
 class Bands:
     """Accepted compressed size over size, by size of the text in bytes.
 
-    `whole`: (from this many bytes on, lowest ratio, highest ratio); shorter texts than
-    the first class are not judged. `chunk`: the same for one chunk of `chunk_bytes`.
-    A text falls when more than `chunk_share` of its full chunks are out of band.
+    `whole`: (bytes, lowest ratio, highest ratio); between two sizes the limits lie on a line
+    over the logarithm of the size. Texts shorter than the first size are not judged, those
+    longer than the last have its limits. `chunk`: the limits of one chunk of `chunk_bytes`.
+    A text falls when more than `chunk_share` of its chunks are out of band, or `chunk_run`
+    neighbours are, whatever their share.
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
-        (160, 0.24, 1.00),
-        (512, 0.22, 0.86),
-        (1024, 0.20, 0.78),
-        (4096, 0.18, 0.72),
-        (16384, 0.16, 0.70),
+        (160, 0.640, 0.90),
+        (320, 0.545, 0.80),
+        (640, 0.512, 0.74),
+        (1024, 0.492, 0.66),
+        (1448, 0.473, 0.63),
+        (2048, 0.449, 0.60),
+        (2896, 0.445, 0.58),
+        (4096, 0.435, 0.56),
+        (5793, 0.420, 0.55),
+        (8192, 0.413, 0.54),
+        (16384, 0.399, 0.52),
+        (32768, 0.380, 0.52),
+        (65536, 0.350, 0.52),
     )
     chunk_bytes: int = 1024
-    chunk: tuple[float, float] = (0.20, 0.80)
+    chunk: tuple[float, float] = (0.48, 0.66)
     chunk_share: float = 0.25
+    chunk_run: int = 2
     level: int = 3
 
 
@@ -95,26 +107,34 @@ class Judge:
     def __init__(self, bands: Bands):
         self.bands = bands
         self.squeeze = zstandard.ZstdCompressor(level=bands.level)
+        sizes, *self.limits = np.asarray(bands.whole, dtype=np.float64).T
+        self.sizes = np.log(sizes)
 
     def _ratio(self, data: bytes) -> float:
         return len(self.squeeze.compress(data)) / len(data)
 
     def __call__(self, text: bytes | None) -> tuple[bool, float | None, int, int]:
-        """In band, ratio of the whole text, full chunks, chunks out of band."""
+        """In band, ratio of the whole text, chunks, chunks out of band."""
         bands = self.bands
         if not text:
             return True, None, 0, 0
         ratio = self._ratio(text)
         fine = True
-        for least, low, high in bands.whole:
-            if len(text) >= least:
-                fine = low <= ratio <= high
+        if len(text) >= bands.whole[0][0]:
+            low, high = (np.interp(np.log(len(text)), self.sizes, limit) for limit in self.limits)
+            fine = bool(low <= ratio <= high)
         size, (low, high) = bands.chunk_bytes, bands.chunk
-        chunks = len(text) // size
-        out = 0
-        for i in range(chunks):
-            out += not low <= self._ratio(text[i * size : (i + 1) * size]) <= high
-        return fine and out <= bands.chunk_share * chunks, ratio, chunks, out
+        if len(text) < size:
+            return fine, ratio, 0, 0
+        stops = [*range(size, len(text), size), len(text)]
+        out = run = longest = 0
+        for stop in stops:
+            bad = not low <= self._ratio(text[stop - size : stop]) <= high
+            out += bad
+            run = run + 1 if bad else 0
+            longest = max(longest, run)
+        fine = fine and out <= bands.chunk_share * len(stops) and longest < bands.chunk_run
+        return fine, ratio, len(stops), out
 
 
 def measured(texts: list[bytes | None], bands: Bands) -> list[pa.Array]:

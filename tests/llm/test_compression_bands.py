@@ -79,3 +79,35 @@ def test_chunks_show_a_bad_stretch_that_the_whole_hides():
     fine, ratio, chunks, out = judge(text)
     assert ratio > 0.2 and out > chunks / 4 and not fine
     assert ratio == len(zstandard.ZstdCompressor(level=3).compress(text)) / len(text)
+
+
+def test_marks_and_bars_fall_and_the_same_words_without_them_stay(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1 and toxic = 0").collect()
+    judge = compression_bands.Judge(Bands())
+    draw = random.Random(6)
+    good = [t for t in (docs[r["doc_id"]] for r in labels) if len(t) > 1200 and not brute(t)[5]]
+    assert len(good) > 5 and all(judge(t.encode())[0] for t in good)
+    for text in good:
+        words = text.split()
+        assert not judge(" | ".join(words).encode())[0]
+        assert not judge(" ".join(w + "###" for w in words).encode())[0]
+    marked = [" ".join(w + draw.choice(["###", "%%%", "&&&", "$$$", "***"]) for w in t.split()) for t in good]
+    assert sum(not judge(m.encode())[0] for m in marked) >= 0.9 * len(marked)
+
+
+def test_the_last_chunk_and_a_run_of_any_share_count(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").where("quality = 1 and toxic = 0").orderBy("doc_id").collect()
+    text = " ".join(t for t in (docs[r["doc_id"]] for r in labels) if not brute(t)[5]).encode()
+    judge = compression_bands.Judge(Bands())
+    size = Bands().chunk_bytes
+    whole = text[: 12 * size]
+    assert judge(whole) == (True, judge(whole)[1], 12, 0)
+    # a bad stretch of 4 of 40 chunks
+    long = text[: 18 * size] + (b"This " * size)[: 4 * size] + text[18 * size : 36 * size]
+    fine, _, chunks, out = judge(long)
+    assert not fine and out >= 2 and out <= Bands().chunk_share * chunks
+    # a bad end behind one full chunk, too short for a chunk of its own
+    _, _, chunks, out = judge(text[:size] + (b"This " * size)[: size - 100])
+    assert (chunks, out) == (2, 1)
