@@ -1,22 +1,28 @@
-"""Near-duplicate paragraphs by MinHash banding.
+"""Near-duplicate paragraphs by MinHash banding, and repeated passages inside them.
 
-A line is cut into paragraphs where a hash of two neighbouring words is smaller than at
-the `reach` places on either side. The cuts depend on nearby words alone, so a passage
-that stands in the middle of other text is cut the same everywhere. A paragraph has
-`2 * reach + 1` words on average; lines end paragraphs too.
-
-Each paragraph gets `bands * rows` minhashes over its five-word shingles, and a key per
+Blocks are paragraphs as they are written: what stands between blank lines, with its lines
+joined. Each block gets `bands * rows` minhashes over its five-word shingles, and a key per
 band of `rows` of them. With 8 bands of 2 rows a pair with similarity 0.75 collides with
 a chance of 1 - (1 - 0.75^2)^8 = 0.9987; `bands_for` tunes the number to a wanted recall.
-Chunks learn which band keys occur elsewhere; only paragraphs with such a key go on.
-Equal paragraphs become one class; classes that share a key are compared by exact Jaccard
-similarity of their shingles; linked classes form clusters. The first paragraph of each
-cluster (by doc_id, unknown ids last, then input order) stays and the others are removed.
-
-Paragraphs with fewer than `least` words are never removed, nor are repeated paragraphs
-that stand alone with fewer than `run` words together: a short common line is no passage. Null and empty texts have no
-paragraphs. Rows with equal ids are documents of their own. An empty table gives an empty
-result; extra columns are ignored.
+
+Pieces find passages that stand in the middle of other text. A document is cut where a hash
+of two neighbouring words is smaller than at the `reach` places on either side. The cuts
+depend on nearby words alone, whatever lines they stand in, so a passage is cut the same
+everywhere. A piece has `2 * reach + 1` words on average and `reach + 1` at least, but for
+the ends of a document. Its keys are the smallest of its shingles, as many as two pieces of
+the wanted similarity must have one of in common: no pair is missed.
+
+Chunks learn which keys occur elsewhere; only blocks and pieces with such a key go on.
+Equal ones become one class; classes that share a key are compared by exact Jaccard
+similarity of their shingles; linked classes form clusters, of blocks and of pieces apart.
+The first of each cluster (by doc_id, unknown ids last, then input order) stays and the
+others are removed; of a piece that touches a removed block, only what lies outside.
+
+Blocks with fewer than `run` words and pieces with fewer than `least` are never removed, nor
+are repeated pieces that stand alone with fewer than `run` words together: a short common
+line is no passage. The words of a passage up to its first cut and after its last one stay.
+Null and empty texts have no paragraphs. Rows with equal ids are documents of their own. An
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,8 +51,8 @@ def bands_for(recall: float, similarity: float, rows: int) -> int:
 
 @dataclass(frozen=True)
 class Settings:
-    reach: int = 6
-    least: int = 6
+    reach: int = 2
+    least: int = 3
     run: int = 14
     width: int = 5
     percent: int = 75
@@ -61,7 +67,7 @@ class Settings:
 
 @dataclass
 class Paragraphs:
-    """Paragraphs of a chunk: document, first word, words, first byte and byte after the last."""
+    """Pieces or blocks of a chunk: document, first word, words, first byte and byte after the last."""
 
     words: Words
     document: np.ndarray
@@ -79,88 +85,168 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
 
 
-def paragraphs(chunk: Chunk, how: Settings) -> Paragraphs:
-    spaced, ends = bytearray(), []
-    for text in chunk.texts():
-        spaced += text + b"\n"  # a word never runs into the next document
-        ends.append(len(spaced))
-    data = bytes(spaced)
-    words = Words([t.lower() for t in chunk.texts()])
-    begin, end = word_bounds(data)
-    total = len(begin)
-    none = np.zeros(0, np.int64)
+@dataclass
+class Text:
+    """Words of a chunk with their bytes (a line end follows each document), documents and lines."""
+
+    words: Words
+    begin: np.ndarray
+    end: np.ndarray
+    document: np.ndarray
+    line: np.ndarray
+
+    @classmethod
+    def of(cls, chunk: Chunk) -> Text:
+        texts = chunk.texts()
+        data = b"".join(t + b"\n" for t in texts)  # a word never runs into the next document
+        begin, end = word_bounds(data)
+        lines = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+        document = np.searchsorted(chunk.ends + np.arange(1, len(chunk) + 1), begin, side="right")
+        return cls(Words([t.lower() for t in texts]), begin, end, document, np.searchsorted(lines, begin))
+
+    def cut(self, last: np.ndarray) -> Paragraphs:
+        """What ends at each marked word."""
+        stop = np.flatnonzero(last)
+        start = np.append(0, stop[:-1] + 1) if len(stop) else stop
+        document = self.document[start]
+        return Paragraphs(self.words, document, start, stop - start + 1, self.begin[start] - document, self.end[stop] - document)
+
+
+def blocks(text: Text) -> Paragraphs:
+    """What stands between blank lines."""
+    last = np.ones(len(text.begin), dtype=bool)
+    last[:-1] = (text.document[1:] != text.document[:-1]) | (text.line[1:] > text.line[:-1] + 1)
+    return text.cut(last)
+
+
+def pieces(text: Text, how: Settings) -> Paragraphs:
+    total, most = len(text.begin), np.iinfo(np.uint64).max
     if not total:
-        return Paragraphs(words, none, none, none, none, none)
-    lines = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
-    line = np.searchsorted(lines, begin)
-    hashes = words.hashes()
-    joint = np.empty(total, dtype=np.uint64)
+        return text.cut(np.zeros(0, dtype=bool))
+    hashes, document = text.words.hashes(), text.document
+    joint = np.full(total, most, dtype=np.uint64)
     joint[:-1] = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
-    joint[-1] = np.iinfo(np.uint64).max
-    joint[:-1][line[1:] != line[:-1]] = np.iinfo(np.uint64).max
-    # a word ends its paragraph if its joint is the smallest within reach in its line
-    least = np.full(total, np.iinfo(np.uint64).max, dtype=np.uint64)
+    joint[:-1][document[1:] != document[:-1]] = most
+    # a word ends its piece if its joint is the smallest within reach in its document
+    least = np.full(total, most, dtype=np.uint64)
     for j in range(1, how.reach + 1):
-        same = line[j:] == line[:-j]
+        same = document[j:] == document[:-j]
         np.minimum(least[:-j], joint[j:], out=least[:-j], where=same)
         np.minimum(least[j:], joint[:-j], out=least[j:], where=same)
     last = joint < least
-    last[:-1] |= line[1:] != line[:-1]
+    last[:-1] |= document[1:] != document[:-1]
     last[-1] = True
-    stop = np.flatnonzero(last)
-    start = np.append(0, stop[:-1] + 1)
-    document = np.searchsorted(np.asarray(ends), begin[start], side="right")
-    return Paragraphs(words, document, start, stop - start + 1, begin[start] - document, end[stop] - document)
+    return text.cut(last)
+
+
+def paragraphs(chunk: Chunk, how: Settings) -> Paragraphs:
+    """The pieces of a chunk."""
+    return pieces(Text.of(chunk), how)
 
 
-def shingles(found: Paragraphs, which: np.ndarray, width: int) -> list[np.ndarray]:
+def shingles(found: Paragraphs, which: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of the chosen ones, one after another, and where each begins."""
     hashes = found.words.hashes()
     every = windows(hashes, width)
-    sets = []
-    for a, n in zip(found.start[which].tolist(), found.size[which].tolist()):
-        sets.append(np.unique(every[a : a + n - width + 1]) if n >= width else windows(hashes[a : a + n], n))
-    return sets
+    start, size = found.start[which], found.size[which]
+    counts = np.maximum(size - width + 1, 1)
+    ends = np.cumsum(counts)
+    flat = np.zeros(int(counts.sum()), dtype=np.uint64)
+    own = np.repeat(np.arange(len(which)), counts)
+    places = np.arange(len(flat)) - (ends - counts)[own] + start[own]
+    whole = (size >= width)[own]
+    flat[whole] = every[places[whole]]
+    for n in range(1, width):
+        short = np.flatnonzero(size == n)
+        if len(short):
+            flat[ends[short] - 1] = windows(hashes, n)[start[short]]
+    order = np.lexsort((flat, own))
+    flat, own = flat[order], own[order]
+    fresh = np.ones(len(flat), dtype=bool)
+    fresh[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
+    flat, own = flat[fresh], own[fresh]
+    return flat, np.searchsorted(own, np.arange(len(which) + 1))
 
 
-def band_keys(found: Paragraphs, how: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Paragraphs that are long enough, and their band keys, a row each."""
-    which = np.flatnonzero(found.size >= how.least)
-    if not len(which):
-        return which, np.zeros((0, how.bands), np.uint64)
-    every = windows(found.words.hashes(), how.width)
-    counts = found.size[which] - how.width + 1
-    ends = np.cumsum(counts)
-    places = np.arange(ends[-1]) - np.repeat(ends - counts, counts) + np.repeat(found.start[which], counts)
-    flat = every[places]
+@dataclass
+class Keyed:
+    """Those that are long enough, their shingles, and their keys with the place in `which` of each."""
+
+    which: np.ndarray
+    flat: np.ndarray
+    bounds: np.ndarray
+    keys: np.ndarray
+    owner: np.ndarray
+
+
+def band_keys(found: Paragraphs, how: Settings) -> Keyed:
+    """A key per band for every block that is long enough."""
+    which = np.flatnonzero(found.size >= how.run)
+    flat, bounds = shingles(found, which, how.width)
     seeds = np.random.default_rng(how.seed).integers(1, 2**63, size=(how.bands, how.rows), dtype=np.uint64)
     keys = np.zeros((len(which), how.bands), dtype=np.uint64)
-    for band in range(how.bands):
+    for band in range(how.bands if len(which) else 0):
         key = np.full(len(which), np.uint64(band + 1))
         for seed in seeds[band]:
-            key = mix(key ^ np.minimum.reduceat(mix(flat ^ seed), ends - counts))
+            key = mix(key ^ np.minimum.reduceat(mix(flat ^ seed), bounds[:-1]))
         keys[:, band] = key
-    return which, keys
+    return Keyed(which, flat, bounds, keys.reshape(-1), np.repeat(np.arange(len(which)), how.bands))
+
+
+def prefix_keys(found: Paragraphs, how: Settings) -> Keyed:
+    """The smallest shingles of every piece that is long enough: similar pieces share one of them."""
+    which = np.flatnonzero(found.size >= how.least)
+    flat, bounds = shingles(found, which, how.width)
+    sizes = np.diff(bounds)
+    many = sizes + (-how.percent * sizes) // 100 + 1  # size - ceil(size * percent / 100) + 1
+    own = np.repeat(np.arange(len(which)), sizes)
+    first = np.arange(len(flat)) - bounds[own] < many[own]
+    keys, own = flat[first], own[first]
+    # sets of one or two are similar to none but their equals, so both make one key
+    two = np.flatnonzero(sizes[own] == 2)
+    keys[two] = mix(keys[two] * np.uint64(3) + flat[bounds[own[two]] + 1])
+    return Keyed(which, flat, bounds, keys, own)
 
 
 SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>"
 
 
+# blocks are numbered from here on, pieces from 0
+BLOCKS = 1 << 30
+
+
+def units(chunk: Chunk, how: Settings) -> list[tuple[int, Paragraphs, Keyed]]:
+    text = Text.of(chunk)
+    one, other = pieces(text, how), blocks(text)
+    return [(0, one, prefix_keys(one, how)), (BLOCKS, other, band_keys(other, how))]
+
+
 def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatch:
-    """A row for each paragraph with a band key that occurs elsewhere too, and those keys."""
-    found = paragraphs(chunk, how)
-    which, keys = band_keys(found, how)
-    known = member(keys.reshape(-1), shared).reshape(keys.shape)
-    some = np.flatnonzero(known.any(axis=1))
-    held = [h.astype("<u8").tobytes() for h in shingles(found, which[some], how.width)]
+    """A row for each block and piece with a key that occurs elsewhere too, and those keys with
+    the shingles where others than its equals may be similar."""
     ids = chunk.id_list()
+    members, sets, numbers, documents, lists = [], [], [], [], []
+    for first, found, keyed in units(chunk, how):
+        known = member(keyed.keys, shared)
+        keys, own = keyed.keys[known].view(np.int64), keyed.owner[known]
+        some, starts = np.unique(own, return_index=True)
+        which = keyed.which[some]
+        held = [keyed.flat[a:b].astype("<u8").tobytes() for a, b in zip(keyed.bounds[some].tolist(), keyed.bounds[some + 1].tolist())]
+        members += [xxhash.xxh3_128_digest(h, seed=first) for h in held]
+        lone = np.diff(keyed.bounds)[some] < 3
+        sets += [None if one else h for one, h in zip(lone.tolist(), held)]
+        numbers += (which + first).tolist()
+        documents += [ids[d] for d in found.document[which].tolist()]
+        parts = np.split(keys, starts[1:]) if len(some) else []
+        lists += [None if one else k.tolist() for one, k in zip(lone.tolist(), parts)]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([xxhash.xxh3_128_digest(h) for h in held], pa.binary()),
-            pa.array(held, pa.binary()),
-            pa.array([chunk.number] * len(some), pa.int64()),
-            pa.array(which[some], pa.int32()),
-            pa.array([ids[d] for d in found.document[which[some]].tolist()], pa.int64()),
-            pa.array([keys[r][known[r]].view(np.int64).tolist() for r in some.tolist()], pa.list_(pa.int64())),
+            pa.array(members, pa.binary()),
+            pa.array(sets, pa.binary()),
+            pa.array([chunk.number] * len(members), pa.int64()),
+            pa.array(numbers, pa.int32()),
+            pa.array(documents, pa.int64()),
+            pa.array(lists, pa.list_(pa.int64())),
         ],
         names=[part.split()[0] for part in SPOT.split(", ")],
     )
@@ -173,7 +259,7 @@ RESULT = (
 
 
 def long_runs(found: Paragraphs, removed: dict[int, int], least: int) -> list[int]:
-    """The repeated paragraphs in rows of neighbours with `least` words or more together."""
+    """The repeated pieces in rows of neighbours with `least` words or more together."""
     kept, row, words = [], [], 0
     for number in sorted(removed):
         if row and (number != row[-1] + 1 or found.document[number] != found.document[row[-1]]):
@@ -186,21 +272,33 @@ def long_runs(found: Paragraphs, removed: dict[int, int], least: int) -> list[in
 
 def report(chunk: Chunk, removed: dict[int, int], how: Settings) -> pa.RecordBatch:
     """Per document what goes: byte spans, and the cluster of each as the doc_id of its first paragraph."""
-    found = paragraphs(chunk, how)
+    text = Text.of(chunk)
+    whole, found = blocks(text), pieces(text, how)
     count = len(chunk)
+    cuts: list[tuple[int, int, int]] = []  # first word, word after the last, cluster
+    covered = np.zeros(len(text.begin), dtype=bool)
+    for number in sorted(n - BLOCKS for n in removed if n >= BLOCKS):
+        start, stop = int(whole.start[number]), int(whole.start[number] + whole.size[number])
+        covered[start:stop] = True
+        cuts.append((start, stop, removed[number + BLOCKS]))
+    for number in long_runs(found, {n: first for n, first in removed.items() if n < BLOCKS}, how.run):
+        start, stop = int(found.start[number]), int(found.start[number] + found.size[number])
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], covered[start:stop], [True]]).astype(np.int8)))
+        cuts += [(start + a, start + b, removed[number]) for a, b in edges.reshape(-1, 2).tolist()]
     spans: list[list[str]] = [[] for _ in range(count)]
     clusters: list[list[int]] = [[] for _ in range(count)]
     words = [0] * count
-    for number in long_runs(found, removed, how.run):
-        document = int(found.document[number])
-        shift = int(chunk.starts[document])
-        spans[document].append(f"{found.begin[number] - shift}:{found.end[number] - shift}")
-        clusters[document].append(removed[number])
-        words[document] += int(found.size[number])
+    for start, stop, first in sorted(cuts, key=lambda c: c[:2]):
+        document = int(text.document[start])
+        # a byte more stands behind each document before this one
+        shift = int(chunk.starts[document]) + document
+        spans[document].append(f"{text.begin[start] - shift}:{text.end[stop - 1] - shift}")
+        clusters[document].append(first)
+        words[document] += stop - start
     return pa.RecordBatch.from_arrays(
         [
             pa.array(chunk.id_list(), pa.int64()),
-            pa.array(np.bincount(found.document, minlength=count)[:count].astype(np.int64)),
+            pa.array(np.bincount(whole.document, minlength=count)[:count].astype(np.int64)),
             pa.array([len(s) for s in spans], pa.int64()),
             pa.array(words, pa.int64()),
             pa.array(spans, pa.list_(pa.string())),
@@ -211,13 +309,13 @@ def report(chunk: Chunk, removed: dict[int, int], how: Settings) -> pa.RecordBat
 
 
 def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int = BLOCK) -> DataFrame:
-    """Per document its paragraphs, and those removed as near copies of an earlier one."""
+    """Per document its blocks, and what of them is removed as a near copy of an earlier one."""
     chunks = packed(docs)
     buckets = bucket_count(docs)
 
     def seeds(chunk: Chunk) -> pa.RecordBatch:
-        _, keys = band_keys(paragraphs(chunk, how), how)
-        return batch_of(list(sent(chunk.number, keys.reshape(-1), buckets)), SENT)
+        keys = np.concatenate([keyed.keys for _, _, keyed in units(chunk, how)])
+        return batch_of(list(sent(chunk.number, keys, buckets)), SENT)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -231,17 +329,21 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
     told = shared_keys(in_chunks(docs, seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
     found = settled(chunks.join(told, "chunk").mapInArrow(choose, SPOT))
 
-    listed = found.select(F.explode("keys").alias("value"), "member").distinct()
-    sets = found.groupBy("member").agg(F.first("held").alias("held"))
+    able = found.where("keys is not null")
+    listed = able.select(F.explode("keys").alias("value"), "member").distinct()
+    sets = able.groupBy("member").agg(F.first("held").alias("held"))
     entries = in_blocks(distinct_lists(listed).join(sets, "member"), block)
     roots = components(link_lists(entries, exact_test(how.percent), how.percent / 100))
 
     spots = found.select("chunk", "number", "member", "doc_id")
-    rooted = spots.join(roots.withColumnRenamed("node", "member"), "member", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "member"))
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "chunk", "number")
-    firsts = rooted.groupBy("root").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = rooted.join(firsts.drop("n"), "root").where(
+    classes = spots.groupBy("member").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    classes = classes.join(roots.withColumnRenamed("node", "member"), "member", "left")
+    alone = classes.where("root is null and n > 1").select("member", "first")
+    linked = classes.where("root is not null")
+    tops = linked.groupBy("root").agg(F.min("first").alias("top"))
+    together = linked.join(tops, "root").select("member", F.col("top").alias("first"))
+    later = spots.join(alone.union(together), "member").where(
         (F.col("chunk") != F.col("first.chunk")) | (F.col("number") != F.col("first.number"))
     )
     gone = later.groupBy("chunk").agg(

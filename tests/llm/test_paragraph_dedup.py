@@ -125,3 +125,32 @@ def test_bands_reach_the_recall():
         bands = bands_for(recall, 0.75, 2)
         assert 1 - (1 - 0.75**2) ** bands >= recall > 1 - (1 - 0.75**2) ** (bands - 1)
     assert HOW.bands == bands_for(HOW.recall, 0.75, HOW.rows)
+
+
+def gone_words(row, text):
+    return [w for a, b in (map(int, s.split(":")) for s in row["removed"]) for w in text.encode()[a:b].decode().split()]
+
+
+def test_no_long_passage_is_missed_in_one_line_or_in_short_ones(table):
+    rows = []
+    for seed in range(300):
+        words = prose(9000 + seed, 51).split()
+        lines = ["\n".join(" ".join(words[i : i + n]) for i in range(0, 51, n)) for n in (51, 4, 9)]
+        rows += [(seed * 10 + i, f"{prose(20_000 + seed * 3 + i, 20 + i)} {lines[i]} {prose(30_000 + seed * 3 + i, 17)}") for i in range(3)]
+    found = {r["doc_id"]: r for r in repeated_paragraphs(table(rows)).collect()}
+    left = 0
+    for doc_id, text in rows:
+        gone = gone_words(found[doc_id], text)
+        assert bool(gone) == (doc_id % 10 > 0)
+        left += 51 - len(gone) if doc_id % 10 else 0
+    assert left < 0.25 * 51 * 600
+
+
+def test_blocks_of_short_lines_are_paragraphs(table):
+    words = prose(77, 60).split()
+    near = words[:30] + ["other"] + words[31:]
+    verse = ["\n".join(" ".join(w[i : i + n]) for i in range(0, 60, n)) for w, n in ((words, 5), (near, 3))]
+    rows = [(i, f"{prose(i, 30)}\n \n{v}\n\n{prose(i + 10, 30)}") for i, v in enumerate(verse, 1)]
+    found = {r["doc_id"]: r for r in repeated_paragraphs(table(rows)).collect()}
+    assert [found[i]["n_paragraphs"] for i in (1, 2)] == [3, 3] and found[1]["n_removed"] == 0
+    assert gone_words(found[2], rows[1][1]) == near and found[2]["components"] == [1]
