@@ -1,19 +1,24 @@
 """Secret scan: fixed patterns, and a character convolutional network over every candidate.
 
 The patterns find assignments to names such as `token`, access keys and long hex runs.
-Their findings are also the labels: tokens found by a pattern teach what a secret and its
-surroundings look like, other long tokens with digits teach what does not. The network
-reads each candidate with the text around it: character embeddings, one convolution,
-the strongest answer of each filter before, inside and after the candidate, and a logistic
-output. Its outputs are calibrated on findings kept aside, and the threshold is the
-highest one that still recalls `recall` of those.
-
-Candidates are runs of `[A-Za-z0-9+/_.=-]` of 16 characters or more with two digits or
-more. Candidates that touch a pattern's finding are covered already; any other above the
-threshold is a finding of kind `model`.
-
-Null and empty texts have no spans. Without a finding or without another candidate in
-the sample there is no network and the patterns stand alone. Repeated rows get equal
+Their findings are also the labels: values found by a pattern teach what a secret and its
+surroundings look like, other candidates teach what does not. The network reads `inside`
+characters with the text around them: character embeddings, one convolution, the strongest
+answer of each filter before, inside and after them, and a logistic output. A longer
+candidate is read through overlapping windows, and the surest one counts.
+
+A sample of documents is searched for examples; the `examples` findings and as many others
+with the smallest draws (a hash of text and place) train the network. Its outputs are
+calibrated on findings kept aside, and the threshold is the highest one that still recalls
+`recall` of those.
+
+Candidates are runs of `[A-Za-z0-9+/_.=-]` of six characters or more, and their parts
+between `+/_.=-` of six or more. Those that touch a pattern's finding are covered already;
+any other that reaches the threshold is a finding of kind `model`, as one span with those
+that overlap it or follow behind a separator.
+
+Null and empty texts have no spans. Without a finding or without another candidate in the
+sample there is no network and the patterns stand alone. Repeated rows get equal
 answers; extra columns are ignored.
 """
 
@@ -26,10 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revtrail.llm.frames import documents_in, id_and_text, per_text
+from revtrail.llm.frames import documents_in, id_and_text, per_text, settled
+from revtrail.llm.words import mix
 
 KINDS = ("assign", "access", "hex", "model")
 NAMES = ("password", "passwd", "secret", "token", "api")
@@ -38,8 +45,9 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-DIGITS = re.compile(r"[0-9].*[0-9]", re.S)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+PART = re.compile(r"[A-Za-z0-9]{6,}")
+SEPARATORS = "+/_.=-"
 
 Span = tuple[int, str, int]  # start, kind, end
 
@@ -77,9 +85,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    if not DIGITS.search(text):
-        return []
-    return [m.span() for m in CANDIDATE.finditer(text) if DIGITS.search(m[0])]
+    """Runs of token characters, each followed by its parts."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        run = m.span()
+        found.append(run)
+        if not m[0].isalnum():
+            found += [p for part in PART.finditer(text, *run) if (p := part.span()) != run]
+    return found
+
+
+def value(text: str, span: tuple[int, int, int]) -> tuple[int, int]:
+    """What a pattern's finding keeps secret: an assignment without the name."""
+    start, kind, end = span
+    return ASSIGN.match(text, start).span(2) if kind == 0 else (start, end)
+
+
+def windows(start: int, end: int, how: Settings) -> list[tuple[int, int]]:
+    """Overlapping stretches of at most `inside` characters that cover a candidate."""
+    last = end - how.inside
+    if last <= start:
+        return [(start, end)]
+    return [(a, a + how.inside) for a in [*range(start, last, how.inside // 2), last]]
 
 
 def touches(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
@@ -111,6 +138,23 @@ def view(text: str, start: int, end: int, how: Settings) -> np.ndarray:
     return row
 
 
+def views(texts: list[str], asked: list[tuple[int, int, int]], how: Settings) -> np.ndarray:
+    """`view` of many places (text, start, end) at once."""
+    pad = np.zeros(max(how.before, how.after), dtype=np.uint8)
+    parts, starts, at = [pad], [], len(pad)
+    for text in texts:
+        starts.append(at)
+        parts += [codes(text).astype(np.uint8), pad]
+        at += len(parts[-2]) + len(pad)
+    line = np.concatenate(parts)
+    place = np.asarray(asked, dtype=np.int64).reshape(-1, 3)
+    shift = np.asarray(starts, dtype=np.int64)[place[:, 0]]
+    start, end = (place[:, 1] + shift)[:, None], (place[:, 2] + shift)[:, None]
+    body = start + np.arange(how.inside)
+    inside = np.where(body < end, line[np.minimum(body, len(line) - 1)], 0)
+    return np.concatenate([line[start - how.before + np.arange(how.before)], inside, line[end + np.arange(how.after)]], axis=1)
+
+
 @dataclass
 class Network:
     """Weights, calibration (slope, shift) and threshold."""
@@ -139,8 +183,29 @@ class Network:
         pooled = np.concatenate([np.take_along_axis(active, t[:, None], 1)[:, 0] for t in tops], axis=1)
         return pooled @ w["out"] + w["out_shift"][0], (spread, tops, pooled)
 
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        """As `forward`, by the filters' answers to each pair of characters and to the last one."""
+        w, how = self.weights, self.how
+        filters = w["filters"].reshape(how.width, how.embedding, how.filters)
+        answers = [(w["letters"] @ f).astype(np.float32) for f in filters]
+        tables = [(j, (answers[j][:, None] + answers[j + 1][None]).reshape(-1, how.filters)) for j in range(0, how.width - 1, 2)]
+        if how.width % 2:
+            tables.append((how.width - 1, answers[-1]))
+        places = rows.shape[1] - how.width + 1
+        shift, last = w["filter_shift"].astype(np.float32), w["out"].astype(np.float32)
+        out = np.empty(len(rows))
+        for a in range(0, len(rows), 128):
+            some = rows[a : a + 128].astype(np.int32)
+            pairs = some[:, :-1] * ALPHABET + some[:, 1:]
+            raw = np.zeros((len(some), places, how.filters), np.float32)
+            for j, table in tables:
+                raw += table.take((pairs if len(table) > ALPHABET else some)[:, j : j + places], axis=0)
+            tops = np.concatenate([raw[:, zone].max(axis=1) + shift for zone in self._zones()], axis=1)
+            out[a : a + 128] = (np.maximum(tops, 0) * last).sum(axis=1) + w["out_shift"][0]
+        return out
+
     def probability(self, rows: np.ndarray) -> np.ndarray:
-        scores = self.forward(rows)[0]
+        scores = self.scores(rows)
         return 1 / (1 + np.exp(-np.clip(self.slope * scores + self.shift, -50, 50)))
 
     def gradient(self, rows: np.ndarray, truth: np.ndarray) -> dict[str, np.ndarray]:
@@ -215,40 +280,72 @@ def fit(rows: np.ndarray, truth: np.ndarray, how: Settings) -> Network:
 EXAMPLES = "draw long, label int, view binary"
 
 
+def draws(text: str, starts: list[int]) -> np.ndarray:
+    """A number for each place that depends on the text and the place alone."""
+    own = np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")))
+    return (mix(np.asarray(starts, dtype=np.uint64) ^ own) >> np.uint64(1)).astype(np.int64)
+
+
+class Smallest:
+    """The rows with the smallest distinct draws; `bound` is no longer reached by others."""
+
+    def __init__(self, most: int):
+        self.most, self.rows, self.bound = most, {}, np.iinfo(np.int64).max
+
+    def add(self, draw: int, row: bytes) -> None:
+        self.rows[draw] = row
+        if len(self.rows) >= 2 * self.most:
+            self.rows = dict(self.first())
+            self.bound = max(self.rows)
+
+    def first(self) -> list[tuple[int, bytes]]:
+        return sorted(self.rows.items())[: self.most]
+
+
 def examples(docs: DataFrame, how: Settings) -> DataFrame:
-    """Labelled candidates of about `documents` documents, chosen by a hash of the id."""
+    """Labelled views from about `documents` documents, chosen by a hash of the id, of each task
+    those with the smallest draws per label."""
     share = min(1.0, how.documents / max(1, docs.count()))
     draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     chosen = id_and_text(docs).where("text is not null").where(draw < share)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [Smallest(how.examples), Smallest(how.examples)]
         for _, texts in documents_in(batches):
-            rows = []
             for text in (t.decode("utf-8", "replace") for t in texts if t):
                 found = base_spans(text)
-                places = [(a, b, touches(found, a, b)) for a, b in candidates(text)]
-                # a finding is seen by its value: the last run of token characters in it
-                places += [
-                    (a + len(text[a:b]) - len(tail), b, True)
-                    for a, _, b in found
-                    if (tail := re.search(r"[A-Za-z0-9+/_.=-]+\Z", text[a:b])[0])
-                    and not any(x < b and a < y for x, y in candidates(text))
-                ]
-                for a, b, secret in places:
-                    seen = view(text, a, b, how).astype(np.uint8).tobytes()
-                    key = hashlib.blake2b(seen, digest_size=7).digest()
-                    rows.append((int.from_bytes(key, "little"), int(secret), seen))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-                names=["draw", "label", "view"],
-            )
+                secret = [w for span in found for w in windows(*value(text, span), how)]
+                for truth, places in enumerate((candidates(text), secret)):
+                    numbers = draws(text, [a for a, _ in places])
+                    for i in np.flatnonzero(numbers < kept[truth].bound).tolist():
+                        a, b = places[i]
+                        if truth or not touches(found, a, b):
+                            a, b = windows(a, b, how)[int(numbers[i]) % len(windows(a, b, how))]
+                            kept[truth].add(int(numbers[i]), view(text, a, b, how).astype(np.uint8).tobytes())
+        rows = [(draw, truth, seen) for truth, some in enumerate(kept) for draw, seen in some.first()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
+            names=["draw", "label", "view"],
+        )
 
     return chosen.mapInArrow(label, EXAMPLES)
 
 
+def sureness(texts: list[str], asked: list[tuple[int, int, int]], net: Network) -> np.ndarray:
+    """The highest probability over the windows of each place (text, start, end)."""
+    every = [windows(a, b, net.how) for _, a, b in asked]
+    out = np.zeros(len(asked))
+    for first, stop in ((i, i + 4096) for i in range(0, len(asked), 4096)):
+        some = every[first:stop]
+        flat = [(number, a, b) for (number, _, _), own in zip(asked[first:stop], some) for a, b in own]
+        sure = net.probability(views(texts, flat, net.how))
+        out[first:stop] = np.maximum.reduceat(sure, np.cumsum([0, *map(len, some[:-1])]))
+    return out
+
+
 def train(docs: DataFrame, how: Settings = Settings()) -> Network | None:
     """A network from at most `examples` findings and as many other candidates."""
-    found = examples(docs, how).distinct()
+    found = settled(examples(docs, how).distinct())
     sample = [
         r
         for label in (0, 1)
@@ -264,22 +361,23 @@ def train(docs: DataFrame, how: Settings = Settings()) -> Network | None:
 
 def all_spans(texts: list[bytes | None], net: Network | None) -> list[tuple[list[Span], list[Span]]]:
     """Per text, the patterns' spans and all spans, as (start, kind, end) in order."""
-    found, asked, rows = [], [], []
-    for number, data in enumerate(texts):
-        text = data.decode("utf-8", "replace") if data else ""
-        base = base_spans(text) if text else []
-        found.append(base)
-        if net:
-            for a, b in candidates(text):
-                if not touches(base, a, b):
-                    asked.append((number, a, b))
-                    rows.append(view(text, a, b, net.how))
+    plain = [data.decode("utf-8", "replace") if data else "" for data in texts]
+    found = [base_spans(text) for text in plain]
+    asked = [
+        (number, a, b)
+        for number, (text, base) in enumerate(zip(plain, found))
+        for a, b in (candidates(text) if net else ())
+        if not (base and touches(base, a, b))
+    ]
     more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for start in range(0, len(rows), 256):
-        sure = net.probability(np.asarray(rows[start : start + 256])) >= net.threshold
-        for (number, a, b), yes in zip(asked[start : start + 256], sure.tolist()):
-            if yes:
-                more[number].append((a, 3, b))
+    sure = sureness(plain, asked, net) >= net.threshold if asked else np.zeros(0, dtype=bool)
+    for i in np.flatnonzero(sure).tolist():
+        number, a, b = asked[i]
+        own = more[number]
+        if own and (a < own[-1][2] or a == own[-1][2] + 1 and plain[number][a - 1] in SEPARATORS):
+            own[-1] = (own[-1][0], 3, max(own[-1][2], b))
+        else:
+            own.append((a, 3, b))
     return [(named(base), named(sorted(base + extra))) for base, extra in zip(found, more)]
 
 

@@ -131,3 +131,29 @@ def test_examples_are_bounded_and_the_same_every_time(table):
     one, other = train(table(corpus()), QUICK), train(table(corpus()).repartition(7), QUICK)
     assert one.threshold == other.threshold
     assert all((one.weights[k] == other.weights[k]).all() for k in one.weights)
+
+
+def test_views_at_once_and_scores_by_tables_are_the_same(table):
+    net = train(table(corpus()), QUICK)
+    texts = ["é" + prose(i, 9) + "/0123456789" * i for i in range(6)]
+    asked = [(n, *w) for n, t in enumerate(texts) for place in secret_cnn.candidates(t) for w in secret_cnn.windows(*place, QUICK)]
+    rows = np.stack([view(texts[n], a, b, QUICK) for n, a, b in asked])
+    assert (secret_cnn.views(texts, asked, QUICK) == rows).all()
+    assert net.scores(rows) == pytest.approx(net.forward(rows)[0], abs=1e-3)
+
+
+class SeesZ:
+    """Sure of every view with a Z among the characters it is asked about."""
+
+    how, threshold = QUICK, 0.5
+
+    def probability(self, rows):
+        return (rows[:, QUICK.before : QUICK.before + QUICK.inside] == ord("Z") - 31).any(axis=1).astype(float)
+
+
+def test_every_character_of_long_short_and_plain_candidates_is_read():
+    run = "/".join(["abcdef"] * 9) + "/ghZjkl/" + "mnopqr" * 9
+    texts = ["see abcZef and 0a1Z2c now", f"see {run} now", "x" * 31 + "Zy", "x" * 200 + "Z", "abcZe abcdef"]
+    found = [[(a, b) for a, _, b in every] for _, every in all_spans([t.encode() for t in texts], SeesZ())]
+    assert found == [[(4, 10), (15, 21)], [(4, 4 + len(run))], [(0, 33)], [(0, 201)], []]
+    assert run.index("ghZjkl") in [a for a, _ in secret_cnn.candidates(run)]
