@@ -7,18 +7,18 @@ characters with the text around them: character embeddings, one convolution, the
 answer of each filter before, inside and after them, and a logistic output. A longer
 candidate is read through overlapping windows, and the surest one counts.
 
-A sample of documents is searched for examples; the `examples` findings and as many others
-with the smallest draws (a hash of text and place) train the network. Its outputs are
-calibrated on findings kept aside, and the threshold is the highest one that still recalls
-`recall` of those.
+All documents are searched for examples; the `examples` findings and as many others with
+the smallest draws (a hash of text and place) train the network. Its outputs are calibrated
+on findings kept aside, and the threshold is the `1 - recall` quantile of the scores of all
+findings in the documents.
 
 Candidates are runs of `[A-Za-z0-9+/_.=-]` of six characters or more, and their parts
 between `+/_.=-` of six or more. Those that touch a pattern's finding are covered already;
 any other that reaches the threshold is a finding of kind `model`, as one span with those
 that overlap it or follow behind a separator.
 
-Null and empty texts have no spans. Without a finding or without another candidate in the
-sample there is no network and the patterns stand alone. Repeated rows get equal
+Null and empty texts have no spans. Without a finding or without another candidate there
+is no network and the patterns stand alone. Repeated rows get equal
 answers; extra columns are ignored.
 """
 
@@ -56,7 +56,6 @@ Span = tuple[int, str, int]  # start, kind, end
 class Settings:
     """Bounds of the training sample and shape of the network."""
 
-    documents: int = 40_000
     examples: int = 3_000
     before: int = 24
     inside: int = 32
@@ -303,11 +302,7 @@ class Smallest:
 
 
 def examples(docs: DataFrame, how: Settings) -> DataFrame:
-    """Labelled views from about `documents` documents, chosen by a hash of the id, of each task
-    those with the smallest draws per label."""
-    share = min(1.0, how.documents / max(1, docs.count()))
-    draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = id_and_text(docs).where("text is not null").where(draw < share)
+    """Labelled views from all documents, of each task those with the smallest draws per label."""
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [Smallest(how.examples), Smallest(how.examples)]
@@ -328,7 +323,7 @@ def examples(docs: DataFrame, how: Settings) -> DataFrame:
             names=["draw", "label", "view"],
         )
 
-    return chosen.mapInArrow(label, EXAMPLES)
+    return id_and_text(docs).where("text is not null").select("doc_id", "text").mapInArrow(label, EXAMPLES)
 
 
 def sureness(texts: list[str], asked: list[tuple[int, int, int]], net: Network) -> np.ndarray:
@@ -343,8 +338,22 @@ def sureness(texts: list[str], asked: list[tuple[int, int, int]], net: Network)
     return out
 
 
+def finding_scores(docs: DataFrame, net: Network) -> DataFrame:
+    """The score of every finding of the patterns."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data in documents_in(batches):
+            texts = [t.decode("utf-8", "replace") if t else "" for t in data]
+            asked = [(n, *value(text, span)) for n, text in enumerate(texts) for span in base_spans(text)]
+            if asked:
+                yield pa.RecordBatch.from_arrays([pa.array(sureness(texts, asked, net))], names=["score"])
+
+    return id_and_text(docs).where("text is not null").mapInArrow(score, "score double")
+
+
 def train(docs: DataFrame, how: Settings = Settings()) -> Network | None:
-    """A network from at most `examples` findings and as many other candidates."""
+    """A network from at most `examples` findings and as many other candidates of all documents,
+    with the threshold that `recall` of all findings reach."""
     found = settled(examples(docs, how).distinct())
     sample = [
         r
@@ -356,7 +365,10 @@ def train(docs: DataFrame, how: Settings = Settings()) -> Network | None:
         return None
     rows = np.asarray([np.frombuffer(r["view"], np.uint8) for r in sample], dtype=np.int64)
     mixed = np.argsort([r["draw"] for r in sample], kind="stable")
-    return fit(rows[mixed], truth[mixed], how)
+    net = fit(rows[mixed], truth[mixed], how)
+    quantile = F.percentile_approx("score", 1 - how.recall, 100_000)
+    net.threshold = finding_scores(docs, net).agg(quantile.alias("low")).first()["low"]
+    return net
 
 
 def all_spans(texts: list[bytes | None], net: Network | None) -> list[tuple[list[Span], list[Span]]]:

@@ -157,3 +157,21 @@ def test_every_character_of_long_short_and_plain_candidates_is_read():
     found = [[(a, b) for a, _, b in every] for _, every in all_spans([t.encode() for t in texts], SeesZ())]
     assert found == [[(4, 10), (15, 21)], [(4, 4 + len(run))], [(0, 33)], [(0, 201)], []]
     assert run.index("ghZjkl") in [a for a, _ in secret_cnn.candidates(run)]
+
+
+def test_rare_findings_are_found_in_any_number_of_documents(table):
+    rows = [(None if i % 2 else i, prose(i, 12)) for i in range(3000)]
+    rows[1777] = (1777, rows[1777][1] + " token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff")
+    docs = table(rows)
+    found = secret_cnn.examples(docs.repartition(5), QUICK).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] > 0 for r in found} == {0: True, 1: True}
+    assert all(r["count"] <= 5 * QUICK.examples for r in found)
+    assert train(docs, QUICK) is not None
+
+
+def test_threshold_is_a_quantile_of_all_findings(table):
+    docs = table(corpus())
+    net = train(docs, QUICK)
+    scores = [r["score"] for r in secret_cnn.finding_scores(docs, net).collect()]
+    assert len(scores) == sum(len(base_spans(t)) for _, t in corpus())
+    assert np.mean(np.asarray(scores) >= net.threshold) >= QUICK.recall
