@@ -3,10 +3,11 @@
 The sketch of a document is the `k` smallest hashes of its distinct shingles under one
 hash function; a document with fewer shingles is its own sketch. Two documents with a
 similarity of 0.75 have a same value among their smallest ones all but surely (a pair
-shares none of the lowest 10 with a chance of 0.25^10, one in a million), so inverted lists of the lowest
-`heads` values bring all pairs together. Inside a list the union of two sketches
-estimates the similarity; pairs far below the limit go (`loose` lies more than four
-standard deviations under it). What is left connects documents to groups, and within a
+shares none of the lowest 16 with a chance of 0.25^16, 2.3e-10), so inverted lists of the
+lowest `heads` values bring all pairs together. Inside a list the union of two sketches
+estimates the similarity; pairs far below the limit go (`loose` lies more than six
+standard deviations under it; the binomial tail of 64 draws is 1.3e-09). A pair at the limit
+that nothing else connects is missed by one or the other with a chance of 1.5e-09. What is left connects documents to groups, and within a
 group the full shingle sets decide every link.
 
 Documents with equal sets are one class from the start, so copies are never paired.
@@ -31,8 +32,8 @@ from revtrail.llm.words import Words, windows
 
 WIDTH = 5
 K = 64
-HEADS = 10
-LOOSE = 0.5
+HEADS = 16
+LOOSE = 0.4
 PERCENT = 75
 
 

@@ -82,3 +82,24 @@ def test_one_of_each_keeps_a_row_of_every_component(odd, odd_rows):
     )
     assert sum(not shingles(r["text"]) for r in found) == sum(not shingles(t) for _, t in rows)
     assert sorted(r["doc_id"] for r in found if r["text"] and r["text"].startswith(rows[0][1][:30])) == [1]
+
+
+def test_a_pair_without_a_common_value_among_the_lowest_ten(table):
+    words = [f"w{i}" for i in range(600)]
+    hashes = bottomk_dedup.windows(bottomk_dedup.Words([" ".join(words).encode()]).hashes(), bottomk_dedup.WIDTH)
+    other = list(words)
+    for at in hashes.argsort()[:10]:
+        other[at] = f"x{at}"
+    one, two = (bottomk_dedup.shingle_sets([" ".join(w).encode()])[0] for w in (words, other))
+    assert not set(one[:10]) & set(two[:10])
+    rows = [(1, " ".join(words)), (2, " ".join(other))]
+    assert brute(rows)[1][2] == 1
+    compare(table(rows), rows)
+
+
+def test_chance_of_a_miss_at_the_limit():
+    from math import ceil, comb
+
+    k, need = bottomk_dedup.K, ceil(bottomk_dedup.LOOSE * bottomk_dedup.K)
+    below = sum(comb(k, i) * 0.75**i * 0.25 ** (k - i) for i in range(need))
+    assert below + 0.25**bottomk_dedup.HEADS < 1e-8
