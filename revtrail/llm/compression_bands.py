@@ -44,15 +44,15 @@ class Bands:
         (320, 0.545, 0.80),
         (640, 0.512, 0.74),
         (1024, 0.492, 0.66),
-        (1448, 0.473, 0.63),
-        (2048, 0.449, 0.60),
-        (2896, 0.445, 0.58),
-        (4096, 0.435, 0.56),
-        (5793, 0.420, 0.55),
-        (8192, 0.413, 0.54),
-        (16384, 0.399, 0.52),
-        (32768, 0.380, 0.52),
-        (65536, 0.350, 0.52),
+        (1448, 0.473, 0.66),
+        (2048, 0.449, 0.66),
+        (2896, 0.445, 0.66),
+        (4096, 0.435, 0.66),
+        (5793, 0.420, 0.66),
+        (8192, 0.413, 0.66),
+        (16384, 0.399, 0.66),
+        (32768, 0.380, 0.66),
+        (65536, 0.350, 0.66),
     )
     chunk_bytes: int = 1024
     chunk: tuple[float, float] = (0.48, 0.66)
