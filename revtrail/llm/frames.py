@@ -10,23 +10,30 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that one step of a task holds as arrays.
 SLICE_BYTES = 1 << 20
 
 
-def settled(rows: DataFrame) -> DataFrame:
-    """Write rows to the shared folder of `spark.checkpoint.dir` and read them from there."""
-    context = rows.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, which the driver and all executors see; a local
+    session without one gets a folder of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """Write rows to the shared folder of `spark.checkpoint.dir` and read them from there."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 

@@ -19,6 +19,7 @@ from revtrail.llm import (
     slack_packing,
     sql,
     suffix_dedup,
+    warc_chunks,
     wordpiece,
 )
 
@@ -79,6 +80,10 @@ def op10_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "_p.*")
 
 
+def op11_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_chunks.archived(_table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_bands": op1_compression_bands,
@@ -91,8 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_edit_decontam": op8_edit_decontam,
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_ppm_language": op10_ppm_language,
+        "op11_warc_chunks": op11_warc_chunks,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_bottomk_dedup": sql.NEAR_DUPLICATES}
+    return {"op7_bottomk_dedup": sql.NEAR_DUPLICATES, "op11_warc_chunks": sql.ARCHIVED_PAGES}

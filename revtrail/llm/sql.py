@@ -31,3 +31,22 @@ SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(r.found)
 FROM sets s JOIN reached r ON r.doc_id = s.doc_id
 GROUP BY s.doc_id
 """
+
+# Five hexadecimal digits of the digest at a time are four of base32.
+_BASE32 = (
+    "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)), '')"
+)
+
+ARCHIVED_PAGES = f"""
+WITH payloads AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY h, payload_bytes ORDER BY page_id DESC NULLS LAST) AS place,
+    max(page_id) OVER (PARTITION BY h, payload_bytes) AS largest
+  FROM payloads)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN largest END AS refers_to
+FROM placed
+"""
