@@ -13,6 +13,7 @@ from revtrail.llm import (
     compression_bands,
     edit_decontam,
     kneser_ney,
+    merkle_manifest,
     paragraph_dedup,
     ppm_language,
     secret_cnn,
@@ -84,6 +85,10 @@ def op11_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return warc_chunks.archived(_table(spark, folder, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.verified(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_compression_bands": op1_compression_bands,
@@ -97,8 +102,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_ppm_language": op10_ppm_language,
         "op11_warc_chunks": op11_warc_chunks,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_bottomk_dedup": sql.NEAR_DUPLICATES, "op11_warc_chunks": sql.ARCHIVED_PAGES}
+    return {
+        "op7_bottomk_dedup": sql.NEAR_DUPLICATES,
+        "op11_warc_chunks": sql.ARCHIVED_PAGES,
+        "op13_merkle_manifest": sql.MERKLE_PROOFS,
+    }

