@@ -17,6 +17,7 @@ from revtrail.llm import (
     paragraph_dedup,
     ppm_language,
     secret_cnn,
+    shared_search,
     slack_packing,
     sql,
     suffix_dedup,
@@ -85,6 +86,10 @@ def op11_warc_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return warc_chunks.archived(_table(spark, folder, "pages"))
 
 
+def op12_shared_search(spark: SparkSession, folder: str) -> DataFrame:
+    return shared_search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.verified(_table(spark, folder, "documents"))
 
@@ -102,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_paragraph_dedup": op9_paragraph_dedup,
         "op10_ppm_language": op10_ppm_language,
         "op11_warc_chunks": op11_warc_chunks,
+        "op12_shared_search": op12_shared_search,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
@@ -110,5 +116,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_bottomk_dedup": sql.NEAR_DUPLICATES,
         "op11_warc_chunks": sql.ARCHIVED_PAGES,
+        "op12_shared_search": sql.RANKED_ITEMS,
         "op13_merkle_manifest": sql.MERKLE_PROOFS,
     }

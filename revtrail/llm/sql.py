@@ -52,6 +52,31 @@ FROM placed
 """
 
 
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+RANKED_ITEMS = f"""
+WITH worded AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+sized AS (SELECT doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM worded WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+held AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM held, whole GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM wanted JOIN held USING (term) JOIN weighed USING (term), whole GROUP BY item_id, doc_id),
+placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
+
+
 def _field(value: str) -> str:
     text = f"CAST({value} AS VARCHAR)"
     return f"coalesce(strlen({text}) || ':' || {text}, '-')"
