@@ -4,12 +4,13 @@ Every row is a leaf: the SHA-256 of its five fields. Per language the leaves asc
 doc_id, and runs of two become their digest until one node remains, the subroot; subroots,
 by language, become the root in the same way. The built levels are stored as node rows
 that carry their sibling and point to their parent. A Spark recursive query then takes
-each leaf up one node a round, appends the sibling it meets and folds the digest it was
-given, so a changed row is seen without reading any other row again.
+each leaf up the parent links, appends the siblings it meets and folds the digest it was given,
+so a changed row is seen without reading any other row again.
 
 Leaves are cut into blocks of neighbours, and a node is stored once for every block below
-it. Leaves and nodes lie in buckets of blocks, so no round of the climb moves a row, and a
-node near the root is met in as many tasks as there are blocks, not in one.
+it. Nodes lie in buckets of blocks, so they are never moved, and a node near the root is
+met in as many tasks as there are blocks, not in one. Spark hands the rows of a round to
+the next through a shuffle, so a round climbs several levels.
 
 Rows with equal doc_ids are leaves each, in the order of their digests. A null doc_id
 comes first and is never changed by `tampered`. Null and empty fields differ. An empty
@@ -250,20 +251,36 @@ def build(docs: DataFrame, modulus: int = 7) -> Manifest | None:
     )
 
 
-CLIMB = f"""
-WITH RECURSIVE climb (block, row, doc_id, at, step, folded, sibling, landmark) AS (
-  SELECT block, row, doc_id, at, 0, given, CAST(NULL AS BINARY), leaf FROM {{leaves}}
-  UNION ALL
-  SELECT c.block, c.row, c.doc_id, n.parent, c.step + 1,
-    CASE WHEN n.parent IS NULL THEN c.folded
-      WHEN n.sibling IS NULL THEN unhex(sha2(lower(hex(c.folded)), 256))
-      WHEN n.is_left THEN unhex(sha2(lower(concat(hex(c.folded), hex(n.sibling))), 256))
-      ELSE unhex(sha2(lower(concat(hex(n.sibling), hex(c.folded))), 256)) END,
-    n.sibling,
-    CASE WHEN n.parent IS NULL OR n.id BETWEEN {TOP << PLACE} AND {(TOP + 1 << PLACE) - 1} THEN n.digest END
-  FROM climb c JOIN {{nodes}} n ON n.block = c.block AND n.id = c.at)
-SELECT * FROM climb
-"""
+def _step(below: str, k: int, nodes: str) -> str:
+    """One level up: the node `a`, its sibling, the folded digest, and the digests of roots met."""
+    is_subroot = f"n.id BETWEEN {TOP << PLACE} AND {(TOP + 1 << PLACE) - 1}"
+    pair = f"IF(n.is_left, concat(hex(f{k - 1}), hex(n.sibling)), concat(hex(n.sibling), hex(f{k - 1})))"
+    return f"""
+    SELECT q.*, n.parent AS a{k}, n.sibling AS s{k},
+      CASE WHEN n.parent IS NULL THEN f{k - 1}
+        WHEN n.sibling IS NULL THEN unhex(sha2(lower(hex(f{k - 1})), 256))
+        ELSE unhex(sha2(lower({pair}), 256)) END AS f{k},
+      CASE WHEN {is_subroot} THEN n.digest END AS u{k},
+      CASE WHEN n.id IS NOT NULL AND n.parent IS NULL THEN n.digest END AS r{k}
+    FROM ({below}) q {'LEFT' if k > 1 else 'INNER'} JOIN {nodes} n ON n.block = q.block AND n.id = q.a{k - 1}"""
+
+
+def climb(leaves: str, nodes: str, height: int = BITS) -> str:
+    """The recursive query. A round follows the parent links up by as many levels as a block is
+    high, so a leaf goes through few rounds, each of which hands on one row a leaf."""
+    up = "SELECT block, row, doc_id, step, at AS a0, folded AS f0 FROM climb"
+    for k in range(1, height + 1):
+        up = _step(up, k, nodes)
+    met = {x: ", ".join(f"{x}{k}" for k in range(1, height + 1)) for x in "sur"}
+    return f"""
+    WITH RECURSIVE climb (block, row, doc_id, at, step, folded, siblings, leaf, subroot, root) AS (
+      SELECT block, row, doc_id, at, 0, given, CAST(array() AS ARRAY<BINARY>), leaf, CAST(NULL AS BINARY), CAST(NULL AS BINARY)
+      FROM {leaves}
+      UNION ALL
+      SELECT block, row, doc_id, a{height}, step + 1, f{height}, array_compact(array({met['s']})), CAST(NULL AS BINARY),
+        coalesce({met['u']}), coalesce({met['r']})
+      FROM ({up}))
+    SELECT * FROM climb"""
 
 
 @contextmanager
@@ -288,18 +305,14 @@ def proofs(spark: SparkSession, manifest: Manifest) -> DataFrame:
     # As many rows as there are leaves, times the height; both sides lie by block alone.
     limits = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
     with _settings(spark, **limits):
-        climbed = spark.sql(CLIMB.format(leaves=manifest.leaves, nodes=manifest.nodes))
-        met = F.array_sort(F.collect_list(F.when(F.col("sibling").isNotNull(), F.struct("step", "sibling"))))
-        ended, above = F.col("at").isNull(), (F.col("step") > 0) & F.col("landmark").isNotNull()
+        climbed = spark.sql(climb(manifest.leaves, manifest.nodes))
+        ended = F.col("at").isNull()
         per_leaf = climbed.groupBy("row").agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max(F.when(F.col("step") == 0, F.col("landmark"))).alias("leaf"),
-            F.min_by(F.when(above, F.col("landmark")), F.when(above, F.col("step"))).alias("subroot"),
-            F.max(F.when(ended, F.col("landmark"))).alias("root"),
+            *[F.max(c).alias(c) for c in ("doc_id", "leaf", "subroot", "root")],
             F.max(F.when(ended, F.col("folded"))).alias("folded_root"),
-            met.alias("met"),
+            F.array_sort(F.collect_list(F.when(F.size("siblings") > 0, F.struct("step", "siblings")))).alias("met"),
         )
-        siblings = F.array_join(F.transform("met", lambda x: as_text(x["sibling"])), "")
+        siblings = F.array_join(F.transform(F.flatten("met.siblings"), as_text), "")
         found = per_leaf.select(
             "doc_id",
             *[as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
