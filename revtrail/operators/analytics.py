@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -17,7 +19,7 @@ from revtrail.functions.deals import (
     weighted_points,
 )
 from revtrail.functions.numbers import percent, ratio, round_half_up, rounded_mean, rounded_ratio
-from revtrail.operators.joins import many_to_one
+from revtrail.operators.joins import Heavy, many_to_one
 from revtrail.params import QUALIFIED, STAGES, Params
 
 
@@ -120,18 +122,20 @@ def arr_cac_by_segment_source(
     deals: DataFrame,
     opps: DataFrame,
     leads: DataFrame,
-    params: Params,
+    heavy: Mapping[str, Heavy] | None = None,
 ) -> DataFrame:
     """Average deal value and cost per customer segment and lead source.
 
-    Deals without an opportunity, or whose opportunity has no lead, do not count.
+    Deals without an opportunity, or whose opportunity has no lead, do not count. `heavy`
+    are the heavy values of `opp_id` and `lead_id`, if known.
     """
+    heavy = heavy or {}
     owners = opps.select("opp_id", "lead_id", F.lit(True).alias("_opp"))
     sources = leads.select("lead_id", "lead_source", F.lit(True).alias("_lead"))
     rows = deals.select("opp_id", "customer_segment", "arr_value", "cac")
-    linked = many_to_one(rows, owners, "opp_id", params).where("_opp")
+    linked = many_to_one(rows, owners, "opp_id", heavy.get("opp_id")).where("_opp")
     # Deals spread over leads as the opportunities do.
-    sourced = many_to_one(linked, sources, "lead_id", params, opps).where("_lead")
+    sourced = many_to_one(linked, sources, "lead_id", heavy.get("lead_id")).where("_lead")
     return (
         sourced.groupBy("customer_segment", "lead_source")
         .agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from revtrail.functions.deals import blank_to, canonical_label, is_won, segment_of
 from revtrail.functions.numbers import MONEY
-from revtrail.operators.joins import many_to_one
+from revtrail.operators.joins import Heavy, many_to_one
 from revtrail.operators.quantiles import exact_quantiles
 from revtrail.params import CLOSED_WON, NEW, QUALIFIED, Params
 
@@ -61,26 +61,53 @@ def stage_averages(opps: DataFrame) -> DataFrame:
     )
 
 
-def arr_medians(opps_with_leads: DataFrame) -> DataFrame:
+GROUPS = ["industry", "company_size"]
+
+
+def arr_counts(opps: DataFrame, leads: DataFrame, params: Params, heavy: Heavy | None = None) -> DataFrame:
+    """How often (`times`) each deal value occurs per industry and company size of the lead.
+
+    Everything that is asked about the values comes from these counts: the medians, the
+    values that are filled in, and the quartiles over all of them. Whoever asks more than
+    once writes them down first.
+    """
+    one = leads_clean(leads, params).select("lead_id", *GROUPS)
+    rows = many_to_one(opps.select("lead_id", "arr_value"), one, "lead_id", heavy)
+    return rows.groupBy(*GROUPS, "arr_value").agg(F.count(F.lit(1)).alias("times"))
+
+
+def arr_medians(counts: DataFrame) -> DataFrame:
     """Exact median deal value per industry and company size, to four places."""
-    return exact_quantiles(
-        opps_with_leads, "arr_value", {"median_arr": 0.5}, ("industry", "company_size")
-    )
+    return exact_quantiles(counts, "arr_value", {"median_arr": 0.5}, GROUPS, "times")
 
 
-def impute_arr(opps: DataFrame, params: Params) -> DataFrame:
+def known_medians(counts: DataFrame) -> DataFrame:
+    """Medians of the groups that fill in values: those of leads with both attributes."""
+    return arr_medians(counts.where(" and ".join(f"{c} is not null" for c in GROUPS)))
+
+
+def filled_counts(counts: DataFrame) -> DataFrame:
+    """How often each deal value occurs once missing ones are filled in."""
+    filled = counts.join(known_medians(counts), GROUPS, "left")
+    return filled.select(F.coalesce("arr_value", F.col("median_arr").cast(MONEY)).alias("arr_value"), "times")
+
+
+def impute_arr(
+    opps: DataFrame, leads: DataFrame, counts: DataFrame, params: Params, heavy: Heavy | None = None
+) -> DataFrame:
     """Fill missing deal values with the median of the lead's industry and size.
 
     A group without any known value, and an opportunity without a lead, stay null. Only
-    rows without a value meet the medians; halves of a cent are rounded up.
+    rows without a value meet leads and medians here; halves of a cent are rounded up.
     """
-    groups = ["industry", "company_size"]
-    known = F.col("industry").isNotNull() & F.col("company_size").isNotNull()
-    medians = arr_medians(opps.where(known))
     kept = [c for c in opps.columns if c != "arr_value"]
     full = opps.where("arr_value is not null").select(*kept, "arr_value", F.lit(0).alias("arr_imputed_flag"))
-    missing = many_to_one(opps.where("arr_value is null").drop("arr_value"), medians, groups, params)
-    filled = missing.select(
+    missing = opps.where("arr_value is null").drop("arr_value")
+    if not set(GROUPS) <= set(opps.columns):
+        one = leads_clean(leads, params).select("lead_id", *GROUPS)
+        missing = many_to_one(missing.drop(*GROUPS), one, "lead_id", heavy)
+    # One row per group; adaptive execution broadcasts them if they are few, or splits a large group.
+    filled = missing.join(known_medians(counts), GROUPS, "left").select(
         *kept, F.col("median_arr").cast(MONEY).alias("arr_value"), F.lit(1).alias("arr_imputed_flag")
     )
     return full.unionByName(filled)
@@ -110,26 +137,30 @@ def opportunities_clean(
     leads: DataFrame,
     params: Params,
     columns: Iterable[str] = OPPORTUNITY_COLUMNS,
+    heavy: Heavy | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Opportunities with lead attributes and filled-in values and dates.
 
     `columns` may name any cleaned column and any lead attribute; steps that feed none
-    of them are left out of the plan. Averages and medians come from the raw rows.
+    of them are left out of the plan. Averages and medians come from the raw rows. `heavy`
+    are the heavy values of `lead_id`, if known, and `counts` the `arr_counts`, if written down.
     """
     columns = list(columns)
     wanted = set(columns)
     fill_arr = wanted & {"arr_value", "arr_imputed_flag"}
     fill_date = wanted & {"close_date", "close_date_imputed_flag"}
     attributes = wanted & set(LEAD_ATTRIBUTES)
-    if fill_arr:
-        attributes |= {"industry", "company_size"}
+    if fill_arr and attributes:
+        attributes |= set(GROUPS)
 
     rows = opps
     if attributes:
         one = leads_clean(leads, params).select("lead_id", *sorted(attributes))
-        rows = many_to_one(rows, one, "lead_id", params)
+        rows = many_to_one(rows, one, "lead_id", heavy)
     if fill_arr:
-        rows = impute_arr(rows, params)
+        counts = arr_counts(opps, leads, params, heavy) if counts is None else counts
+        rows = impute_arr(rows, leads, counts, params, heavy)
     if fill_date:
         rows = impute_close_date(rows, opps)
     return rows.select(*columns)

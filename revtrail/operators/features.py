@@ -31,13 +31,18 @@ def with_stalled_flag(opps: DataFrame, raw_opps: DataFrame, params: Params) -> D
     return label_lookup(opps, averages, "stage", params).withColumn("is_stalled", flag).drop("avg_days")
 
 
-def size_edges(opps: DataFrame) -> DataFrame:
-    return exact_quantiles(opps, "arr_value", {"first": 0.25, "second": 0.5, "third": 0.75})
+def size_edges(counts: DataFrame) -> DataFrame:
+    """Quartiles of the deal value, from how often (`times`) each value occurs."""
+    return exact_quantiles(counts, "arr_value", {"first": 0.25, "second": 0.5, "third": 0.75}, (), "times")
 
 
-def with_size_band(opps: DataFrame) -> DataFrame:
+def arr_times(opps: DataFrame) -> DataFrame:
+    return opps.groupBy("arr_value").agg(F.count(F.lit(1)).alias("times"))
+
+
+def with_size_band(opps: DataFrame, counts: DataFrame) -> DataFrame:
     """Quartile of the deal value over all opportunities; equal values share a band."""
-    edges = size_edges(opps).select(F.struct("first", "second", "third")).scalar()
+    edges = size_edges(counts).select(F.struct("first", "second", "third")).scalar()
     arr = F.col("arr_value")
     banded = opps.withColumn("_edges", edges)
     band = (

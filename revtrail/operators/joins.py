@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,40 +10,55 @@ from pyspark.sql import functions as F
 from revtrail.params import Params
 
 
-def heavy_keys(rows: DataFrame, on: list[str], params: Params) -> DataFrame:
-    """Keys (`_key0`, ...) with more than `hot_rows` rows and into how many parts to deal them.
+# Keys that a sketch reports at most, and those it keeps count of; both bound its size.
+# A key below one in `TRACKED` rows is no larger than an ordinary task's share.
+REPORTED, TRACKED = 1024, 16_384
 
-    There are at most rows / `hot_rows` of them, so the list is small enough to broadcast
-    for any table that the setting was made for. A missing key counts as a key.
+# Prints of keys with more than `hot_rows` rows, and the number of parts to deal them to.
+Heavy = Mapping[int, int]
+
+
+def key_print(on: list[str]) -> Column:
+    """One number per key of any type; a missing key has one too."""
+    return F.xxhash64(*on)
+
+
+def heavy_keys(rows: DataFrame, keys: Iterable[str], params: Params) -> dict[str, Heavy]:
+    """The heavy values of each key column, in one job that reads the key columns alone.
+
+    The counts come from heavy-hitter sketches of fixed size that every task fills with its
+    own rows, so no key is shuffled, and the driver gets `REPORTED` numbers a column at
+    most. They are estimates; they decide how rows are dealt, never what joins.
     """
-    parts = F.ceil(F.count(F.lit(1)) / F.lit(params.hot_rows)).cast("int")
-    keys = [F.col(c).alias(f"_key{i}") for i, c in enumerate(on)]
-    return rows.groupBy(*keys).agg(parts.alias("_parts")).where("_parts > 1")
+    keys = list(keys)
+    prints = rows.select(*[key_print([k]).alias(k) for k in keys])
+    tops = prints.agg(*[F.expr(f"approx_top_k(`{k}`, {REPORTED}, {TRACKED})").alias(k) for k in keys]).first()
+    return {
+        k: {x["item"]: -(-x["count"] // params.hot_rows) for x in tops[k] or () if x["count"] > params.hot_rows}
+        for k in keys
+    }
 
 
-def many_to_one(
-    many: DataFrame, one: DataFrame, on: str | list[str], params: Params, source: DataFrame | None = None
-) -> DataFrame:
+def many_to_one(many: DataFrame, one: DataFrame, on: str, heavy: Heavy | None = None) -> DataFrame:
     """Left join of a fact to a table with at most one row per key.
 
-    Rows of a heavy key are dealt to several parts by a hash of the whole row, and the one
-    row of the other side is repeated for each part. All keys go through the same join,
-    whatever the size of the table, and nothing runs while the join is planned.
-
-    `source` is the raw fact behind `many`: the same keys, but cheaper to count.
+    Where nothing is known of heavy keys, adaptive execution splits those it meets. Rows of
+    known heavy keys are dealt to several parts by a hash of the whole row, and the one row
+    of the other side is repeated for each part, which needs no statistics of the shuffle.
     """
-    on = [on] if isinstance(on, str) else list(on)
-    heavy = heavy_keys(many if source is None else source, on, params)
-    tests = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(on)]
-    same = reduce(lambda a, b: a & b, tests)
+    if not heavy:
+        return many.join(one, on, "left")
+    listed = many.sparkSession.createDataFrame(list(heavy.items()), "_print long, _parts int")
     parts = F.coalesce("_parts", F.lit(1))
 
     def counted(rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(heavy), same, "left")
+        # `REPORTED` rows at most.
+        return rows.withColumn("_print", key_print([on])).join(F.broadcast(listed), "_print", "left")
 
-    salted = counted(many).select(*many.columns, F.pmod(F.xxhash64(*many.columns), parts).cast("int").alias("_part"))
+    dealt = F.pmod(F.xxhash64(*many.columns), parts).cast("int")
+    salted = counted(many).select(*many.columns, F.when(parts > 1, dealt).otherwise(0).alias("_part"))
     repeated = counted(one).select(*one.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-    return salted.join(repeated, [*on, "_part"], "left").drop("_part")
+    return salted.join(repeated, [on, "_part"], "left").drop("_part")
 
 
 def label_lookup(rows: DataFrame, table: DataFrame, on: str, params: Params) -> DataFrame:

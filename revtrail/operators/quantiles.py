@@ -27,7 +27,11 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
 
 
 def exact_quantiles(
-    rows: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
+    rows: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    by: Sequence[str] = (),
+    times: str | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles of a money column, one output column per probability.
 
@@ -36,14 +40,15 @@ def exact_quantiles(
     the distinct values of those buckets are put in order. Neither a large group nor a
     frequent value ends up in one task, and one way serves tables of every size.
 
-    Interpolation is done in decimals and keeps four places.
+    `times` names a column that says how often a row counts. Interpolation is done in
+    decimals and keeps four places.
     """
     by = list(by)
     places = {name: Fraction(p).limit_denominator(1000) for name, p in probabilities.items()}
     values = (
         rows.where(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("decimal(18,2)").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(times) if times else F.count(F.lit(1))).alias("_n"))
         .withColumn("_bucket", _bucket(F.col("_value")))
     )
     counts = values.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n"))

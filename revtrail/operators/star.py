@@ -71,9 +71,9 @@ def _unknown(columns: set[str], known: Iterable[str], view: str) -> None:
         raise ValueError(f"{view} has no column {', '.join(missing)}")
 
 
-def _with_reps(ds, rows: DataFrame, attributes: list[str], source: DataFrame) -> DataFrame:
+def _with_reps(ds, rows: DataFrame, attributes: list[str]) -> DataFrame:
     reps = ds.reps.select("owner_id", *attributes)
-    return many_to_one(rows, reps, "owner_id", ds.params, source)
+    return many_to_one(rows, reps, "owner_id", ds.heavy.get("owner_id"))
 
 
 def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str]) -> DataFrame:
@@ -84,10 +84,8 @@ def _with_dates(ds, rows: DataFrame, day: str, attributes: list[str]) -> DataFra
 
 def segment_of_opportunity(ds) -> DataFrame:
     """One segment per opportunity: that of its largest deal, of equal ones the first by id."""
-    deals = ds.deals_clean.select("opp_id", "customer_segment", "arr_value", "deal_id")
-    largest = deals.groupBy("opp_id").agg(F.max(F.coalesce("arr_value", F.lit(-1))).alias("_most"))
-    top = deals.join(largest, "opp_id").where(F.coalesce("arr_value", F.lit(-1)) == F.col("_most"))
-    return top.groupBy("opp_id").agg(F.min_by("customer_segment", "deal_id").alias("customer_segment"))
+    place = F.struct(-F.coalesce("arr_value", F.lit(-1)), "deal_id")
+    return ds.deals_clean.groupBy("opp_id").agg(F.min_by("customer_segment", place).alias("customer_segment"))
 
 
 def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> DataFrame:
@@ -107,11 +105,12 @@ def opportunity_view(ds, columns: Iterable[str], date_role: str = "close") -> Da
         base.add("opp_id")
     rows = ds.opportunity_base(sorted(base) or ["opp_id"])
     if reps:
-        rows = _with_reps(ds, rows, reps, ds.opportunities)
+        rows = _with_reps(ds, rows, reps)
     if dates:
         rows = _with_dates(ds, rows, day, dates)
     if "customer_segment" in wanted:
-        rows = many_to_one(rows, segment_of_opportunity(ds), "opp_id", ds.params, ds.opportunities)
+        # The key of the fact itself, of which `relationship_integrity` checks that it is unique.
+        rows = rows.join(segment_of_opportunity(ds), "opp_id", "left")
     return rows.select(*columns)
 
 
@@ -137,13 +136,13 @@ def deal_view(ds, columns: Iterable[str]) -> DataFrame:
         # Cleaning leaves all but the features alone, so the raw rows serve the others.
         whole = linked & set(FEATURES)
         one = ds.opportunity_view(["opp_id", *sorted(linked)]) if whole else ds.opportunities
-        rows = many_to_one(rows, one.select("opp_id", *sorted(linked)), "opp_id", ds.params, ds.closed_deals)
+        rows = many_to_one(rows, one.select("opp_id", *sorted(linked)), "opp_id", ds.heavy.get("opp_id"))
     if leads:
         # Deals spread over leads and reps as the opportunities do.
         one = ds.leads_clean.select("lead_id", *leads)
-        rows = many_to_one(rows, one, "lead_id", ds.params, ds.opportunities)
+        rows = many_to_one(rows, one, "lead_id", ds.heavy.get("lead_id"))
     if reps:
-        rows = _with_reps(ds, rows, reps, ds.opportunities)
+        rows = _with_reps(ds, rows, reps)
     if dates:
         rows = _with_dates(ds, rows, "close_date", dates)
     if "cluster_label" in wanted:

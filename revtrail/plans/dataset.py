@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from datetime import date
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revtrail.operators import cleaning, features, forecast, segments, star
-from revtrail.operators.joins import many_to_one
+from revtrail.operators.joins import Heavy, heavy_keys, many_to_one
+from revtrail.operators.lineage import checkpointed
 from revtrail.params import Params
 from revtrail.sources import dimensions, files, fixtures
 
@@ -22,6 +23,7 @@ class Dataset:
     ) -> None:
         self.spark = spark
         self.params = params
+        self.heavy: Mapping[str, Heavy] = {}
         self._tables = tables
 
     @classmethod
@@ -90,15 +92,41 @@ class Dataset:
     def opportunities_clean(
         self, columns: Iterable[str] = cleaning.OPPORTUNITY_COLUMNS
     ) -> DataFrame:
-        return cleaning.opportunities_clean(self.opportunities, self.leads, self.params, columns)
+        columns = list(columns)
+        counts = self.arr_counts if {"arr_value", "arr_imputed_flag"} & set(columns) else None
+        return cleaning.opportunities_clean(
+            self.opportunities, self.leads, self.params, columns, self.heavy.get("lead_id"), counts
+        )
 
     @cached_property
-    def calendar(self) -> tuple[date, date]:
-        return self.params.first_day, self.params.last_day
+    def dim_date(self) -> DataFrame:
+        """The days that the facts span, within the calendar of the settings."""
+        facts = ((self.opportunities, ("created_date", "close_date")), (self.closed_deals, ("close_date",)))
+        tables = [rows.select(F.explode(F.array(*days)).alias("date")) for rows, days in facts]
+        return dimensions.date_spine(tables, self.params.first_day, self.params.last_day)
 
     @cached_property
-    def dim_date(self) -> DataFrame:
-        return dimensions.date_spine(self.spark, *self.calendar)
+    def arr_counts(self) -> DataFrame:
+        """`cleaning.arr_counts`, written down once: medians, filled-in values and size bands
+        all read them, and one distinct value a row is far less than the facts behind it."""
+        return checkpointed(
+            cleaning.arr_counts(self.opportunities, self.leads, self.params, self.heavy.get("lead_id"))
+        )
+
+    def clean_arr_counts(self) -> DataFrame:
+        """How often each cleaned deal value occurs."""
+        return cleaning.filled_counts(self.arr_counts)
+
+    def find_heavy_keys(self) -> dict[str, Heavy]:
+        """Look for heavy keys of both facts, one job each, and use them in all later plans.
+
+        Without it joins rely on adaptive execution, which meets skew only where it shuffles.
+        """
+        self.heavy = {
+            **heavy_keys(self.closed_deals, ["opp_id"], self.params),
+            **heavy_keys(self.opportunities, ["lead_id", "owner_id"], self.params),
+        }
+        return self.heavy
 
     def opportunity_base(self, columns: Iterable[str]) -> DataFrame:
         """Cleaned opportunities with their own features; steps that nobody asks for are left out."""
@@ -115,7 +143,7 @@ class Dataset:
         if "is_stalled" in wanted:
             rows = features.with_stalled_flag(rows, self.opportunities, self.params)
         if "deal_size_band" in wanted:
-            rows = features.with_size_band(rows)
+            rows = features.with_size_band(rows, self.clean_arr_counts())
         return rows.select(*columns)
 
     @cached_property
@@ -174,6 +202,7 @@ class BuiltDataset(Dataset):
         self, raw: Dataset, folder: str, fmt: str = "parquet", known: Iterable[str] | None = None
     ) -> None:
         super().__init__(raw.spark, raw._tables, raw.params)
+        self.heavy = raw.heavy
         self._folder, self._fmt, self._known = folder, fmt, known and set(known)
 
     def _built(self, table: str) -> DataFrame | None:
@@ -206,7 +235,7 @@ class BuiltDataset(Dataset):
         if more:
             leads = self.leads_clean.select("lead_id", *more)
             kept = dict.fromkeys([*[c for c in columns if c in own], "lead_id"])
-            rows = many_to_one(rows.select(*kept), leads, "lead_id", self.params, self.opportunities)
+            rows = many_to_one(rows.select(*kept), leads, "lead_id", self.heavy.get("lead_id"))
         return rows.select(*columns)
 
     def opportunities_clean(
@@ -216,6 +245,10 @@ class BuiltDataset(Dataset):
         rows = self._wide("opportunities_clean", cleaning.OPPORTUNITY_COLUMNS, columns)
         return super().opportunities_clean(columns) if rows is None else rows
 
+    def clean_arr_counts(self) -> DataFrame:
+        rows = self._built("opportunities_clean")
+        return super().clean_arr_counts() if rows is None else features.arr_times(rows)
+
     def opportunity_base(self, columns: Iterable[str]) -> DataFrame:
         columns = list(columns)
         own = (*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES)

@@ -19,7 +19,6 @@ from revtrail.operators import (
     segments,
     star,
 )
-from revtrail.operators.joins import many_to_one
 from revtrail.operators.measures import Between, evaluate
 from revtrail.plans import report
 from revtrail.plans.dataset import Dataset
@@ -67,11 +66,6 @@ def _clean_tables(ds: Dataset) -> dict[str, DataFrame]:
     }
 
 
-def _arr_medians(ds: Dataset) -> DataFrame:
-    one = ds.leads_clean.select("lead_id", "industry", "company_size")
-    return cleaning.arr_medians(many_to_one(ds.opportunities, one, "lead_id", ds.params))
-
-
 def _from_text(rows: DataFrame, table: str) -> DataFrame:
     """A table as a text file would bring it, truth values as 0 and 1, given its types back."""
     names = schema_of(table).names
@@ -161,7 +155,7 @@ ANSWERS: dict[str, Answer] = {
     "leads_clean": lambda ds: ds.leads_clean,
     "qualified_leads": lambda ds: cleaning.qualified_only(ds.leads_clean),
     "stage_avg_days": lambda ds: cleaning.stage_averages(ds.opportunities),
-    "arr_median_by_segment": _arr_medians,
+    "arr_median_by_segment": lambda ds: cleaning.arr_medians(ds.arr_counts),
     "opportunities_clean": lambda ds: ds.opportunities_clean(),
     "closed_deals_clean": lambda ds: ds.deals_clean,
     "closed_deals_build": lambda ds: cleaning.closed_deals_build(
@@ -184,7 +178,7 @@ ANSWERS: dict[str, Answer] = {
         ds.opportunities_clean(["owner_id", "stage"]), ds.reps
     ),
     "arr_cac_by_segment_source": lambda ds: analytics.arr_cac_by_segment_source(
-        ds.deals_clean, ds.opportunities, ds.leads_clean, ds.params
+        ds.deals_clean, ds.opportunities, ds.leads_clean, ds.heavy
     ),
     "rolling_3mo_arr": lambda ds: analytics.rolling_3mo_arr(ds.deals_clean),
     "forecast_by_quarter": lambda ds: analytics.forecast_by_quarter(

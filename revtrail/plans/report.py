@@ -23,7 +23,7 @@ def _scaled(value: Column, low: Column, high: Column) -> Column:
 
 
 def _scaled_by_window(name: str) -> Column:
-    # Only for tables with one row per label, month or quarter.
+    # Only for tables with one row per label, owner, month or quarter.
     everything = Window.partitionBy()
     return _scaled(F.col(name), F.min(name).over(everything), F.max(name).over(everything))
 
@@ -148,15 +148,9 @@ def rep_leaderboard(ds) -> DataFrame:
     rows = _by_owner(
         ds, "closed_won_count", "closed_won_arr", "win_rate", "avg_days_to_close", "stalled_arr"
     )
-    # Owners may be many, so the extremes come from an aggregate; the rate alone needs no values.
-    ends = _by_owner(ds, "win_rate").agg(F.min("win_rate").alias("low"), F.max("win_rate").alias("high"))
-    scaled = rows.withColumn("_ends", ends.select(F.struct("low", "high")).scalar())
-    scale = _scaled(F.col("win_rate"), F.col("_ends.low"), F.col("_ends.high"))
-    return (
-        scaled.withColumn("win_rate_scale", scale)
-        .drop("_ends")
-        .join(ds.reps.select("owner_id", "rep_name"), "owner_id", "left")
-    )
+    # The window runs over one row per owner.
+    scaled = rows.withColumn("win_rate_scale", _scaled_by_window("win_rate"))
+    return scaled.join(ds.reps.select("owner_id", "rep_name"), "owner_id", "left")
 
 
 def rep_quota_attainment(ds) -> DataFrame:

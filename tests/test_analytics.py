@@ -132,7 +132,7 @@ def test_size_bands_never_split_equal_values(spark):
     opps = spark.createDataFrame(
         [(M(v),) for v in (1, 2, 3, 10, 10, 4, 5)] + [(None,)], "arr_value decimal(18,2)"
     )
-    rows = features.with_size_band(opps).collect()
+    rows = features.with_size_band(opps, features.arr_times(opps)).collect()
     bands = {(r["arr_value"], r["deal_size_band"]) for r in rows}
     assert bands == {
         (M("1.00"), "Q1"),

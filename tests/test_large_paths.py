@@ -26,6 +26,8 @@ FITTED = {"kmeans_segments", "kmeans_profile", "kmeans_cluster_counts", "cluster
 def test_heavy_keys(spark, name, hot_rows):
     ds = Dataset.from_testdata(spark, SF_DIR)
     ds.params = dataclasses.replace(ds.params, hot_rows=hot_rows)
+    assert hot_rows > 1 or ds.find_heavy_keys()["lead_id"]
+    ds.find_heavy_keys()
     rows = registry.presented(registry.ANSWERS[name](ds))
     assert compare.differences(rows, compare.connect(SF_DIR), SQL[name]) == []
 
