@@ -7,6 +7,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from revtrail.operators import cleaning, features, forecast, segments, star
 from revtrail.operators.joins import Heavy, heavy_keys, many_to_one
@@ -160,7 +161,7 @@ class Dataset:
 
     def build(self, folder: str, fmt: str = "parquet") -> BuiltDataset:
         """Write the clean and modelled tables once, and give the dataset that reads them."""
-        files.write_outputs(
+        written = files.write_outputs(
             {
                 "leads_clean": self.leads_clean,
                 "opportunities_clean": self.opportunities_clean(),
@@ -171,8 +172,8 @@ class Dataset:
             folder,
             fmt,
         )
-        clean = BuiltDataset(self, folder, fmt, ("leads_clean", "opportunities_clean", "closed_deals_clean"))
-        files.write_outputs(
+        clean = BuiltDataset(self, folder, fmt, dict(written))
+        written |= files.write_outputs(
             {
                 "opportunities_modelled": clean.opportunity_base(
                     [*cleaning.OPPORTUNITY_COLUMNS, *star.FEATURES]
@@ -186,7 +187,7 @@ class Dataset:
             folder,
             fmt,
         )
-        whole = BuiltDataset(self, folder, fmt)
+        whole = BuiltDataset(self, folder, fmt, written)
         files.write_outputs({"closed_deals_segmented": whole.deal_view(star.SEGMENTED_COLUMNS)}, folder, fmt)
         return whole
 
@@ -194,22 +195,27 @@ class Dataset:
 class BuiltDataset(Dataset):
     """A dataset that reads its clean and modelled tables where `build` wrote them.
 
-    The raw tables are those of the dataset it was built from. `known` names the tables
-    that are there already.
+    The raw tables are those of the dataset it was built from. `known` gives the types of
+    the tables that are there already; without it all are, and CSV cannot be read.
     """
 
     def __init__(
-        self, raw: Dataset, folder: str, fmt: str = "parquet", known: Iterable[str] | None = None
+        self,
+        raw: Dataset,
+        folder: str,
+        fmt: str = "parquet",
+        known: Mapping[str, StructType] | None = None,
     ) -> None:
         super().__init__(raw.spark, raw._tables, raw.params)
         self.heavy = raw.heavy
-        self._folder, self._fmt, self._known = folder, fmt, known and set(known)
+        self._folder, self._fmt, self._known = folder, fmt, known
 
     def _built(self, table: str) -> DataFrame | None:
-        """A written table with the types it was written with; parquet and ORC keep them."""
+        """A written table with the types it was written with."""
         if self._known is not None and table not in self._known:
             return None
-        return self.spark.read.format(self._fmt).load(f"{self._folder}/{table}")
+        schema = self._known and self._known[table]
+        return files.read_back(self.spark, f"{self._folder}/{table}", self._fmt, schema)
 
     @cached_property
     def leads_clean(self) -> DataFrame:

@@ -70,6 +70,22 @@ def save_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> DataFr
     return rows.sparkSession.table(table)
 
 
-def write_outputs(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
+def write_outputs(
+    tables: dict[str, DataFrame], folder: str, fmt: str = "parquet"
+) -> dict[str, StructType]:
+    """Write tables under their names; the answer are the types `read_back` needs for CSV."""
     for name, rows in tables.items():
         write_table(rows, f"{folder}/{name}", fmt)
+    return {name: rows.schema for name, rows in tables.items()}
+
+
+def read_back(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """A table as `write_table` wrote it; parquet and ORC keep their types, CSV needs `schema`."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        if schema is None:
+            raise ValueError(f"{path}: CSV keeps no types, so the schema must be given")
+        reader = reader.schema(schema).option("header", True).option("mode", "FAILFAST")
+    return reader.load(path)

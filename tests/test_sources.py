@@ -9,8 +9,17 @@ from revtrail.sources.schemas import TABLES, schema_of, typed
 
 
 def test_date_dimension(spark):
-    days = {r["date"]: r for r in dimensions.date_spine(spark, D("2024-06-01"), D("2026-05-31")).collect()}
-    assert len(days) == 730
+    settings = D("2024-06-01"), D("2026-05-31")
+
+    def spine(*tables):
+        rows = [spark.createDataFrame([(d and D(d),) for d in days], "date date") for days in tables]
+        return {r["date"]: r for r in dimensions.date_spine(rows, *settings).collect()}
+
+    days = spine(["2024-05-02", None], ["2026-07-01", "2025-01-01"])
+    assert len(days) == 730 and len(spine([None], [])) == 730
+    own = spine(["2025-02-03", None], ["2025-01-30"])
+    assert (min(own), max(own), len(own)) == (D("2025-01-30"), D("2025-02-03"), 5)
+    assert spine(["2027-01-01"], []) == {}
     edge = days[D("2024-12-30")]
     assert (edge["year"], edge["quarter"], edge["week_num"], edge["is_weekday"]) == (2024, "Q4", 1, True)
     first = days[D("2024-06-01")]
@@ -102,6 +111,21 @@ def test_built_tables_give_the_same_answers(spark, tmp_path):
         assert sorted(map(str, again.select(*columns).collect())) == sorted(map(str, first.select(*columns).collect())), name
 
 
+def test_csv_tables_can_be_built_and_asked(spark, tmp_path):
+    import dataclasses
+
+    ds = Dataset.from_testdata(spark, SF_DIR)
+    ds.params = dataclasses.replace(ds.params, kmeans_starts=2)
+    built = ds.build(str(tmp_path), "csv")
+    assert built.opportunities_clean().schema["arr_value"].dataType == ds.opportunities_clean().schema["arr_value"].dataType
+    for name in ("leads_clean", "coverage_ratio", "won_by_size_band", "closed_deals_segmented"):
+        first, again = registry.ANSWERS[name](ds), registry.ANSWERS[name](built)
+        columns = sorted(first.columns)
+        assert sorted(map(str, again.select(*columns).collect())) == sorted(map(str, first.select(*columns).collect())), name
+    with pytest.raises(ValueError, match="schema must be given"):
+        files.read_back(spark, str(tmp_path / "leads_clean"), "csv")
+
+
 def test_calendar_is_a_setting(business):
     days = [r["date"] for r in business.dim_date.orderBy("date").collect()]
     assert (days[0], days[-1], len(days)) == (D("2025-01-01"), D("2025-05-31"), 151)
