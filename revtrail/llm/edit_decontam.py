@@ -6,10 +6,12 @@ one automaton, one pass over each text finds the exact piece hits, and each plac
 hit points to is verified with Myers' bit-parallel edit distance. The budget `e` is a
 share of the item's length, so nothing within the budget is missed.
 
-Texts are compared in lower case with runs of white space as one blank. Items without
-text, or shorter than `least` characters, match only if `least` is lowered: so short a
-text proves nothing. Equal items are reported each. Null and empty documents match
-nothing. An empty benchmark leaves every document clean. Rows are judged one by one.
+Texts are compared in lower case with runs of white space as one blank. Items shorter
+than `least` characters are one piece without edits, and match between word bounds alone:
+a short answer inside a longer word is no copy of it. Null and empty items match nothing.
+Equal items are reported each. Null and empty documents match nothing, very long ones are
+searched whole. An empty benchmark leaves every document clean, no documents give no rows.
+Rows are judged one by one; extra columns are ignored, and `clean` keeps them.
 """
 
 from __future__ import annotations
@@ -29,13 +31,13 @@ from revtrail.llm.frames import documents_in, id_and_text, ids_of, per_text, set
 
 @dataclass(frozen=True)
 class Budget:
-    """Edits allowed as a share of the item's characters, and the shortest item looked for."""
+    """Edits allowed as a share of the item's characters, and the shortest item that may have any."""
 
     share: float = 0.05
     least: int = 24
 
     def edits(self, length: int) -> int:
-        return int(length * self.share)
+        return int(length * self.share) if length >= self.least else 0
 
 
 # Characters of benchmark text in one block; each block takes a pass over the documents.
@@ -96,15 +98,21 @@ def stretches(starts: list[int], size: int, edits: int) -> list[tuple[int, int]]
     return found
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on across either end of a part of the text."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum() for at in (start, end))
+
+
 class Searcher:
     """One block of items, ready to be looked for."""
 
     def __init__(self, items: Items, budget: Budget):
+        self.least = budget.least
         self.items = [(name, text, budget.edits(len(text))) for name, text in items]
         self.found_by = ahocorasick.Automaton()
         self.empty = True
         for number, (_, text, edits) in enumerate(self.items):
-            if len(text) < budget.least:
+            if not text:
                 continue
             self.empty = False
             for place, piece in pieces(text, edits):
@@ -133,9 +141,13 @@ class Searcher:
         for number, starts in self.places(plain).items():
             name, item, edits = self.items[number]
             best = (edits + 1, 0)
-            for low, high in stretches(starts, len(item), edits):
-                distance, end = myers(item, plain[low:high])
-                best = min(best, (distance, low + end))
+            if len(item) < self.least:
+                ends = (a + len(item) for a in starts if stands_alone(plain, a, a + len(item)))
+                best = (0, end) if (end := next(ends, None)) is not None else best
+            else:
+                for low, high in stretches(starts, len(item), edits):
+                    distance, end = myers(item, plain[low:high])
+                    best = min(best, (distance, low + end))
             if best[0] <= edits:
                 found.append((name, *best))
                 if first:

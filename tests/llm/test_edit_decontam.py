@@ -53,9 +53,31 @@ def test_search_matches_brute_force():
         expected = {
             (i, d) for i, t in items if len(t) >= budget.least and (d := distance(t, normal(text))) <= budget.edits(len(t))
         }
+        expected |= {(i, 0) for i, t in items if len(t) < budget.least and f" {t} " in f" {normal(text)} "}
         assert {(i, d) for i, d, _ in search.matches(text.encode())} == expected
 
 
+def test_short_items_match_whole_words_without_edits():
+    search = Searcher(((1, "four score"), (2, "7"), (3, ""), (4, "(b) yes!")), Budget())
+
+    def found(text):
+        return [(i, d, text[:end][-10:]) for i, d, end in search.matches(text.encode())]
+
+    assert found("its fourscore") == found("four scores") == found("xfour score") == found("four  scor") == found("77") == []
+    assert found("xfour score, four score.") == [(1, 0, "four score")]
+    assert search.matches(b"Four\n SCORE") == [(1, 0, 10)]
+    assert search.matches(b"of 17, 7 are") == [(2, 0, 8)]
+    assert search.matches(b"say (B) yes!no") == [(4, 0, 12)]
+    assert Searcher(((3, ""), (5, "")), Budget()).matches(b"any text") == []
+
+
+def test_one_very_long_text(spark, table):
+    text = prose(5, 300) + " " + " ".join(["word"] * 400_000) + " the quick brown fox jumps over the lazy dag"
+    items = spark.createDataFrame([(1, "The quick brown fox jumps over the lazy dog"), (2, "lazy dag"), (3, "wor")], ITEMS)
+    found = edit_decontam.contamination(table([(9, text)]), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(9, 1, 1), (9, 2, 0)]
+
+
 def test_whole_tables(spark):
     docs = {r["doc_id"]: normal(r["text"]) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     items = {r["item_id"]: normal(r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
