@@ -114,12 +114,13 @@ def exact_test(percent: int) -> Callable[[list[np.ndarray]], Test]:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Shingle sets of the classes in `wanted` (digest, first_id, canopy), from their texts."""
+    """Shingle sets of the classes in `wanted` (digest, first_id, first_mark, canopy), from
+    their texts."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in documents_in(batches):
             sets = shingle_sets(texts, width)
-            # another text may have the same id: it is told by its digest
+            # another text may have the same id and hash: it is told by its digest
             right = [i for i, (s, d) in enumerate(zip(sets, batch.column(2).to_pylist())) if digest(s) == d]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -130,8 +131,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 names=["canopy", "member", "held"],
             )
 
-    texts = id_and_text(docs)
-    same = texts["doc_id"].eqNullSafe(wanted["first_id"])
+    rows = id_and_text(docs).where("text is not null")
+    # rows without an id are told apart by their texts alone, so of equal ones one is enough
+    unnamed = rows.where("doc_id is null").dropDuplicates(["text"])
+    texts = rows.where("doc_id is not null").unionByName(unnamed).withColumn("mark", F.xxhash64("text"))
+    same = texts["doc_id"].eqNullSafe(wanted["first_id"]) & (texts["mark"] == wanted["first_mark"])
     found = texts.join(wanted, same).select(texts["doc_id"], "text", "digest", "canopy")
     return found.mapInArrow(read, "canopy binary, member binary, held binary")
 
@@ -152,10 +156,11 @@ def labelled(
         signed.where("digest is not null")
         .groupBy("digest")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"),
             F.first("sketch").alias("sketch"),
             F.first("heads").alias("heads"),
         )
+        .select("digest", "sketch", "heads", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"))
     )
     listed = classes.select(F.explode("heads").alias("value"), F.col("digest").alias("member"))
     sketches = classes.select(F.col("digest").alias("member"), F.col("sketch").alias("held"))
@@ -163,7 +168,7 @@ def labelled(
     canopies = components(link_lists(entries, sketch_test(k, loose), loose))
 
     canopies = canopies.select(F.col("node").alias("digest"), F.col("root").alias("canopy"))
-    wanted = canopies.join(classes.select("digest", "first_id"), "digest")
+    wanted = canopies.join(classes.select("digest", "first_id", "first_mark"), "digest")
     sizes = canopies.groupBy("canopy").agg(F.count(F.lit(1)).alias("n"))
     sets = full_sets(docs, wanted, width).join(sizes, "canopy")
     sets = in_blocks(sets.withColumnRenamed("canopy", "value"), block)

@@ -62,6 +62,20 @@ def test_chains_and_large_groups_of_near_copies(table):
     compare(table(rows), rows, block=7)
 
 
+def test_rows_without_or_with_equal_ids_are_read_once(table):
+    words = prose(7, 60).split()
+    rows = []
+    for doc_id in (None, 5):
+        for n in range(40):
+            own = list(words)
+            own[n] = f"y{n}"
+            rows += [(doc_id, " ".join(own))] * (3 if doc_id is None and n < 5 else 1)
+    docs = table(rows)
+    compare(docs, rows)
+    signed = bottomk_dedup.signatures(docs).selectExpr("digest", "doc_id first_id", "mark first_mark", "digest canopy").distinct()
+    assert signed.count() == bottomk_dedup.full_sets(docs, signed, bottomk_dedup.WIDTH).count() == 80
+
+
 def test_whole_table_matches_sql(spark):
     duck = duckdb.connect()
     duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
