@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -108,8 +110,17 @@ def windows(start: int, end: int, how: Settings) -> list[tuple[int, int]]:
     return [(a, a + how.inside) for a in [*range(start, last, how.inside // 2), last]]
 
 
-def touches(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
-    return any(a < end and start < b for a, _, b in spans)
+class Covered:
+    """Where the spans of a text lie, given in order of their starts."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [start for start, _, _ in spans]
+        self.reach = list(accumulate((end for _, _, end in spans), max))
+
+    def touches(self, start: int, end: int) -> bool:
+        """Whether any span overlaps a place: of those that start before its end, the farthest."""
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
 
 
 def codes(text: str) -> np.ndarray:
@@ -309,12 +320,13 @@ def examples(docs: DataFrame, how: Settings) -> DataFrame:
         for _, texts in documents_in(batches):
             for text in (t.decode("utf-8", "replace") for t in texts if t):
                 found = base_spans(text)
+                covered = Covered(found)
                 secret = [w for span in found for w in windows(*value(text, span), how)]
                 for truth, places in enumerate((candidates(text), secret)):
                     numbers = draws(text, [a for a, _ in places])
                     for i in np.flatnonzero(numbers < kept[truth].bound).tolist():
                         a, b = places[i]
-                        if truth or not touches(found, a, b):
+                        if truth or not covered.touches(a, b):
                             a, b = windows(a, b, how)[int(numbers[i]) % len(windows(a, b, how))]
                             kept[truth].add(int(numbers[i]), view(text, a, b, how).astype(np.uint8).tobytes())
         rows = [(draw, truth, seen) for truth, some in enumerate(kept) for draw, seen in some.first()]
@@ -377,9 +389,9 @@ def all_spans(texts: list[bytes | None], net: Network | None) -> list[tuple[list
     found = [base_spans(text) for text in plain]
     asked = [
         (number, a, b)
-        for number, (text, base) in enumerate(zip(plain, found))
+        for number, (text, covered) in enumerate(zip(plain, map(Covered, found)))
         for a, b in (candidates(text) if net else ())
-        if not (base and touches(base, a, b))
+        if not covered.touches(a, b)
     ]
     more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     sure = sureness(plain, asked, net) >= net.threshold if asked else np.zeros(0, dtype=bool)

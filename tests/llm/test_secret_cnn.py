@@ -175,3 +175,14 @@ def test_threshold_is_a_quantile_of_all_findings(table):
     scores = [r["score"] for r in secret_cnn.finding_scores(docs, net).collect()]
     assert len(scores) == sum(len(base_spans(t)) for _, t in corpus())
     assert np.mean(np.asarray(scores) >= net.threshold) >= QUICK.recall
+
+
+def test_covered_places_match_brute_force():
+    draw = random.Random(4)
+    for _ in range(300):
+        spans = sorted((a, 0, a + draw.randint(1, 12)) for a in (draw.randrange(60) for _ in range(draw.randint(0, 6))))
+        covered = secret_cnn.Covered(spans)
+        for _ in range(30):
+            start = draw.randrange(70)
+            end = start + draw.randint(1, 8)
+            assert covered.touches(start, end) == any(a < end and start < b for a, _, b in spans)
