@@ -17,19 +17,18 @@ between `+/_.=-` of six or more. Those that touch a pattern's finding are covere
 any other that reaches the threshold is a finding of kind `model`, as one span with those
 that overlap it or follow behind a separator.
 
-Null and empty texts have no spans. Without a finding or without another candidate there
-is no network and the patterns stand alone. Repeated rows get equal
-answers; extra columns are ignored.
+Null and empty texts have no spans. Without a finding or without another candidate, as in an
+empty table, there is no network and the patterns stand alone. Long texts and runs take time
+and memory in proportion. Repeated rows get equal answers; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +46,12 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
-PART = re.compile(r"[A-Za-z0-9]{6,}")
+SHORTEST = 6
 SEPARATORS = "+/_.=-"
 
+# Characters whose answers are held at once.
+STRETCH = 8192
+
 Span = tuple[int, str, int]  # start, kind, end
 
 
@@ -85,42 +86,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of token characters, each followed by its parts."""
-    found = []
-    for m in CANDIDATE.finditer(text):
-        run = m.span()
-        found.append(run)
-        if not m[0].isalnum():
-            found += [p for part in PART.finditer(text, *run) if (p := part.span()) != run]
-    return found
-
-
 def value(text: str, span: tuple[int, int, int]) -> tuple[int, int]:
     """What a pattern's finding keeps secret: an assignment without the name."""
     start, kind, end = span
     return ASSIGN.match(text, start).span(2) if kind == 0 else (start, end)
 
 
-def windows(start: int, end: int, how: Settings) -> list[tuple[int, int]]:
-    """Overlapping stretches of at most `inside` characters that cover a candidate."""
-    last = end - how.inside
-    if last <= start:
-        return [(start, end)]
-    return [(a, a + how.inside) for a in [*range(start, last, how.inside // 2), last]]
-
-
-class Covered:
-    """Where the spans of a text lie, given in order of their starts."""
-
-    def __init__(self, spans: list[tuple[int, int, int]]):
-        self.starts = [start for start, _, _ in spans]
-        self.reach = list(accumulate((end for _, _, end in spans), max))
-
-    def touches(self, start: int, end: int) -> bool:
-        """Whether any span overlaps a place: of those that start before its end, the farthest."""
-        before = bisect_left(self.starts, end)
-        return before > 0 and self.reach[before - 1] > start
+def windows(start: np.ndarray, end: np.ndarray, how: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping stretches of at most `inside` characters that cover each candidate, one
+    candidate after another, and how many each has."""
+    step = how.inside // 2
+    counts = 1 + np.maximum(0, -(-(end - start - how.inside) // step))
+    ends = np.cumsum(counts)
+    first, stop = np.repeat(start, counts), np.repeat(end, counts)
+    place = np.arange(len(first)) - np.repeat(ends - counts, counts)
+    first = np.minimum(first + place * step, np.maximum(first, stop - how.inside))
+    return first, np.minimum(first + how.inside, stop), counts
 
 
 def codes(text: str) -> np.ndarray:
@@ -136,6 +117,67 @@ def codes(text: str) -> np.ndarray:
 ALPHABET = 98
 
 
+def classes(characters: str) -> np.ndarray:
+    """Which character numbers stand for one of these."""
+    out = np.zeros(ALPHABET, dtype=bool)
+    out[codes(characters)] = True
+    return out
+
+
+PLAIN = classes(string.ascii_letters + string.digits)
+TOKEN = PLAIN | classes(SEPARATORS)
+
+
+def runs(inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of true values of a least length begin and end."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    long = end - start >= least
+    return start[long], end[long]
+
+
+class Line:
+    """Texts as one row of character numbers, with room between them; 0 where there is nothing."""
+
+    def __init__(self, texts: list[str], how: Settings):
+        pad = np.zeros(max(how.before, how.after), dtype=np.uint8)
+        parts, starts, at = [pad], [], len(pad)
+        for text in texts:
+            starts.append(at)
+            parts += [codes(text).astype(np.uint8), pad]
+            at += len(parts[-2]) + len(pad)
+        self.codes = np.concatenate(parts)
+        self.starts = np.asarray(starts, dtype=np.int64)
+
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, places, side="right") - 1
+
+    def places(self, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end in the row of spans (text, start, end)."""
+        found = np.asarray(spans, dtype=np.int64).reshape(-1, 3)
+        shift = self.starts[found[:, 0]]
+        return found[:, 1] + shift, found[:, 2] + shift
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of runs of token characters, each before its parts."""
+        start, end = runs(TOKEN[self.codes], SHORTEST)
+        first, last = runs(PLAIN[self.codes], SHORTEST)
+        own = np.searchsorted(start, first, side="right") - 1
+        part = (first != start[own]) | (last != end[own]) if len(start) else np.zeros(0, dtype=bool)
+        start, end = np.append(start, first[part]), np.append(end, last[part])
+        order = np.lexsort((-end, start))
+        return start[order], end[order]
+
+
+def touches(start: np.ndarray, end: np.ndarray, spans: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which places overlap any span, given in order of their starts: of those that start
+    before its end, the farthest reaches over its start."""
+    if not len(spans[0]):
+        return np.zeros(len(start), dtype=bool)
+    before = np.searchsorted(spans[0], end, side="left")
+    return (before > 0) & (np.maximum.accumulate(spans[1])[before - 1] > start)
+
+
 def view(text: str, start: int, end: int, how: Settings) -> np.ndarray:
     """A candidate and its surroundings in fixed places; 0 where there is nothing."""
     row = np.zeros(how.before + how.inside + how.after, dtype=np.int64)
@@ -148,21 +190,56 @@ def view(text: str, start: int, end: int, how: Settings) -> np.ndarray:
     return row
 
 
-def views(texts: list[str], asked: list[tuple[int, int, int]], how: Settings) -> np.ndarray:
-    """`view` of many places (text, start, end) at once."""
-    pad = np.zeros(max(how.before, how.after), dtype=np.uint8)
-    parts, starts, at = [pad], [], len(pad)
-    for text in texts:
-        starts.append(at)
-        parts += [codes(text).astype(np.uint8), pad]
-        at += len(parts[-2]) + len(pad)
-    line = np.concatenate(parts)
-    place = np.asarray(asked, dtype=np.int64).reshape(-1, 3)
-    shift = np.asarray(starts, dtype=np.int64)[place[:, 0]]
-    start, end = (place[:, 1] + shift)[:, None], (place[:, 2] + shift)[:, None]
+def views(line: Line, start: np.ndarray, end: np.ndarray, how: Settings) -> np.ndarray:
+    """`view` of many places of a row at once."""
+    start, end = start[:, None], end[:, None]
     body = start + np.arange(how.inside)
-    inside = np.where(body < end, line[np.minimum(body, len(line) - 1)], 0)
-    return np.concatenate([line[start - how.before + np.arange(how.before)], inside, line[end + np.arange(how.after)]], axis=1)
+    inside = np.where(body < end, line.codes[np.minimum(body, len(line.codes) - 1)], 0)
+    around = line.codes[start - how.before + np.arange(how.before)], line.codes[end + np.arange(how.after)]
+    return np.concatenate([around[0], inside, around[1]], axis=1)
+
+
+class Answers:
+    """What the filters answer at every place of rows of character numbers, by tables of
+    their answers to each pair of characters and to the last one."""
+
+    def __init__(self, weights: dict[str, np.ndarray], how: Settings):
+        self.width, self.filters = how.width, how.filters
+        filters = weights["filters"].reshape(how.width, how.embedding, how.filters)
+        single = [(weights["letters"] @ f).astype(np.float32) for f in filters]
+        self.pairs = [(j, (single[j][:, None] + single[j + 1][None]).reshape(-1, how.filters)) for j in range(0, how.width - 1, 2)]
+        self.last = single[-1] if how.width % 2 else None
+
+    def __call__(self, rows: np.ndarray) -> np.ndarray:
+        rows = rows.astype(np.int32)
+        places = rows.shape[-1] - self.width + 1
+        pairs = rows[..., :-1] * ALPHABET + rows[..., 1:]
+        raw = np.zeros((*rows.shape[:-1], places, self.filters), np.float32)
+        for j, table in self.pairs:
+            raw += table.take(pairs[..., j : j + places], axis=0)
+        if self.last is not None:
+            raw += self.last.take(rows[..., self.width - 1 : self.width - 1 + places], axis=0)
+        return raw
+
+
+class Tops:
+    """The strongest answers over stretches of places, from those over powers of two."""
+
+    def __init__(self, raw: np.ndarray, longest: int):
+        self.levels = [raw]
+        while 1 << len(self.levels) <= longest:
+            half, below = 1 << (len(self.levels) - 1), self.levels[-1]
+            self.levels.append(np.maximum(below[:-half], below[half:]) if len(below) > half else below[:0])
+
+    def over(self, first: np.ndarray, counts: np.ndarray | int) -> np.ndarray:
+        counts = np.broadcast_to(np.asarray(counts), first.shape)
+        level = np.frexp(counts.astype(np.float64))[1] - 1
+        out = np.empty((len(first), self.levels[0].shape[1]), np.float32)
+        for k in np.unique(level).tolist():
+            own = np.flatnonzero(level == k)
+            a = first[own]
+            out[own] = np.maximum(self.levels[k].take(a, axis=0), self.levels[k].take(a + counts[own] - (1 << k), axis=0))
+        return out
 
 
 @dataclass
@@ -194,28 +271,71 @@ class Network:
         return pooled @ w["out"] + w["out_shift"][0], (spread, tops, pooled)
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        """As `forward`, by the filters' answers to each pair of characters and to the last one."""
-        w, how = self.weights, self.how
-        filters = w["filters"].reshape(how.width, how.embedding, how.filters)
-        answers = [(w["letters"] @ f).astype(np.float32) for f in filters]
-        tables = [(j, (answers[j][:, None] + answers[j + 1][None]).reshape(-1, how.filters)) for j in range(0, how.width - 1, 2)]
-        if how.width % 2:
-            tables.append((how.width - 1, answers[-1]))
-        places = rows.shape[1] - how.width + 1
-        shift, last = w["filter_shift"].astype(np.float32), w["out"].astype(np.float32)
+        """As `forward`, by tables."""
+        answers = Answers(self.weights, self.how)
         out = np.empty(len(rows))
         for a in range(0, len(rows), 128):
-            some = rows[a : a + 128].astype(np.int32)
-            pairs = some[:, :-1] * ALPHABET + some[:, 1:]
-            raw = np.zeros((len(some), places, how.filters), np.float32)
-            for j, table in tables:
-                raw += table.take((pairs if len(table) > ALPHABET else some)[:, j : j + places], axis=0)
-            tops = np.concatenate([raw[:, zone].max(axis=1) + shift for zone in self._zones()], axis=1)
-            out[a : a + 128] = (np.maximum(tops, 0) * last).sum(axis=1) + w["out_shift"][0]
+            raw = answers(rows[a : a + 128])
+            out[a : a + 128] = self._score([raw[:, zone].max(axis=1) for zone in self._zones()])
+        return out
+
+    def _score(self, tops: list[np.ndarray]) -> np.ndarray:
+        shift = np.tile(self.weights["filter_shift"].astype(np.float32), len(tops))
+        active = np.maximum(np.concatenate(tops, axis=1) + shift, 0)
+        return (active * self.weights["out"].astype(np.float32)).sum(axis=1) + self.weights["out_shift"][0]
+
+    def scores_at(self, line: Line, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The scores of the views of many places, none longer than `inside`.
+
+        Views of neighbours overlap, so the filters answer once a character of the text. The
+        answers over the end of a place shorter than `inside`, where the view has a gap, are
+        added place by place; a gap narrower than a filter takes the whole view.
+        """
+        how = self.how
+        size = end - start
+        full = size == how.inside
+        narrow = ~full & ((size > how.inside - how.width) | (size < how.width - 1))
+        out = np.empty(len(start))
+        answers = Answers(self.weights, how)
+        if narrow.any():
+            out[narrow] = self.scores(views(line, start[narrow], end[narrow], how))
+        for some, wide in ((np.flatnonzero(full), True), (np.flatnonzero(~full & ~narrow), False)):
+            some = some[np.argsort(start[some], kind="stable")]
+            cuts = np.flatnonzero(np.diff(start[some] // STRETCH)) + 1
+            for own in np.split(some, cuts) if len(some) else []:
+                low = int(start[own[0]]) - how.before
+                raw = answers(line.codes[low : int(end[own].max()) + how.after])
+                tops = Tops(raw, max(how.before, how.inside))
+                out[own] = self._score(self._whole(tops, start[own] - low) if wide else self._parted(answers, tops, line, start[own], end[own], low))
         return out
 
+    def _whole(self, tops: Tops, start: np.ndarray) -> list[np.ndarray]:
+        """Strongest answers before, inside and after places as long as a view takes."""
+        how, over = self.how, self.how.width - 1
+        before = tops.over(start - how.before, how.before)
+        inside = np.maximum(tops.over(start - over, how.inside), tops.over(start, how.inside))
+        return [before, inside, tops.over(start + how.inside - how.width, how.after + 1)]
+
+    def _parted(self, answers: Answers, tops: Tops, line: Line, start: np.ndarray, end: np.ndarray, low: int) -> list[np.ndarray]:
+        """The same for shorter places, whose views have a gap of a filter or more behind them."""
+        how, over = self.how, self.how.width - 1
+        near = np.zeros((len(start), 3 * over), dtype=np.uint8)
+        near[:, :over] = line.codes[end[:, None] - over + np.arange(over)]
+        near[:, 2 * over :] = line.codes[end[:, None] + np.arange(over)]
+        edge = answers(near)  # the first `over` answers run into the gap, the others out of it
+        out_of = np.maximum(edge[:, over:].max(axis=1), answers(np.zeros(how.width, dtype=np.uint8)))
+        inside = tops.over(start - low - over, end - start)
+        inside = np.maximum(inside, np.maximum(edge[:, :over].max(axis=1), out_of))
+        after = np.maximum(out_of, tops.over(end - low, how.after - over))
+        return [tops.over(start - low - how.before, how.before), inside, after]
+
     def probability(self, rows: np.ndarray) -> np.ndarray:
-        scores = self.scores(rows)
+        return self._calibrated(self.scores(rows))
+
+    def probability_at(self, line: Line, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self._calibrated(self.scores_at(line, start, end))
+
+    def _calibrated(self, scores: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * scores + self.shift, -50, 50)))
 
     def gradient(self, rows: np.ndarray, truth: np.ndarray) -> dict[str, np.ndarray]:
@@ -290,10 +410,11 @@ def fit(rows: np.ndarray, truth: np.ndarray, how: Settings) -> Network:
 EXAMPLES = "draw long, label int, view binary"
 
 
-def draws(text: str, starts: list[int]) -> np.ndarray:
-    """A number for each place that depends on the text and the place alone."""
-    own = np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")))
-    return (mix(np.asarray(starts, dtype=np.uint64) ^ own) >> np.uint64(1)).astype(np.int64)
+def draws(texts: list[str], line: Line, places: np.ndarray) -> np.ndarray:
+    """A number for each place of a row that depends on its text and the place there alone."""
+    own = np.asarray([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in texts], dtype=np.uint64)
+    number = line.text_of(places)
+    return (mix((places - line.starts[number]).astype(np.uint64) ^ own[number]) >> np.uint64(1)).astype(np.int64)
 
 
 class Smallest:
@@ -317,18 +438,23 @@ def examples(docs: DataFrame, how: Settings) -> DataFrame:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [Smallest(how.examples), Smallest(how.examples)]
-        for _, texts in documents_in(batches):
-            for text in (t.decode("utf-8", "replace") for t in texts if t):
-                found = base_spans(text)
-                covered = Covered(found)
-                secret = [w for span in found for w in windows(*value(text, span), how)]
-                for truth, places in enumerate((candidates(text), secret)):
-                    numbers = draws(text, [a for a, _ in places])
-                    for i in np.flatnonzero(numbers < kept[truth].bound).tolist():
-                        a, b = places[i]
-                        if truth or not covered.touches(a, b):
-                            a, b = windows(a, b, how)[int(numbers[i]) % len(windows(a, b, how))]
-                            kept[truth].add(int(numbers[i]), view(text, a, b, how).astype(np.uint8).tobytes())
+        for _, data in documents_in(batches):
+            texts = [t.decode("utf-8", "replace") if t else "" for t in data]
+            line = Line(texts, how)
+            found = [(n, span) for n, text in enumerate(texts) for span in base_spans(text)]
+            start, end = line.candidates()
+            free = ~touches(start, end, line.places([(n, a, b) for n, (a, _, b) in found]))
+            secret = windows(*line.places([(n, *value(texts[n], span)) for n, span in found]), how)[:2]
+            for truth, (a, b) in enumerate(((start[free], end[free]), secret)):
+                numbers = draws(texts, line, a)
+                own = np.flatnonzero(numbers < kept[truth].bound)
+                least = np.unique(numbers[own])[: how.examples]
+                own = own[numbers[own] <= least[-1]] if len(least) else own
+                first, stop, counts = windows(a[own], b[own], how)
+                # one window of each, by its draw
+                which = np.cumsum(counts) - counts + numbers[own] % counts
+                for draw, row in zip(numbers[own].tolist(), views(line, first[which], stop[which], how)):
+                    kept[truth].add(draw, row.tobytes())
         rows = [(draw, truth, seen) for truth, some in enumerate(kept) for draw, seen in some.first()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
@@ -338,16 +464,12 @@ def examples(docs: DataFrame, how: Settings) -> DataFrame:
     return id_and_text(docs).where("text is not null").select("doc_id", "text").mapInArrow(label, EXAMPLES)
 
 
-def sureness(texts: list[str], asked: list[tuple[int, int, int]], net: Network) -> np.ndarray:
-    """The highest probability over the windows of each place (text, start, end)."""
-    every = [windows(a, b, net.how) for _, a, b in asked]
-    out = np.zeros(len(asked))
-    for first, stop in ((i, i + 4096) for i in range(0, len(asked), 4096)):
-        some = every[first:stop]
-        flat = [(number, a, b) for (number, _, _), own in zip(asked[first:stop], some) for a, b in own]
-        sure = net.probability(views(texts, flat, net.how))
-        out[first:stop] = np.maximum.reduceat(sure, np.cumsum([0, *map(len, some[:-1])]))
-    return out
+def sureness(line: Line, start: np.ndarray, end: np.ndarray, net: Network) -> np.ndarray:
+    """The highest probability over the windows of each place."""
+    if not len(start):
+        return np.zeros(0)
+    first, stop, counts = windows(start, end, net.how)
+    return np.maximum.reduceat(net.probability_at(line, first, stop), np.cumsum(counts) - counts)
 
 
 def finding_scores(docs: DataFrame, net: Network) -> DataFrame:
@@ -358,7 +480,8 @@ def finding_scores(docs: DataFrame, net: Network) -> DataFrame:
             texts = [t.decode("utf-8", "replace") if t else "" for t in data]
             asked = [(n, *value(text, span)) for n, text in enumerate(texts) for span in base_spans(text)]
             if asked:
-                yield pa.RecordBatch.from_arrays([pa.array(sureness(texts, asked, net))], names=["score"])
+                line = Line(texts, net.how)
+                yield pa.RecordBatch.from_arrays([pa.array(sureness(line, *line.places(asked), net))], names=["score"])
 
     return id_and_text(docs).where("text is not null").mapInArrow(score, "score double")
 
@@ -383,20 +506,24 @@ def train(docs: DataFrame, how: Settings = Settings()) -> Network | None:
     return net
 
 
+def unnamed(texts: list[str], found: list[list[tuple[int, int, int]]], net: Network) -> list[tuple[int, int, int]]:
+    """Candidates (text, start, end) that no pattern covers and the network is sure of, in order."""
+    line = Line(texts, net.how)
+    start, end = line.candidates()
+    free = ~touches(start, end, line.places([(n, a, b) for n, spans in enumerate(found) for a, _, b in spans]))
+    start, end = start[free], end[free]
+    sure = sureness(line, start, end, net) >= net.threshold
+    number = line.text_of(start[sure])
+    shift = line.starts[number]
+    return list(zip(number.tolist(), (start[sure] - shift).tolist(), (end[sure] - shift).tolist()))
+
+
 def all_spans(texts: list[bytes | None], net: Network | None) -> list[tuple[list[Span], list[Span]]]:
     """Per text, the patterns' spans and all spans, as (start, kind, end) in order."""
     plain = [data.decode("utf-8", "replace") if data else "" for data in texts]
     found = [base_spans(text) for text in plain]
-    asked = [
-        (number, a, b)
-        for number, (text, covered) in enumerate(zip(plain, map(Covered, found)))
-        for a, b in (candidates(text) if net else ())
-        if not covered.touches(a, b)
-    ]
     more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    sure = sureness(plain, asked, net) >= net.threshold if asked else np.zeros(0, dtype=bool)
-    for i in np.flatnonzero(sure).tolist():
-        number, a, b = asked[i]
+    for number, a, b in unnamed(plain, found, net) if net else ():
         own = more[number]
         if own and (a < own[-1][2] or a == own[-1][2] + 1 and plain[number][a - 1] in SEPARATORS):
             own[-1] = (own[-1][0], 3, max(own[-1][2], b))

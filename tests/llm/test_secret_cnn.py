@@ -133,13 +133,65 @@ def test_examples_are_bounded_and_the_same_every_time(table):
     assert all((one.weights[k] == other.weights[k]).all() for k in one.weights)
 
 
+def candidates(text):
+    """Runs of token characters, each followed by its parts."""
+    found = []
+    for m in re.finditer("[A-Za-z0-9+/_.=-]{6,}", text):
+        parts = [p.span() for p in re.compile("[A-Za-z0-9]{6,}").finditer(text, *m.span())]
+        found += [m.span(), *[p for p in parts if p != m.span()]]
+    return found
+
+
+def windows(start, end):
+    last = end - QUICK.inside
+    if last <= start:
+        return [(start, end)]
+    return [(a, a + QUICK.inside) for a in [*range(start, last, QUICK.inside // 2), last]]
+
+
+def lengths(draw, count):
+    """Texts whose candidates take every length around the width of a view, some at their ends."""
+    letters = "abcdefGHIJ0123456789"
+    return [
+        draw.choice([" ", "", "é\n"]).join(
+            draw.choice(["", "(", "漢", "-"]) + "".join(draw.choices(letters, k=draw.choice([6, 7, 20, *range(26, 35), 48, 49, 90])))
+            for _ in range(draw.randint(0, 40))
+        )
+        for _ in range(count)
+    ]
+
+
 def test_views_at_once_and_scores_by_tables_are_the_same(table):
     net = train(table(corpus()), QUICK)
-    texts = ["é" + prose(i, 9) + "/0123456789" * i for i in range(6)]
-    asked = [(n, *w) for n, t in enumerate(texts) for place in secret_cnn.candidates(t) for w in secret_cnn.windows(*place, QUICK)]
+    texts = ["é" + prose(i, 9) + "/0123456789" * i for i in range(6)] + ["", "abcdef", *lengths(random.Random(3), 60)]
+    asked = [(n, *w) for n, t in enumerate(texts) for place in candidates(t) for w in windows(*place)]
     rows = np.stack([view(texts[n], a, b, QUICK) for n, a, b in asked])
-    assert (secret_cnn.views(texts, asked, QUICK) == rows).all()
+    line = secret_cnn.Line(texts, QUICK)
+    places = line.places(asked)
+    assert (secret_cnn.views(line, *places, QUICK) == rows).all()
     assert net.scores(rows) == pytest.approx(net.forward(rows)[0], abs=1e-3)
+    assert (net.scores_at(line, *places) == net.scores(rows)).all()
+
+
+def test_candidates_and_windows_match_patterns():
+    texts = [*lengths(random.Random(8), 80), "", "a/b/c/d", "abcdef/abcdef-", "/" * 9 + "abcdef", "x" * 700]
+    line = secret_cnn.Line(texts, QUICK)
+    start, end = line.candidates()
+    asked = [(n, *place) for n, t in enumerate(texts) for place in candidates(t)]
+    places = line.places(asked)
+    assert start.tolist() == places[0].tolist() and end.tolist() == places[1].tolist()
+    first, stop, counts = secret_cnn.windows(start, end, QUICK)
+    every = [windows(a, b) for a, b in zip(start.tolist(), end.tolist())]
+    assert list(zip(first.tolist(), stop.tolist())) == [w for own in every for w in own]
+    assert counts.tolist() == [len(own) for own in every]
+
+
+def test_a_long_run_and_many_findings_in_one_text():
+    texts = ["x" * 300_000 + " " + "token=abcdef0123 andmore " * 20_000]
+    found = base_spans(texts[0])
+    assert len(found) == 20_000
+    every = secret_cnn.unnamed(texts, [found], SeesZ())
+    assert every == []
 
 
 class SeesZ:
@@ -147,7 +199,8 @@ class SeesZ:
 
     how, threshold = QUICK, 0.5
 
-    def probability(self, rows):
+    def probability_at(self, line, start, end):
+        rows = secret_cnn.views(line, start, end, QUICK)
         return (rows[:, QUICK.before : QUICK.before + QUICK.inside] == ord("Z") - 31).any(axis=1).astype(float)
 
 
@@ -156,7 +209,7 @@ def test_every_character_of_long_short_and_plain_candidates_is_read():
     texts = ["see abcZef and 0a1Z2c now", f"see {run} now", "x" * 31 + "Zy", "x" * 200 + "Z", "abcZe abcdef"]
     found = [[(a, b) for a, _, b in every] for _, every in all_spans([t.encode() for t in texts], SeesZ())]
     assert found == [[(4, 10), (15, 21)], [(4, 4 + len(run))], [(0, 33)], [(0, 201)], []]
-    assert run.index("ghZjkl") in [a for a, _ in secret_cnn.candidates(run)]
+    assert run.index("ghZjkl") in secret_cnn.Line([run], QUICK).candidates()[0] - QUICK.before
 
 
 def test_rare_findings_are_found_in_any_number_of_documents(table):
@@ -181,8 +234,7 @@ def test_covered_places_match_brute_force():
     draw = random.Random(4)
     for _ in range(300):
         spans = sorted((a, 0, a + draw.randint(1, 12)) for a in (draw.randrange(60) for _ in range(draw.randint(0, 6))))
-        covered = secret_cnn.Covered(spans)
-        for _ in range(30):
-            start = draw.randrange(70)
-            end = start + draw.randint(1, 8)
-            assert covered.touches(start, end) == any(a < end and start < b for a, _, b in spans)
+        start = np.asarray([draw.randrange(70) for _ in range(30)])
+        end = start + [draw.randint(1, 8) for _ in start]
+        found = secret_cnn.touches(start, end, (np.asarray([a for a, _, _ in spans]), np.asarray([b for _, _, b in spans])))
+        assert found.tolist() == [any(a < e and s < b for a, _, b in spans) for s, e in zip(start.tolist(), end.tolist())]
