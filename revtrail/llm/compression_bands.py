@@ -2,23 +2,31 @@
 
 A text that compresses far better than prose repeats itself; one that hardly compresses
 is noise. What is normal depends on length, since short inputs compress badly, so the band
-of accepted zstandard ratios follows the length, just outside the ratios of normal text. The whole text is measured, and every chunk of fixed size, so that a long
-text cannot hide a bad stretch; the last chunk ends with the text and may overlap its
-predecessor.
+of accepted zstandard ratios follows the length. The whole text is measured, and every chunk
+of fixed size, so that a long text cannot hide a bad stretch; the last chunk ends with the
+text and may overlap its predecessor.
 
-Null and empty texts have zero counts, fail the base rules and are not kept. Rows are
-judged one by one: repeated rows get equal answers, an empty table gives none, and other
-columns are ignored.
+`learned` takes the limits from the trusted documents of the corpus: per class of lengths
+(two an octave) the outer quantiles of their ratios, moved outwards by a part of their distance
+from the median. Loose fixed limits count as `weight` documents more in each class, so a class
+with few trusted documents lies nearer to them, and one without has them. Trusted are documents
+with every label of their id good and not toxic that pass the base rules.
+
+Null and empty texts have zero counts, fail the base rules and are not kept. Long texts have
+the limits of the longest class. Rows are judged one by one: repeated rows get equal answers,
+an empty table gives none, and other columns are ignored. Without a trusted document, as in
+empty tables, the limits are the loose ones; a null label of toxic is none, and labels without
+an id count for nothing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from revtrail.llm.frames import per_text
@@ -61,6 +69,28 @@ class Bands:
     level: int = 3
 
 
+LOOSE = Bands(whole=((160, 0.45, 0.95), (1024, 0.30, 0.80), (65536, 0.20, 0.75)), chunk=(0.30, 0.80))
+
+
+@dataclass(frozen=True)
+class Learning:
+    """How limits follow from the ratios of trusted documents.
+
+    `tail`: share of documents beyond the quantile on each side; `chunk_tail`: the same for
+    chunks, smaller, since one text has many. `slack`: how far outside the quantile a limit
+    lies, as a part of the quantile's distance from the median. `weight`: how many documents
+    the loose limits count for. `classes`: classes of lengths from `loose.whole` on, two an
+    octave; longer texts belong to the last one.
+    """
+
+    loose: Bands = LOOSE
+    tail: float = 0.01
+    chunk_tail: float = 0.002
+    slack: float = 0.5
+    weight: float = 2.0
+    classes: int = 20
+
+
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, ratio double, n_chunks long, n_chunks_out long"
@@ -110,7 +140,7 @@ class Judge:
         sizes, *self.limits = np.asarray(bands.whole, dtype=np.float64).T
         self.sizes = np.log(sizes)
 
-    def _ratio(self, data: bytes) -> float:
+    def ratio(self, data: bytes) -> float:
         return len(self.squeeze.compress(data)) / len(data)
 
     def __call__(self, text: bytes | None) -> tuple[bool, float | None, int, int]:
@@ -118,30 +148,40 @@ class Judge:
         bands = self.bands
         if not text:
             return True, None, 0, 0
-        ratio = self._ratio(text)
+        ratio = self.ratio(text)
         fine = True
         if len(text) >= bands.whole[0][0]:
             low, high = (np.interp(np.log(len(text)), self.sizes, limit) for limit in self.limits)
             fine = bool(low <= ratio <= high)
-        size, (low, high) = bands.chunk_bytes, bands.chunk
-        if len(text) < size:
-            return fine, ratio, 0, 0
-        stops = [*range(size, len(text), size), len(text)]
+        low, high = bands.chunk
+        ratios = self.chunks(text)
         out = run = longest = 0
-        for stop in stops:
-            bad = not low <= self._ratio(text[stop - size : stop]) <= high
+        for one in ratios:
+            bad = not low <= one <= high
             out += bad
             run = run + 1 if bad else 0
             longest = max(longest, run)
-        fine = fine and out <= bands.chunk_share * len(stops) and longest < bands.chunk_run
-        return fine, ratio, len(stops), out
+        if ratios:
+            fine = fine and out <= bands.chunk_share * len(ratios) and longest < bands.chunk_run
+        return fine, ratio, len(ratios), out
+
+    def chunks(self, text: bytes) -> list[float]:
+        """The ratio of every chunk; none in texts shorter than one."""
+        size = self.bands.chunk_bytes
+        stops = [*range(size, len(text), size), len(text)] if len(text) >= size else []
+        return [self.ratio(text[stop - size : stop]) for stop in stops]
+
+
+def base_rules(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, the words in repeated windows and whether the base rules reject it."""
+    repeats = repeated_words(words)
+    return repeats, (words.counts < 20) | (100 * repeats > 30 * words.counts)
 
 
 def measured(texts: list[bytes | None], bands: Bands) -> list[pa.Array]:
     in_band = Judge(bands)
     words = Words(texts)
-    repeats = repeated_words(words)
-    failed = (words.counts < 20) | (100 * repeats > 30 * words.counts)
+    repeats, failed = base_rules(words)
     verdicts = [in_band(t) for t in texts]
     fine = np.asarray([v[0] for v in verdicts], dtype=bool)
     return [
@@ -158,6 +198,64 @@ def measured(texts: list[bytes | None], bands: Bands) -> list[pa.Array]:
     ]
 
 
+def ratios(text: Column, bands: Bands) -> Column:
+    """Struct of size in bytes, ratio of the whole and of the chunks; no ratio where the base
+    rules reject the text."""
+
+    def measure(texts: list[bytes | None]) -> list[pa.Array]:
+        ask = Judge(bands)
+        fine = [not bad for bad in base_rules(Words(texts))[1]]
+        return [
+            pa.array([len(t or b"") for t in texts], pa.int64()),
+            pa.array([ask.ratio(t) if ok else None for t, ok in zip(texts, fine)], pa.float64()),
+            pa.array([ask.chunks(t) if ok else [] for t, ok in zip(texts, fine)], pa.list_(pa.float64())),
+        ]
+
+    return per_text(measure, "size long, ratio double, chunks array<double>")(text.cast("string"))
+
+
+def trusted(labels: DataFrame) -> DataFrame:
+    """The ids whose labels are all good and none toxic."""
+    toxic = F.max(F.coalesce(F.col("toxic"), F.lit(0)))
+    judged = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), toxic.alias("toxic"))
+    return judged.where("doc_id is not null and quality = 1 and toxic = 0").select("doc_id")
+
+
+def limits(row: Row, loose: tuple[float, float], how: Learning) -> tuple[float, float]:
+    """Limits outside the quantiles of a class, with the loose ones as `weight` documents more."""
+    if not row["n"]:
+        return loose
+    low, middle, high = row["at"]
+    own = low - how.slack * (middle - low), high + how.slack * (high - middle)
+    return tuple((row["n"] * a + how.weight * b) / (row["n"] + how.weight) for a, b in zip(own, loose))
+
+
+def learned(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Bands:
+    """Bands from all trusted documents; only sizes and ratios leave the scan, and one row a
+    class of lengths reaches the driver."""
+    loose = how.loose
+    least = loose.whole[0][0]
+    seen = docs.select("doc_id", ratios(F.col("text"), loose).alias("_r")).select("doc_id", "_r.*")
+    seen = seen.where(F.col("ratio").isNotNull()).join(trusted(labels), "doc_id", "left_semi")
+    place = F.least(F.floor(2 * F.log2(F.col("size") / least)), F.lit(how.classes - 1)).cast("int")
+
+    def spread(value: str, tail: float) -> list[Column]:
+        return [F.count(value).alias("n"), F.percentile_approx(value, [tail, 0.5, 1 - tail], 10_000).alias("at")]
+
+    whole = seen.where(F.col("size") >= least).groupBy(place.alias("place")).agg(*spread("ratio", how.tail))
+    chunks = seen.select(F.explode("chunks").alias("ratio")).agg(*spread("ratio", how.chunk_tail))
+    rows = whole.union(chunks.select(F.lit(-1).alias("place"), "n", "at")).collect()
+    found = {row["place"]: row for row in rows}
+    sizes, *edges = np.asarray(loose.whole, dtype=np.float64).T
+    bands = []
+    for k in range(how.classes):
+        # the middle of the class; the first limits hold from the shortest judged text on
+        size = least * 2 ** ((k + 0.5) / 2) if k else least
+        fixed = tuple(float(np.interp(np.log(size), np.log(sizes), edge)) for edge in edges)
+        bands.append((size, *(limits(found[k], fixed, how) if k in found else fixed)))
+    return replace(loose, whole=tuple(bands), chunk=limits(found[-1], loose.chunk, how))
+
+
 def quality(text: Column, bands: Bands = Bands()) -> Column:
     """Struct of counts, base rules and verdict for a text column."""
     return per_text(lambda texts: measured(texts, bands), MEASURES)(text.cast("string"))

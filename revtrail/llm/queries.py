@@ -34,7 +34,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
-    return compression_bands.quality_bands(_table(spark, folder, "documents"))
+    docs = _table(spark, folder, "documents")
+    return compression_bands.quality_bands(docs, compression_bands.learned(docs, _table(spark, folder, "labels")))
 
 
 def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,11 +2,14 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 import zstandard
+from pydoc_data.topics import topics
 from textdata import SF_DIR, empty, odd, odd_rows, table  # noqa: F401
 
 from revtrail.llm import compression_bands, queries
-from revtrail.llm.compression_bands import Bands
+from revtrail.llm.compression_bands import LOOSE, Bands, Learning, learned
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -111,3 +114,64 @@ def test_the_last_chunk_and_a_run_of_any_share_count(spark):
     # a bad end behind one full chunk, too short for a chunk of its own
     _, _, chunks, out = judge(text[:size] + (b"This " * size)[: size - 100])
     assert (chunks, out) == (2, 1)
+
+
+def judged(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, text string")
+
+
+def test_limits_come_from_the_trusted_texts_of_the_corpus(spark, table):
+    """Real English, which compresses better than the test tables: half of it teaches."""
+    texts = [t for _, t in sorted(topics.items()) if len(t) > 1500 and not brute(t)[5]]
+    taught, others = texts[::2], texts[1::2]
+    labels = judged(spark, [(i, 1, 0, None) for i in range(len(taught))])
+    bands = learned(table(list(enumerate(taught))), labels)
+    judge, fixed = compression_bands.Judge(bands), compression_bands.Judge(Bands())
+    kept = [judge(t.encode())[0] for t in others]
+    assert len(others) > 20 and np.mean(kept) >= 0.9
+    assert np.mean([fixed(t.encode())[0] for t in others]) < np.mean(kept)
+    draw = random.Random(2)
+    for text in others:
+        line = draw.choice([l for l in text.split("\n") if len(l) > 30])
+        assert not judge((line * (len(text) // len(line) + 1)).encode())[0]
+        noise = "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=len(text)))
+        assert not judge(noise.encode())[0]
+
+
+def test_limits_match_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    good = {r["doc_id"] for r in labels.where("quality = 1 and toxic = 0").collect()}
+    rows = [r["text"] for r in docs.collect() if r["doc_id"] in good and r["text"] and not brute(r["text"])[5]]
+    how, bands = Learning(), learned(docs, labels)
+    ask = compression_bands.Judge(LOOSE)
+    sized = [(len(t.encode()), ask.ratio(t.encode())) for t in rows]
+    assert len(sized) > 20 and len(bands.whole) == how.classes
+
+    def expected(values, tail, loose):
+        if not len(values):
+            return loose
+        # the smallest value that the share of values reaches
+        low, middle, high = (np.sort(values)[max(0, int(np.ceil(q * len(values))) - 1)] for q in (tail, 0.5, 1 - tail))
+        own = low - 0.5 * (middle - low), high + 0.5 * (high - middle)
+        return tuple((len(values) * a + 2 * b) / (len(values) + 2) for a, b in zip(own, loose))
+
+    edges = np.asarray(LOOSE.whole).T
+    for k, (size, *limits) in enumerate(bands.whole):
+        assert size == (160 * 2 ** ((k + 0.5) / 2) if k else 160)
+        loose = tuple(np.interp(np.log(size), np.log(edges[0]), e) for e in edges[1:])
+        own = [r for n, r in sized if 160 * 2 ** (k / 2) <= n < 160 * 2 ** ((k + 1) / 2)]
+        assert limits == pytest.approx(expected(own, 0.01, loose), abs=1e-9)
+    chunks = [c for t in rows for c in ask.chunks(t.encode())]
+    assert bands.chunk == pytest.approx(expected(chunks, 0.002, LOOSE.chunk), abs=1e-9)
+
+
+def test_limits_without_trusted_documents_are_loose(spark, table, odd, empty):
+    prose = " ".join(f"{w}{i}" for i, w in enumerate(["alpha", "beta", "gamma", "delta"] * 60))
+    docs = table([(1, prose), (2, prose), (None, prose), (3, None), (4, "")])
+    loose = learned(docs, judged(spark, []))
+    assert learned(docs, judged(spark, [(1, 0, 0, "x"), (2, 1, 1, "x"), (3, 1, 0, "x"), (4, 1, 0, "x"), (None, 1, 0, "x")])) == loose
+    assert learned(docs, judged(spark, [(1, 1, 0, "x"), (1, 0, 0, "x"), (2, 1, 0, "x"), (2, 1, 1, "x")])) == loose
+    assert learned(docs, judged(spark, [(2, 1, None, "x"), (2, 1, 0, "x")])) != loose
+    assert learned(empty, judged(spark, [(1, 1, 0, None)])) == loose
+    assert loose.chunk == LOOSE.chunk and loose.whole[0] == LOOSE.whole[0]
+    assert len(learned(odd, judged(spark, [(1, 1, 0, None)])).whole) == Learning().classes

@@ -30,8 +30,9 @@ def ids(rows):
     return sorted(r["doc_id"] for r in rows)
 
 
-def test_quality_keeps_what_passes(folder):
-    judge = compression_bands.Judge(compression_bands.Bands())
+def test_quality_keeps_what_passes(spark, folder):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    judge = compression_bands.Judge(compression_bands.learned(docs, labels))
     expected = [r["doc_id"] for r in folder["input"] if not base_counts(r["text"])[5] and judge(r["text"].encode())[0]]
     assert ids(folder["quality"]) == sorted(expected)
 
