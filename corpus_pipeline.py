@@ -13,8 +13,9 @@ from revtrail.llm import bottomk_dedup, compression_bands, edit_decontam, querie
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the compression bands."""
-    return docs.where(compression_bands.quality(F.col("text"))["kept"])
+    """Documents that pass the base rules and the compression bands of the trusted documents."""
+    bands = compression_bands.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(compression_bands.quality(F.col("text"), bands)["kept"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
