@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from revtrail.llm.frames import per_text
+from revtrail.llm.frames import per_text, settled
 from revtrail.llm.words import Words, owner, windows
 
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
@@ -231,11 +231,11 @@ def limits(row: Row, loose: tuple[float, float], how: Learning) -> tuple[float,
 
 
 def learned(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Bands:
-    """Bands from all trusted documents; only sizes and ratios leave the scan, and one row a
-    class of lengths reaches the driver."""
+    """Bands from all trusted documents; only sizes and ratios leave the scan, written once to
+    `spark.checkpoint.dir`, and one row a class of lengths reaches the driver."""
     loose = how.loose
     least = loose.whole[0][0]
-    seen = docs.select("doc_id", ratios(F.col("text"), loose).alias("_r")).select("doc_id", "_r.*")
+    seen = settled(docs.select("doc_id", ratios(F.col("text"), loose).alias("_r"))).select("doc_id", "_r.*")
     seen = seen.where(F.col("ratio").isNotNull()).join(trusted(labels), "doc_id", "left_semi")
     place = F.least(F.floor(2 * F.log2(F.col("size") / least)), F.lit(how.classes - 1)).cast("int")
 
