@@ -133,18 +133,20 @@ def plan_of(terms: DataFrame, rounds: int = ROUNDS) -> Plan:
     """Mine the shared sets of one block of items. Its size bounds what is collected here."""
     in_class = settled(classes(terms))
     nodes = terms.join(in_class.where("term = node"), "term").select("item_id", "node", "n")
-    merges = []
+    merges, made = [], set()
     for _ in range(rounds):
         nodes, new = joined(nodes)
-        added = [(r["node"], r["left"], r["right"]) for r in new.collect()]
-        if not added:
+        found = {(r["node"], r["left"], r["right"]) for r in new.collect()}
+        if not found:
             break
-        merges.append(sorted(added))
+        # a pair that one item joins in this round may have been joined in another item before
+        merges.append(sorted(found - made))
+        made |= found
     numbers: dict[str, int] = {}
     term_rows = sorted((r["term"], r["node"]) for r in in_class.select("term", "node").collect())
     node_of = np.asarray([numbers.setdefault(node, len(numbers)) for _, node in term_rows], np.int64)
     steps = []
-    for added in merges:
+    for added in filter(None, merges):
         steps.append(tuple(np.asarray([numbers[row[side]] for row in added], np.int64) for side in (1, 2)))
         for name, _, _ in added:
             numbers[name] = len(numbers)

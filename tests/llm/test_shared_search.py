@@ -80,6 +80,25 @@ def test_every_term_is_in_one_node_and_sets_are_shared(spark, words):
     assert plan.rounds and len(plan.members) + sum(len(a) for a, _ in plan.rounds) < pairs / 2
 
 
+def test_a_pair_joined_in_two_rounds_is_one_node(spark, table):
+    draw = random.Random(2)
+    words = [f"w{i}" for i in range(14)]
+    items = [(i, " ".join(draw.sample(words, draw.randint(2, 9)))) for i in range(40)]
+    docs = [(i, " ".join(draw.choices(words, k=draw.randint(1, 12)))) for i in range(60)]
+    benchmark = spark.createDataFrame([(*r, "x") for r in items], ITEMS)
+    # in some items the pair loses to one that is itself not joined, so it comes again a round later
+    rounds = []
+    terms = shared_search.item_terms(benchmark)
+    known = shared_search.classes(terms)
+    nodes = terms.join(known.where("term = node"), "term").select("item_id", "node", "n")
+    for _ in range(shared_search.ROUNDS):
+        nodes, new = shared_search.joined(nodes)
+        rounds.append({r["node"] for r in new.collect()})
+    assert any(a & b for i, a in enumerate(rounds) for b in rounds[:i])
+    found = shared_search.ranked(table(docs), benchmark, most=7)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(docs, items, 7)
+
+
 def test_long_texts_are_counted_in_parts(monkeypatch):
     monkeypatch.setattr(shared_search, "SLICE_BYTES", 50)
     text = "Aa bb-cc " * 100 + "x" * 500 + " aa 漢字é"
