@@ -1,7 +1,7 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts symbols: lower-cased bytes folded into 64 classes (letters, digits,
-marks, parts of other characters). Its n-grams of up to `order` symbols are counted over
+The model predicts symbols: every byte is one, but ASCII letters of either case are the
+same. Its n-grams of up to `order` symbols are counted over
 every trusted document, labelled good and not toxic. Counting and the levels of the model
 are joins and aggregates over n-gram keys: the highest level uses counts, lower levels the
 number of different symbols seen before; each level has three discounts from its counts of
@@ -34,9 +34,10 @@ from revtrail.llm.frames import Chunk, in_chunks, numbered, packed, partitions,
 from revtrail.llm.keys import batch_of
 from revtrail.llm.words import mix
 
-BITS = 6
-SYMBOLS = 1 << BITS
+BITS = 8
 ORDER = 4
+# Bits of the longest n-gram; its size stands above them.
+_TOP = np.uint64(BITS * ORDER)
 CHUNK_BYTES = 8 << 20
 _STEP = 1 << 20
 
@@ -49,26 +50,18 @@ class Rule:
 
 
 def classes() -> np.ndarray:
-    """The class of each byte."""
-    marks = b".,;:!?'\"-()/"
-    out = np.full(256, 29 + len(marks), dtype=np.uint32)  # other ASCII
-    for i, b in enumerate(range(ord("a"), ord("z") + 1)):
-        out[b] = out[b - 32] = i
-    out[[9, 10, 11, 12, 13]] = 26
-    out[32] = 27
-    out[ord("0") : ord("9") + 1] = 28
-    for i, b in enumerate(marks):
-        out[b] = 29 + i
-    first = 30 + len(marks)
-    out[0x80:0xC0] = first + np.arange(64) % 16
-    out[0xC0:0xE0] = first + 16
-    out[0xC3] = first + 17
-    out[0xE0:0xF0] = first + 18
-    out[0xF0:] = first + 19
+    """The symbol of each byte: letters, the line end, then all other bytes in order."""
+    letters = np.arange(ord("a"), ord("z") + 1)
+    out = np.zeros(256, dtype=np.uint32)
+    out[letters] = out[letters - 32] = np.arange(len(letters))
+    out[ord("\n")] = len(letters)
+    rest = np.setdiff1d(np.arange(256), [*letters, *(letters - 32), ord("\n")])
+    out[rest] = len(letters) + 1 + np.arange(len(rest))
     return out
 
 
 CLASS = classes()
+SYMBOLS = int(CLASS.max()) + 1
 LEAD = b"\n" * (ORDER - 1)
 
 
@@ -97,16 +90,18 @@ def steps(texts: list[bytes]) -> Iterator[tuple[int, int]]:
             start, held = stop, 0
 
 
-def tally(texts: list[bytes]) -> np.ndarray:
-    """How often each n-gram of the highest order occurs."""
-    counts = np.zeros(1 << BITS * ORDER, dtype=np.int32)
-    for a, b in steps(texts):
-        held, often = np.unique(ngrams(texts[a:b])[0], return_counts=True)
-        counts[held] += often.astype(np.int32)
-    return counts
+def tally(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the highest order, sorted, and how often each occurs."""
+    parts = [np.unique(ngrams(texts[a:b])[0], return_counts=True) for a, b in steps(texts)]
+    if not parts:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    grams, place = np.unique(np.concatenate([held for held, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(grams), dtype=np.int64)
+    np.add.at(counts, place, np.concatenate([often for _, often in parts]))
+    return grams, counts
 
 
-COUNTS = "gram int, n long"
+COUNTS = "gram long, n long"
 
 
 def trusted_counts(chunks: DataFrame, spots: DataFrame) -> DataFrame:
@@ -116,11 +111,8 @@ def trusted_counts(chunks: DataFrame, spots: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             texts = Chunk.unpacked(row).texts()
-            counts = tally([texts[i] for i in sorted(row["numbers"])])
-            held = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(held.astype(np.int32)), pa.array(counts[held].astype(np.int64))], names=["gram", "n"]
-            )
+            held, counts = tally([texts[i] for i in sorted(row["numbers"])])
+            yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
 
     return chunks.join(listed, "chunk").mapInArrow(count, COUNTS).groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -178,12 +170,12 @@ def model(counts: DataFrame) -> DataFrame:
 
 def tagged(size: int, grams: np.ndarray) -> np.ndarray:
     """One key for n-grams of all sizes: the size above the symbols."""
-    return (np.uint32(size) << np.uint32(BITS * ORDER)) | grams.astype(np.uint32)
+    return (np.uint64(size) << _TOP) | grams.astype(np.uint64)
 
 
 def questions(texts: list[bytes]) -> np.ndarray:
     """Sorted keys of the n-grams of all sizes, and of their contexts, that a chunk needs."""
-    full = np.flatnonzero(tally(texts)).astype(np.uint32)
+    full = tally(texts)[0]
     keys = [tagged(0, np.zeros(1, np.uint32)), tagged(ORDER, full)]
     for size in range(1, ORDER):
         mask = np.uint32((1 << BITS * size) - 1)
@@ -193,7 +185,7 @@ def questions(texts: list[bytes]) -> np.ndarray:
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(keys.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    return (mix(keys) % np.uint64(shards)).astype(np.int64)
 
 
 ASKED = "shard int, chunk long, keys binary"
@@ -202,20 +194,20 @@ TOLD = "chunk long, shard int, p binary, weight binary"
 
 def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
     """Answers of one shard, in the order of each question; nothing known is not a number."""
-    size = known["size"].to_numpy().astype(np.uint32)
-    keys = (size << np.uint32(BITS * ORDER)) | known["gram"].to_numpy().astype(np.uint32)
+    size = known["size"].to_numpy().astype(np.uint64)
+    keys = (size << _TOP) | known["gram"].to_numpy().astype(np.uint64)
     order = np.argsort(keys)
-    keys = np.append(keys[order], np.uint32(np.iinfo(np.uint32).max))
+    keys = np.append(keys[order], np.iinfo(np.uint64).max)
     values = {}
     for name in ("p", "weight"):
         column = known[name].to_numpy(zero_copy_only=False).astype(np.float64)[order]
         values[name] = np.append(np.log(column), np.nan).astype("<f4")
     out = []
     for row in asked.to_pylist():
-        wanted = np.frombuffer(row["keys"], "<u4")
+        wanted = np.frombuffer(row["keys"], "<u8")
         at = np.searchsorted(keys, wanted)
         at[keys[at] != wanted] = len(keys) - 1
-        below = wanted >> np.uint32(BITS * ORDER) < ORDER
+        below = wanted >> _TOP < ORDER
         out.append(
             {
                 "chunk": row["chunk"],
@@ -227,17 +219,17 @@ def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
     return pa.Table.from_batches([batch_of(out, TOLD)])
 
 
-def log_table(keys: np.ndarray, told: list[dict], shards: int) -> np.ndarray:
-    """Log probability of every n-gram of the highest order that the chunk holds."""
+def log_table(keys: np.ndarray, told: list[dict], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the highest order that the chunk holds, sorted, and their log probabilities."""
     where = shard_of(keys, shards)
     p = np.full(len(keys), np.nan, dtype=np.float64)
     weight = np.full(len(keys), np.nan, dtype=np.float64)
-    below = keys >> np.uint32(BITS * ORDER) < ORDER
+    below = keys >> _TOP < ORDER
     for answer in told:
         own = np.flatnonzero(where == answer["shard"])
         p[own] = np.frombuffer(answer["p"], "<f4")
         weight[own[below[own]]] = np.frombuffer(answer["weight"], "<f4")
-    full = keys[keys >> np.uint32(BITS * ORDER) == ORDER] & np.uint32((1 << BITS * ORDER) - 1)
+    full = keys[keys >> _TOP == ORDER].astype(np.uint32)
     total = np.zeros(len(full))
     open_ = np.ones(len(full), dtype=bool)
     for size in range(ORDER, 0, -1):
@@ -250,16 +242,14 @@ def log_table(keys: np.ndarray, told: list[dict], shards: int) -> np.ndarray:
         back = open_ & ~np.isnan(context)
         total[back] += context[back]
     total[open_] += np.log(1 / SYMBOLS)
-    table = np.zeros(1 << BITS * ORDER, dtype=np.float32)
-    table[full] = total
-    return table
+    return full, total
 
 
-def perplexities(texts: list[bytes], table: np.ndarray) -> list[float | None]:
+def perplexities(texts: list[bytes], grams: np.ndarray, logs: np.ndarray) -> list[float | None]:
     out: list[float | None] = []
     for a, b in steps(texts):
         keys, sizes = ngrams(texts[a:b])
-        sums = np.concatenate([[0.0], np.cumsum(table[keys], dtype=np.float64)])
+        sums = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(grams, keys)])])
         ends = np.cumsum(sizes)
         for start, end in zip((ends - sizes).tolist(), ends.tolist()):
             out.append(float(np.exp((sums[start] - sums[end]) / (end - start))) if end > start else None)
@@ -276,7 +266,7 @@ def scored(docs: DataFrame, chunks: DataFrame, known: DataFrame) -> DataFrame:
         keys = questions(chunk.texts())
         where = shard_of(keys, shards)
         rows = [
-            {"shard": s, "chunk": chunk.number, "keys": keys[where == s].astype("<u4").tobytes()}
+            {"shard": s, "chunk": chunk.number, "keys": keys[where == s].astype("<u8").tobytes()}
             for s in np.unique(where).tolist()
         ]
         return batch_of(rows, ASKED)
@@ -285,8 +275,7 @@ def scored(docs: DataFrame, chunks: DataFrame, known: DataFrame) -> DataFrame:
         for row in rows_of(batches):
             chunk = Chunk.unpacked(row)
             texts = chunk.texts()
-            table = log_table(questions(texts), row["told"], shards)
-            found = perplexities(texts, table)
+            found = perplexities(texts, *log_table(questions(texts), row["told"], shards))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk.number] * len(chunk), pa.int64()),
@@ -311,7 +300,7 @@ def shard_udf(shards: int):
     """The shard of a model row, as the chunks compute it."""
 
     def place(size: pa.Array, gram: pa.Array) -> pa.Array:
-        keys = (size.to_numpy().astype(np.uint32) << np.uint32(BITS * ORDER)) | gram.to_numpy().astype(np.uint32)
+        keys = (size.to_numpy().astype(np.uint64) << _TOP) | gram.to_numpy().astype(np.uint64)
         return pa.array(shard_of(keys, shards).astype(np.int32))
 
     place.__annotations__ = {"size": pa.Array, "gram": pa.Array, "return": pa.Array}

@@ -83,6 +83,25 @@ def test_classes_fold_case_and_fit():
     assert CLASS[ord("A")] == CLASS[ord("a")] and len({int(c) for c in CLASS}) > 50
 
 
+def test_every_byte_but_case_is_a_symbol_of_its_own(spark, table):
+    other = [b for b in range(256) if chr(b) not in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    assert sorted(int(CLASS[b]) for b in other) == list(range(SYMBOLS))
+    trusted = "né # né # né # né"
+    rows = [(1, trusted, "aa"), (2, "nù # né", "aa"), (3, "né $ né", "aa"), (4, "né # né", "aa"), (5, "n\u4e00é\t#\x00", "aa")]
+    brute = Brute([trusted])
+    found = {r["doc_id"]: r["perplexity"] for r in quality(table(rows), spark.createDataFrame([(1, 1, 0)], LABELS)).collect()}
+    assert found == {i: pytest.approx(brute.perplexity(text), rel=1e-4) for i, text, _ in rows}
+    assert found[2] > 1.2 * found[4] and found[3] > 1.2 * found[4]
+
+
+def test_counts_of_steps_add_up(monkeypatch):
+    texts = [b"abc\xff\xfeabc", b"", b"Abc abc", b"\n\xe4\xb8\x80 abc"]
+    whole = Counter(t for text in texts for t in kneser_ney.ngrams([text])[0].tolist())
+    monkeypatch.setattr(kneser_ney, "_STEP", 6)
+    grams, counts = kneser_ney.tally(texts)
+    assert dict(zip(grams.tolist(), counts.tolist())) == whole and (np.diff(grams.astype(np.int64)) > 0).all()
+
+
 def test_noise_goes_and_prose_stays(spark, table):
     rows = [(i, prose(i, 60, "etaoin"), "aa") for i in range(80)]
     noise = (900, "".join(chr(33 + (i * 37) % 90) for i in range(400)), "aa")
