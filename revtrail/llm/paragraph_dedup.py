@@ -41,7 +41,7 @@ from revtrail.llm.bottomk_dedup import exact_test
 from revtrail.llm.frames import Chunk, in_chunks, packed, rows_of, settled
 from revtrail.llm.keys import SENT, batch_of, bucket_count, key_list, member, sent, shared_keys
 from revtrail.llm.links import BLOCK, components, distinct_lists, in_blocks, link_lists
-from revtrail.llm.words import Words, mix, windows
+from revtrail.llm.words import mix, windows
 
 
 def bands_for(recall: float, similarity: float, rows: int) -> int:
@@ -69,7 +69,7 @@ class Settings:
 class Paragraphs:
     """Pieces or blocks of a chunk: document, first word, words, first byte and byte after the last."""
 
-    words: Words
+    text: Text
     document: np.ndarray
     start: np.ndarray
     size: np.ndarray
@@ -87,29 +87,36 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Text:
-    """Words of a chunk with their bytes (a line end follows each document), documents and lines."""
+    """Words of a chunk as hashes, with their bytes (a line end follows each document), documents and lines."""
 
-    words: Words
+    hashes: np.ndarray
     begin: np.ndarray
     end: np.ndarray
     document: np.ndarray
     line: np.ndarray
+    _made: tuple[int, np.ndarray] | None = None
 
     @classmethod
     def of(cls, chunk: Chunk) -> Text:
-        texts = chunk.texts()
-        data = b"".join(t + b"\n" for t in texts)  # a word never runs into the next document
+        data = b"".join(t + b"\n" for t in chunk.texts())  # a word never runs into the next document
         begin, end = word_bounds(data)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, data.lower().split()), np.uint64, len(begin))
         lines = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
         document = np.searchsorted(chunk.ends + np.arange(1, len(chunk) + 1), begin, side="right")
-        return cls(Words([t.lower() for t in texts]), begin, end, document, np.searchsorted(lines, begin))
+        return cls(hashes, begin, end, document, np.searchsorted(lines, begin))
+
+    def shingles(self, width: int) -> np.ndarray:
+        """A hash for every `width` words in a row, made once for blocks and pieces."""
+        if self._made is None or self._made[0] != width:
+            self._made = width, windows(self.hashes, width)
+        return self._made[1]
 
     def cut(self, last: np.ndarray) -> Paragraphs:
         """What ends at each marked word."""
         stop = np.flatnonzero(last)
         start = np.append(0, stop[:-1] + 1) if len(stop) else stop
         document = self.document[start]
-        return Paragraphs(self.words, document, start, stop - start + 1, self.begin[start] - document, self.end[stop] - document)
+        return Paragraphs(self, document, start, stop - start + 1, self.begin[start] - document, self.end[stop] - document)
 
 
 def blocks(text: Text) -> Paragraphs:
@@ -123,7 +130,7 @@ def pieces(text: Text, how: Settings) -> Paragraphs:
     total, most = len(text.begin), np.iinfo(np.uint64).max
     if not total:
         return text.cut(np.zeros(0, dtype=bool))
-    hashes, document = text.words.hashes(), text.document
+    hashes, document = text.hashes, text.document
     joint = np.full(total, most, dtype=np.uint64)
     joint[:-1] = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
     joint[:-1][document[1:] != document[:-1]] = most
@@ -144,24 +151,30 @@ def paragraphs(chunk: Chunk, how: Settings) -> Paragraphs:
     return pieces(Text.of(chunk), how)
 
 
-def shingles(found: Paragraphs, which: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of the chosen ones, one after another, and where each begins."""
-    hashes = found.words.hashes()
-    every = windows(hashes, width)
+def shingles_of(found: Paragraphs, which: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of the chosen ones as they stand, one after another, and how many each has."""
     start, size = found.start[which], found.size[which]
     counts = np.maximum(size - width + 1, 1)
     ends = np.cumsum(counts)
     flat = np.zeros(int(counts.sum()), dtype=np.uint64)
     own = np.repeat(np.arange(len(which)), counts)
-    places = np.arange(len(flat)) - (ends - counts)[own] + start[own]
+    places = np.arange(len(flat)) + (start - ends + counts)[own]
     whole = (size >= width)[own]
-    flat[whole] = every[places[whole]]
+    flat[whole] = found.text.shingles(width)[places[whole]]
     for n in range(1, width):
         short = np.flatnonzero(size == n)
         if len(short):
-            flat[ends[short] - 1] = windows(hashes, n)[start[short]]
-    order = np.lexsort((flat, own))
-    flat, own = flat[order], own[order]
+            words = found.text.hashes[start[short][:, None] + np.arange(n)]
+            flat[ends[short] - 1] = windows(words.reshape(-1), n)[::n]
+    return flat, counts
+
+
+def shingles(found: Paragraphs, which: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of the chosen ones, one after another, and where each begins."""
+    flat, counts = shingles_of(found, which, width)
+    own = np.repeat(np.arange(len(which)), counts)
+    several = np.flatnonzero((counts > 1)[own])
+    flat[several] = flat[several][np.lexsort((flat[several], own[several]))]
     fresh = np.ones(len(flat), dtype=bool)
     fresh[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
     flat, own = flat[fresh], own[fresh]
@@ -170,11 +183,9 @@ def shingles(found: Paragraphs, which: np.ndarray, width: int) -> tuple[np.ndarr
 
 @dataclass
 class Keyed:
-    """Those that are long enough, their shingles, and their keys with the place in `which` of each."""
+    """Those that are long enough, and their keys with the place in `which` of each, in order."""
 
     which: np.ndarray
-    flat: np.ndarray
-    bounds: np.ndarray
     keys: np.ndarray
     owner: np.ndarray
 
@@ -182,15 +193,16 @@ class Keyed:
 def band_keys(found: Paragraphs, how: Settings) -> Keyed:
     """A key per band for every block that is long enough."""
     which = np.flatnonzero(found.size >= how.run)
-    flat, bounds = shingles(found, which, how.width)
+    flat, counts = shingles_of(found, which, how.width)
+    bounds = np.cumsum(counts) - counts
     seeds = np.random.default_rng(how.seed).integers(1, 2**63, size=(how.bands, how.rows), dtype=np.uint64)
     keys = np.zeros((len(which), how.bands), dtype=np.uint64)
     for band in range(how.bands if len(which) else 0):
         key = np.full(len(which), np.uint64(band + 1))
         for seed in seeds[band]:
-            key = mix(key ^ np.minimum.reduceat(mix(flat ^ seed), bounds[:-1]))
+            key = mix(key ^ np.minimum.reduceat(mix(flat ^ seed), bounds))
         keys[:, band] = key
-    return Keyed(which, flat, bounds, keys.reshape(-1), np.repeat(np.arange(len(which)), how.bands))
+    return Keyed(which, keys.reshape(-1), np.repeat(np.arange(len(which)), how.bands))
 
 
 def prefix_keys(found: Paragraphs, how: Settings) -> Keyed:
@@ -205,7 +217,7 @@ def prefix_keys(found: Paragraphs, how: Settings) -> Keyed:
     # sets of one or two are similar to none but their equals, so both make one key
     two = np.flatnonzero(sizes[own] == 2)
     keys[two] = mix(keys[two] * np.uint64(3) + flat[bounds[own[two]] + 1])
-    return Keyed(which, flat, bounds, keys, own)
+    return Keyed(which, keys, own)
 
 
 SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>"
@@ -228,17 +240,19 @@ def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatc
     members, sets, numbers, documents, lists = [], [], [], [], []
     for first, found, keyed in units(chunk, how):
         known = member(keyed.keys, shared)
-        keys, own = keyed.keys[known].view(np.int64), keyed.owner[known]
+        keys, own = keyed.keys[known].view(np.int64).tolist(), keyed.owner[known]
         some, starts = np.unique(own, return_index=True)
         which = keyed.which[some]
-        held = [keyed.flat[a:b].astype("<u8").tobytes() for a, b in zip(keyed.bounds[some].tolist(), keyed.bounds[some + 1].tolist())]
+        flat, bounds = shingles(found, which, how.width)
+        data, places = flat.astype("<u8").tobytes(), (8 * bounds).tolist()
+        held = [data[a:b] for a, b in zip(places, places[1:])]
         members += [xxhash.xxh3_128_digest(h, seed=first) for h in held]
-        lone = np.diff(keyed.bounds)[some] < 3
-        sets += [None if one else h for one, h in zip(lone.tolist(), held)]
+        lone = [len(h) < 3 * 8 for h in held]
+        sets += [None if one else h for one, h in zip(lone, held)]
         numbers += (which + first).tolist()
         documents += [ids[d] for d in found.document[which].tolist()]
-        parts = np.split(keys, starts[1:]) if len(some) else []
-        lists += [None if one else k.tolist() for one, k in zip(lone.tolist(), parts)]
+        starts = [*starts.tolist(), len(keys)]
+        lists += [None if one else keys[a:b] for one, a, b in zip(lone, starts, starts[1:])]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(members, pa.binary()),
@@ -258,51 +272,52 @@ RESULT = (
 )
 
 
-def long_runs(found: Paragraphs, removed: dict[int, int], least: int) -> list[int]:
-    """The repeated pieces in rows of neighbours with `least` words or more together."""
-    kept, row, words = [], [], 0
-    for number in sorted(removed):
-        if row and (number != row[-1] + 1 or found.document[number] != found.document[row[-1]]):
-            kept += row if words >= least else []
-            row, words = [], 0
-        row.append(number)
-        words += int(found.size[number])
-    return kept + (row if words >= least else [])
+def long_runs(found: Paragraphs, numbers: np.ndarray, least: int) -> np.ndarray:
+    """The repeated pieces, given in order, in rows of neighbours with `least` words or more together."""
+    if not len(numbers):
+        return numbers
+    document = found.document[numbers]
+    row = np.cumsum(np.append(False, (np.diff(numbers) != 1) | (np.diff(document) != 0)))
+    words = np.zeros(row[-1] + 1, np.int64)
+    np.add.at(words, row, found.size[numbers])
+    return numbers[words[row] >= least]
 
 
-def report(chunk: Chunk, removed: dict[int, int], how: Settings) -> pa.RecordBatch:
+def report(chunk: Chunk, removed: dict[int, int | None], how: Settings) -> pa.RecordBatch:
     """Per document what goes: byte spans, and the cluster of each as the doc_id of its first paragraph."""
     text = Text.of(chunk)
     whole, found = blocks(text), pieces(text, how)
-    count = len(chunk)
-    cuts: list[tuple[int, int, int]] = []  # first word, word after the last, cluster
-    covered = np.zeros(len(text.begin), dtype=bool)
-    for number in sorted(n - BLOCKS for n in removed if n >= BLOCKS):
-        start, stop = int(whole.start[number]), int(whole.start[number] + whole.size[number])
-        covered[start:stop] = True
-        cuts.append((start, stop, removed[number + BLOCKS]))
-    for number in long_runs(found, {n: first for n, first in removed.items() if n < BLOCKS}, how.run):
-        start, stop = int(found.start[number]), int(found.start[number] + found.size[number])
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], covered[start:stop], [True]]).astype(np.int8)))
-        cuts += [(start + a, start + b, removed[number]) for a, b in edges.reshape(-1, 2).tolist()]
-    spans: list[list[str]] = [[] for _ in range(count)]
-    clusters: list[list[int]] = [[] for _ in range(count)]
-    words = [0] * count
-    for start, stop, first in sorted(cuts, key=lambda c: c[:2]):
-        document = int(text.document[start])
-        # a byte more stands behind each document before this one
-        shift = int(chunk.starts[document]) + document
-        spans[document].append(f"{text.begin[start] - shift}:{text.end[stop - 1] - shift}")
-        clusters[document].append(first)
-        words[document] += stop - start
+    count, total = len(chunk), len(text.begin)
+    numbers = np.sort(np.fromiter(removed, np.int64, len(removed)))
+    short = long_runs(found, numbers[numbers < BLOCKS], how.run)
+    long = numbers[numbers >= BLOCKS] - BLOCKS
+    # what each word goes with; of a piece only what lies outside removed blocks
+    owner = np.full(total, -1, np.int64)
+    for which, first, kind in ((short, 0, found), (long, BLOCKS, whole)):
+        sizes = kind.size[which]
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        owner[np.repeat(kind.start[which], sizes) + inside] = np.repeat(which + first, sizes)
+    edges = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    starts, stops = np.append(0, edges), np.append(edges, total)
+    gone = owner[starts] >= 0 if total else np.zeros(1, dtype=bool)
+    starts, stops = starts[gone], stops[gone]
+    document = text.document[starts]
+    # a byte more stands behind each document before this one
+    shift = chunk.starts[document] + document
+    begin, end = (text.begin[starts] - shift).tolist(), (text.end[stops - 1] - shift).tolist()
+    words = np.zeros(count, np.int64)
+    np.add.at(words, document, stops - starts)
+    spans = np.bincount(document, minlength=count)[:count]
+    bounds = pa.array(np.append(0, np.cumsum(spans)), pa.int32())
+    clusters = [removed[n] for n in owner[starts].tolist()]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(chunk.id_list(), pa.int64()),
             pa.array(np.bincount(whole.document, minlength=count)[:count].astype(np.int64)),
-            pa.array([len(s) for s in spans], pa.int64()),
-            pa.array(words, pa.int64()),
-            pa.array(spans, pa.list_(pa.string())),
-            pa.array(clusters, pa.list_(pa.int64())),
+            pa.array(spans, pa.int64()),
+            pa.array(words),
+            pa.ListArray.from_arrays(bounds, pa.array([f"{a}:{b}" for a, b in zip(begin, end)], pa.string())),
+            pa.ListArray.from_arrays(bounds, pa.array(clusters, pa.int64())),
         ],
         names=[part.split()[0] for part in RESULT.split(", ")],
     )

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from textdata import SF_DIR, empty, odd, odd_rows, prose, table  # noqa: F401
 
-from revtrail.llm import queries
+from revtrail.llm import paragraph_dedup, queries
 from revtrail.llm.frames import Chunk
 from revtrail.llm.paragraph_dedup import Settings, bands_for, paragraphs, repeated_paragraphs
 
@@ -154,3 +154,54 @@ def test_blocks_of_short_lines_are_paragraphs(table):
     found = {r["doc_id"]: r for r in repeated_paragraphs(table(rows)).collect()}
     assert [found[i]["n_paragraphs"] for i in (1, 2)] == [3, 3] and found[1]["n_removed"] == 0
     assert gone_words(found[2], rows[1][1]) == near and found[2]["components"] == [1]
+
+
+def chunk_of(texts):
+    import numpy as np
+
+    data = [t.encode() for t in texts]
+    return Chunk(0, np.arange(len(data)), np.ones(len(data), bool), np.asarray([len(d) for d in data]), b"".join(data))
+
+
+def test_shingles_of_a_chunk_are_made_once(monkeypatch):
+    made = []
+    windows = paragraph_dedup.windows
+    monkeypatch.setattr(paragraph_dedup, "windows", lambda hashes, width: made.append(len(hashes)) or windows(hashes, width))
+    texts = [f"{prose(i, 200)}\n\n{prose(i + 50, 30)}" for i in range(20)]
+    paragraph_dedup.units(chunk_of(texts), HOW)
+    assert sum(made) <= 2 * sum(len(t.split()) for t in texts)
+
+
+def test_report_matches_plain_loops():
+    for seed in range(20):
+        draw = random.Random(seed)
+        texts = [draw.choice(["", " \n ", "\n\n".join(prose(seed * 100 + i * 9 + j, draw.randint(1, 40)) for j in range(3))]) for i in range(8)]
+        chunk = chunk_of(texts)
+        text = paragraph_dedup.Text.of(chunk)
+        one, other = paragraph_dedup.pieces(text, HOW), paragraph_dedup.blocks(text)
+        removed = {i: draw.choice([None, i]) for i in range(len(one.start)) if draw.random() < 0.8}
+        removed |= {paragraph_dedup.BLOCKS + i: 900 + i for i in range(len(other.start)) if draw.random() < 0.3}
+        owner, row = {}, []
+        for i in [*range(len(one.start)), None]:
+            joins = i in removed and (not row or one.document[i] == one.document[row[-1]])
+            if not joins:
+                if sum(int(one.size[j]) for j in row) >= HOW.run:
+                    owner |= {w: j for j in row for w in range(one.start[j], one.start[j] + one.size[j])}
+                row = []
+            row += [i] if i in removed else []
+        for i in range(len(other.start)):
+            if paragraph_dedup.BLOCKS + i in removed:
+                owner |= {w: paragraph_dedup.BLOCKS + i for w in range(other.start[i], other.start[i] + other.size[i])}
+        expected = [[] for _ in texts]
+        for w in sorted(owner):
+            shift = int(chunk.starts[text.document[w]]) + int(text.document[w])
+            spans = expected[text.document[w]]
+            if w and owner.get(w - 1) == owner[w]:
+                spans[-1][1:3] = [int(text.end[w]) - shift, spans[-1][2] + 1]
+            else:
+                spans.append([int(text.begin[w]) - shift, int(text.end[w]) - shift, 1, removed[owner[w]]])
+        found = paragraph_dedup.report(chunk, removed, HOW).to_pylist()
+        assert [r["removed"] for r in found] == [[f"{a}:{b}" for a, b, _, _ in spans] for spans in expected]
+        assert [r["components"] for r in found] == [[c for _, _, _, c in spans] for spans in expected]
+        assert [r["removed_words"] for r in found] == [sum(n for _, _, n, _ in spans) for spans in expected]
+        assert [r["n_removed"] for r in found] == [len(spans) for spans in expected]
