@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -37,6 +38,13 @@ def settled(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """As `settled`, but in compressed columns: for wide rows of which each later step reads a few."""
+    folder = f"{shared_folder(rows.sparkSession)}/rows-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -161,7 +169,7 @@ def numbered(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
     return in_chunks(docs, number, "chunk long, number int, doc_id long", most)
 
 
-def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
+def packed(docs: DataFrame, most: int = SLICE_BYTES, level: int = 1) -> DataFrame:
     """Chunks as rows with compressed texts; shuffling them moves a third of the bytes."""
 
     def pack(chunk: Chunk) -> pa.RecordBatch:
@@ -171,7 +179,7 @@ def packed(docs: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
                 "ids": [chunk.ids.tobytes()],
                 "known": [chunk.known.astype(np.uint8).tobytes()],
                 "sizes": [chunk.sizes.astype("<i4").tobytes()],
-                "data": [zstandard.ZstdCompressor(level=1).compress(chunk.data)],
+                "data": [zstandard.ZstdCompressor(level=level).compress(chunk.data)],
             }
         )
 

@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revtrail.llm.bottomk_dedup import exact_test
-from revtrail.llm.frames import Chunk, in_chunks, packed, rows_of, settled
+from revtrail.llm.frames import Chunk, in_chunks, packed, rows_of, stored
 from revtrail.llm.keys import SENT, batch_of, bucket_count, key_list, member, sent, shared_keys
 from revtrail.llm.links import BLOCK, components, distinct_lists, in_blocks, link_lists
 from revtrail.llm.words import mix, windows
@@ -87,9 +88,9 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Text:
-    """Words of a chunk as hashes, with their bytes (a line end follows each document), documents and lines."""
+    """Words of a chunk with their bytes (a line end follows each document), documents and lines."""
 
-    hashes: np.ndarray
+    data: bytes
     begin: np.ndarray
     end: np.ndarray
     document: np.ndarray
@@ -100,10 +101,13 @@ class Text:
     def of(cls, chunk: Chunk) -> Text:
         data = b"".join(t + b"\n" for t in chunk.texts())  # a word never runs into the next document
         begin, end = word_bounds(data)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, data.lower().split()), np.uint64, len(begin))
         lines = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
         document = np.searchsorted(chunk.ends + np.arange(1, len(chunk) + 1), begin, side="right")
-        return cls(hashes, begin, end, document, np.searchsorted(lines, begin))
+        return cls(data, begin, end, document, np.searchsorted(lines, begin))
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.data.lower().split()), np.uint64, len(self.begin))
 
     def shingles(self, width: int) -> np.ndarray:
         """A hash for every `width` words in a row, made once for blocks and pieces."""
@@ -220,7 +224,10 @@ def prefix_keys(found: Paragraphs, how: Settings) -> Keyed:
     return Keyed(which, keys, own)
 
 
-SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>"
+# Where a block or piece stands: its document in the chunk, its first word and words, its bytes
+# in the document, and for blocks the end of the word before and the first byte of the next one.
+PLACE = ["document", "start", "size", "begin", "end", "before", "after"]
+SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>, " + ", ".join(f"{p} int" for p in PLACE)
 
 
 # blocks are numbered from here on, pieces from 0
@@ -233,25 +240,38 @@ def units(chunk: Chunk, how: Settings) -> list[tuple[int, Paragraphs, Keyed]]:
     return [(0, one, prefix_keys(one, how)), (BLOCKS, other, band_keys(other, how))]
 
 
+def places(chunk: Chunk, found: Paragraphs, which: np.ndarray, first: int) -> list[np.ndarray]:
+    """The columns of `PLACE` for the chosen ones."""
+    text, document, start, size = found.text, found.document[which], found.start[which], found.size[which]
+    own = chunk.starts[document]
+    before = after = np.zeros(len(which), np.int64)
+    if first == BLOCKS and len(which):
+        # a line end more stands behind each document before this one
+        before = text.end[np.maximum(start - 1, 0)] - document - own
+        after = text.begin[np.minimum(start + size, len(text.begin) - 1)] - document - own
+    return [document, start, size, found.begin[which] - own, found.end[which] - own, before, after]
+
+
 def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatch:
     """A row for each block and piece with a key that occurs elsewhere too, and those keys with
     the shingles where others than its equals may be similar."""
     ids = chunk.id_list()
-    members, sets, numbers, documents, lists = [], [], [], [], []
+    members, sets, numbers, documents, lists, spots = [], [], [], [], [], []
     for first, found, keyed in units(chunk, how):
         known = member(keyed.keys, shared)
         keys, own = keyed.keys[known].view(np.int64).tolist(), keyed.owner[known]
         some, starts = np.unique(own, return_index=True)
         which = keyed.which[some]
         flat, bounds = shingles(found, which, how.width)
-        data, places = flat.astype("<u8").tobytes(), (8 * bounds).tolist()
-        held = [data[a:b] for a, b in zip(places, places[1:])]
+        data, cuts = flat.astype("<u8").tobytes(), (8 * bounds).tolist()
+        held = [data[a:b] for a, b in zip(cuts, cuts[1:])]
         members += [xxhash.xxh3_128_digest(h, seed=first) for h in held]
         lone = [len(h) < 3 * 8 for h in held]
         sets += [None if one else h for one, h in zip(lone, held)]
         numbers += (which + first).tolist()
         documents += [ids[d] for d in found.document[which].tolist()]
         starts = [*starts.tolist(), len(keys)]
+        spots.append(places(chunk, found, which, first))
         lists += [None if one else keys[a:b] for one, a, b in zip(lone, starts, starts[1:])]
     return pa.RecordBatch.from_arrays(
         [
@@ -261,6 +281,7 @@ def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatc
             pa.array(numbers, pa.int32()),
             pa.array(documents, pa.int64()),
             pa.array(lists, pa.list_(pa.int64())),
+            *(pa.array(np.concatenate(column), pa.int32()) for column in zip(*spots)),
         ],
         names=[part.split()[0] for part in SPOT.split(", ")],
     )
@@ -272,52 +293,67 @@ RESULT = (
 )
 
 
-def long_runs(found: Paragraphs, numbers: np.ndarray, least: int) -> np.ndarray:
-    """The repeated pieces, given in order, in rows of neighbours with `least` words or more together."""
-    if not len(numbers):
-        return numbers
-    document = found.document[numbers]
-    row = np.cumsum(np.append(False, (np.diff(numbers) != 1) | (np.diff(document) != 0)))
+COUNTED = "chunk long, ids binary, known binary, counts binary"
+
+
+def counted(chunk: Chunk) -> pa.RecordBatch:
+    """One row: the documents of a chunk and how many blocks each has."""
+    counts = np.bincount(blocks(Text.of(chunk)).document, minlength=len(chunk))[: len(chunk)]
+    row = {"ids": chunk.ids, "known": chunk.known.astype(np.uint8), "counts": counts.astype("<i8")}
+    return batch_of([{"chunk": chunk.number} | {name: values.tobytes() for name, values in row.items()}], COUNTED)
+
+
+def long_runs(number: np.ndarray, document: np.ndarray, size: np.ndarray, least: int) -> np.ndarray:
+    """Which repeated pieces, given in order, stand in rows of neighbours with `least` words or more together."""
+    if not len(number):
+        return np.zeros(0, dtype=bool)
+    row = np.cumsum(np.append(False, (np.diff(number) != 1) | (np.diff(document) != 0)))
     words = np.zeros(row[-1] + 1, np.int64)
-    np.add.at(words, row, found.size[numbers])
-    return numbers[words[row] >= least]
+    np.add.at(words, row, size)
+    return words[row] >= least
 
 
-def report(chunk: Chunk, removed: dict[int, int | None], how: Settings) -> pa.RecordBatch:
+def report(ids: list[int | None], counts: np.ndarray, gone: pa.StructArray, how: Settings) -> pa.RecordBatch:
     """Per document what goes: byte spans, and the cluster of each as the doc_id of its first paragraph."""
-    text = Text.of(chunk)
-    whole, found = blocks(text), pieces(text, how)
-    count, total = len(chunk), len(text.begin)
-    numbers = np.sort(np.fromiter(removed, np.int64, len(removed)))
-    short = long_runs(found, numbers[numbers < BLOCKS], how.run)
-    long = numbers[numbers >= BLOCKS] - BLOCKS
-    # what each word goes with; of a piece only what lies outside removed blocks
-    owner = np.full(total, -1, np.int64)
-    for which, first, kind in ((short, 0, found), (long, BLOCKS, whole)):
-        sizes = kind.size[which]
-        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        owner[np.repeat(kind.start[which], sizes) + inside] = np.repeat(which + first, sizes)
-    edges = np.flatnonzero(owner[1:] != owner[:-1]) + 1
-    starts, stops = np.append(0, edges), np.append(edges, total)
-    gone = owner[starts] >= 0 if total else np.zeros(1, dtype=bool)
-    starts, stops = starts[gone], stops[gone]
-    document = text.document[starts]
-    # a byte more stands behind each document before this one
-    shift = chunk.starts[document] + document
-    begin, end = (text.begin[starts] - shift).tolist(), (text.end[stops - 1] - shift).tolist()
-    words = np.zeros(count, np.int64)
-    np.add.at(words, document, stops - starts)
-    spans = np.bincount(document, minlength=count)[:count]
-    bounds = pa.array(np.append(0, np.cumsum(spans)), pa.int32())
-    clusters = [removed[n] for n in owner[starts].tolist()]
+    number = np.asarray(gone.field("number"), dtype=np.int64)
+    order = np.argsort(number)
+    number = number[order]
+    document, start, size, begin, end, before, after = (np.asarray(gone.field(name), dtype=np.int64)[order] for name in PLACE)
+    stop = start + size
+    whole = np.flatnonzero(number >= BLOCKS)
+    parts = np.flatnonzero(number < BLOCKS)
+    parts = parts[long_runs(number[parts], document[parts], size[parts], how.run)]
+    # stretches of words that belong to a removed block or else to a removed piece
+    bounds = np.unique(np.concatenate([start[whole], stop[whole], start[parts], stop[parts]]))
+    owner = np.full(max(0, len(bounds) - 1), -1, np.int64)
+    for which in (parts, whole):
+        if len(which):
+            last = which[np.maximum(np.searchsorted(start[which], bounds[:-1], side="right") - 1, 0)]
+            inside = (start[last] <= bounds[:-1]) & (bounds[:-1] < stop[last])
+            owner[inside] = last[inside]
+    change = np.flatnonzero(owner[1:] != owner[:-1]) + 1
+    first, last = np.append(0, change)[: len(owner)], np.append(change, len(owner))[: len(owner)]
+    some = owner[first] >= 0
+    own, low, high = owner[first[some]], bounds[first[some]], bounds[last[some]]
+    # what is left of a piece ends where a removed block begins, and begins where one ends
+    opens, ends = begin[own], end[own]
+    cut = low != start[own]
+    opens[cut] = after[whole[np.searchsorted(stop[whole], low[cut])]]
+    cut = high != stop[own]
+    ends[cut] = before[whole[np.searchsorted(start[whole], high[cut])]]
+    words = np.zeros(len(ids), np.int64)
+    np.add.at(words, document[own], high - low)
+    spans = np.bincount(document[own], minlength=len(ids)).astype(np.int64)
+    lists = pa.array(np.append(0, np.cumsum(spans)), pa.int32())
+    clusters = gone.field("first").take(pa.array(order[own]))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(chunk.id_list(), pa.int64()),
-            pa.array(np.bincount(whole.document, minlength=count)[:count].astype(np.int64)),
-            pa.array(spans, pa.int64()),
+            pa.array(ids, pa.int64()),
+            pa.array(counts),
+            pa.array(spans),
             pa.array(words),
-            pa.ListArray.from_arrays(bounds, pa.array([f"{a}:{b}" for a, b in zip(begin, end)], pa.string())),
-            pa.ListArray.from_arrays(bounds, pa.array(clusters, pa.int64())),
+            pa.ListArray.from_arrays(lists, pa.array([f"{a}:{b}" for a, b in zip(opens.tolist(), ends.tolist())], pa.string())),
+            pa.ListArray.from_arrays(lists, clusters),
         ],
         names=[part.split()[0] for part in RESULT.split(", ")],
     )
@@ -325,7 +361,7 @@ def report(chunk: Chunk, removed: dict[int, int | None], how: Settings) -> pa.Re
 
 def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int = BLOCK) -> DataFrame:
     """Per document its blocks, and what of them is removed as a near copy of an earlier one."""
-    chunks = packed(docs)
+    chunks = packed(docs, level=3)
     buckets = bucket_count(docs)
 
     def seeds(chunk: Chunk) -> pa.RecordBatch:
@@ -337,12 +373,16 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
             yield candidates(Chunk.unpacked(row), key_list(row["shared"]), how)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            gone = {g["number"]: g["first"] for g in row["gone"] or []}
-            yield report(Chunk.unpacked(row), gone, how)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                ids, known, counts = (row.column(name)[0].as_py() for name in ("ids", "known", "counts"))
+                known = np.frombuffer(known, np.uint8).tolist()
+                ids = [n if k else None for n, k in zip(np.frombuffer(ids, "<i8").tolist(), known)]
+                yield report(ids, np.frombuffer(counts, "<i8"), row.column("gone").flatten(), how)
 
     told = shared_keys(in_chunks(docs, seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
-    found = settled(chunks.join(told, "chunk").mapInArrow(choose, SPOT))
+    found = stored(chunks.join(told, "chunk").mapInArrow(choose, SPOT))
 
     able = found.where("keys is not null")
     listed = able.select(F.explode("keys").alias("value"), "member").distinct()
@@ -350,10 +390,10 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
     entries = in_blocks(distinct_lists(listed).join(sets, "member"), block)
     roots = components(link_lists(entries, exact_test(how.percent), how.percent / 100))
 
-    spots = found.select("chunk", "number", "member", "doc_id")
+    spots = found.select("chunk", "number", "member", "doc_id", *PLACE)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "chunk", "number")
     classes = spots.groupBy("member").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    classes = classes.join(roots.withColumnRenamed("node", "member"), "member", "left")
+    classes = stored(classes.join(roots.withColumnRenamed("node", "member"), "member", "left"))
     alone = classes.where("root is null and n > 1").select("member", "first")
     linked = classes.where("root is not null")
     tops = linked.groupBy("root").agg(F.min("first").alias("top"))
@@ -362,6 +402,6 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
         (F.col("chunk") != F.col("first.chunk")) | (F.col("number") != F.col("first.number"))
     )
     gone = later.groupBy("chunk").agg(
-        F.collect_list(F.struct("number", F.col("first.doc_id").alias("first"))).alias("gone")
+        F.collect_list(F.struct("number", F.col("first.doc_id").alias("first"), *PLACE)).alias("gone")
     )
-    return chunks.join(gone, "chunk", "left").mapInArrow(remove, RESULT)
+    return in_chunks(docs, counted, COUNTED).join(gone, "chunk", "left").mapInArrow(remove, RESULT)

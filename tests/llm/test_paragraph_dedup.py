@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 from textdata import SF_DIR, empty, odd, odd_rows, prose, table  # noqa: F401
 
 from revtrail.llm import paragraph_dedup, queries
@@ -157,8 +159,6 @@ def test_blocks_of_short_lines_are_paragraphs(table):
 
 
 def chunk_of(texts):
-    import numpy as np
-
     data = [t.encode() for t in texts]
     return Chunk(0, np.arange(len(data)), np.ones(len(data), bool), np.asarray([len(d) for d in data]), b"".join(data))
 
@@ -200,7 +200,18 @@ def test_report_matches_plain_loops():
                 spans[-1][1:3] = [int(text.end[w]) - shift, spans[-1][2] + 1]
             else:
                 spans.append([int(text.begin[w]) - shift, int(text.end[w]) - shift, 1, removed[owner[w]]])
-        found = paragraph_dedup.report(chunk, removed, HOW).to_pylist()
+        gone = []
+        for kind, first in ((one, 0), (other, paragraph_dedup.BLOCKS)):
+            which = np.asarray([i for i in range(len(kind.start)) if first + i in removed], np.int64)
+            columns = [c.tolist() for c in paragraph_dedup.places(chunk, kind, which, first)]
+            for i, *place in zip(which.tolist(), *columns):
+                gone.append({"number": first + i, "first": removed[first + i]} | dict(zip(paragraph_dedup.PLACE, place)))
+        draw.shuffle(gone)
+        fields = [("number", pa.int32()), ("first", pa.int64()), *((name, pa.int32()) for name in paragraph_dedup.PLACE)]
+        held = paragraph_dedup.counted(chunk).to_pylist()[0]
+        counts = np.frombuffer(held["counts"], "<i8")
+        found = paragraph_dedup.report(chunk.id_list(), counts, pa.array(gone, pa.struct(fields)), HOW).to_pylist()
+        assert [r["n_paragraphs"] for r in found] == [int((other.document == i).sum()) for i in range(len(texts))]
         assert [r["removed"] for r in found] == [[f"{a}:{b}" for a, b, _, _ in spans] for spans in expected]
         assert [r["components"] for r in found] == [[c for _, _, _, c in spans] for spans in expected]
         assert [r["removed_words"] for r in found] == [sum(n for _, _, n, _ in spans) for spans in expected]
