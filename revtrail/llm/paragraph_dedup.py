@@ -35,6 +35,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,7 +228,7 @@ def prefix_keys(found: Paragraphs, how: Settings) -> Keyed:
 # Where a block or piece stands: its document in the chunk, its first word and words, its bytes
 # in the document, and for blocks the end of the word before and the first byte of the next one.
 PLACE = ["document", "start", "size", "begin", "end", "before", "after"]
-SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>, " + ", ".join(f"{p} int" for p in PLACE)
+SPOT = "member binary, held binary, chunk long, number int, doc_id long, keys array<long>"
 
 
 # blocks are numbered from here on, pieces from 0
@@ -241,7 +242,7 @@ def units(chunk: Chunk, how: Settings) -> list[tuple[int, Paragraphs, Keyed]]:
 
 
 def places(chunk: Chunk, found: Paragraphs, which: np.ndarray, first: int) -> list[np.ndarray]:
-    """The columns of `PLACE` for the chosen ones."""
+    """The numbers of the chosen ones and the columns of `PLACE`."""
     text, document, start, size = found.text, found.document[which], found.start[which], found.size[which]
     own = chunk.starts[document]
     before = after = np.zeros(len(which), np.int64)
@@ -249,12 +250,26 @@ def places(chunk: Chunk, found: Paragraphs, which: np.ndarray, first: int) -> li
         # a line end more stands behind each document before this one
         before = text.end[np.maximum(start - 1, 0)] - document - own
         after = text.begin[np.minimum(start + size, len(text.begin) - 1)] - document - own
-    return [document, start, size, found.begin[which] - own, found.end[which] - own, before, after]
+    return [which + first, document, start, size, found.begin[which] - own, found.end[which] - own, before, after]
+
+
+def squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns of whole numbers, as differences to the row before, equal bytes side by side."""
+    steps = np.diff(np.asarray(columns, "<i4"), axis=1, prepend=0).astype("<i4")
+    return zstandard.ZstdCompressor(level=3).compress(steps.reshape(-1).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def restored(held: bytes) -> np.ndarray:
+    """The columns again: numbers, then `PLACE`."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint8)
+    steps = np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").reshape(len(PLACE) + 1, -1)
+    return np.cumsum(steps, axis=1, dtype=np.int64)
 
 
 def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatch:
     """A row for each block and piece with a key that occurs elsewhere too, and those keys with
-    the shingles where others than its equals may be similar."""
+    the shingles where others than its equals may be similar. One row more, without a member,
+    holds where they all stand."""
     ids = chunk.id_list()
     members, sets, numbers, documents, lists, spots = [], [], [], [], [], []
     for first, found, keyed in units(chunk, how):
@@ -273,6 +288,11 @@ def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatc
         starts = [*starts.tolist(), len(keys)]
         spots.append(places(chunk, found, which, first))
         lists += [None if one else keys[a:b] for one, a, b in zip(lone, starts, starts[1:])]
+    members.append(None)
+    sets.append(squeezed([np.concatenate(column) for column in zip(*spots)]))
+    numbers.append(-1)
+    documents.append(None)
+    lists.append(None)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(members, pa.binary()),
@@ -281,7 +301,6 @@ def candidates(chunk: Chunk, shared: np.ndarray, how: Settings) -> pa.RecordBatc
             pa.array(numbers, pa.int32()),
             pa.array(documents, pa.int64()),
             pa.array(lists, pa.list_(pa.int64())),
-            *(pa.array(np.concatenate(column), pa.int32()) for column in zip(*spots)),
         ],
         names=[part.split()[0] for part in SPOT.split(", ")],
     )
@@ -313,12 +332,15 @@ def long_runs(number: np.ndarray, document: np.ndarray, size: np.ndarray, least:
     return words[row] >= least
 
 
-def report(ids: list[int | None], counts: np.ndarray, gone: pa.StructArray, how: Settings) -> pa.RecordBatch:
-    """Per document what goes: byte spans, and the cluster of each as the doc_id of its first paragraph."""
+def report(ids: list[int | None], counts: np.ndarray, gone: pa.StructArray, stand: np.ndarray, how: Settings) -> pa.RecordBatch:
+    """Per document what goes: byte spans, and the cluster of each as the doc_id of its first paragraph.
+
+    `stand` tells where the candidates stand, those that go among them.
+    """
     number = np.asarray(gone.field("number"), dtype=np.int64)
     order = np.argsort(number)
     number = number[order]
-    document, start, size, begin, end, before, after = (np.asarray(gone.field(name), dtype=np.int64)[order] for name in PLACE)
+    document, start, size, begin, end, before, after = stand[1:, np.searchsorted(stand[0], number)]
     stop = start + size
     whole = np.flatnonzero(number >= BLOCKS)
     parts = np.flatnonzero(number < BLOCKS)
@@ -361,7 +383,7 @@ def report(ids: list[int | None], counts: np.ndarray, gone: pa.StructArray, how:
 
 def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int = BLOCK) -> DataFrame:
     """Per document its blocks, and what of them is removed as a near copy of an earlier one."""
-    chunks = packed(docs, level=3)
+    chunks = packed(docs, level=7)
     buckets = bucket_count(docs)
 
     def seeds(chunk: Chunk) -> pa.RecordBatch:
@@ -379,7 +401,9 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
                 ids, known, counts = (row.column(name)[0].as_py() for name in ("ids", "known", "counts"))
                 known = np.frombuffer(known, np.uint8).tolist()
                 ids = [n if k else None for n, k in zip(np.frombuffer(ids, "<i8").tolist(), known)]
-                yield report(ids, np.frombuffer(counts, "<i8"), row.column("gone").flatten(), how)
+                stand = row.column("stand")[0].as_py()
+                stand = np.zeros((len(PLACE) + 1, 0), np.int64) if stand is None else restored(stand)
+                yield report(ids, np.frombuffer(counts, "<i8"), row.column("gone").flatten(), stand, how)
 
     told = shared_keys(in_chunks(docs, seeds, SENT), hot=np.iinfo(np.uint32).max).drop("hot")
     found = stored(chunks.join(told, "chunk").mapInArrow(choose, SPOT))
@@ -390,11 +414,12 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
     entries = in_blocks(distinct_lists(listed).join(sets, "member"), block)
     roots = components(link_lists(entries, exact_test(how.percent), how.percent / 100))
 
-    spots = found.select("chunk", "number", "member", "doc_id", *PLACE)
+    spots = found.where("member is not null").select("chunk", "number", "member", "doc_id")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "chunk", "number")
     classes = spots.groupBy("member").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    classes = stored(classes.join(roots.withColumnRenamed("node", "member"), "member", "left"))
-    alone = classes.where("root is null and n > 1").select("member", "first")
+    classes = classes.join(roots.withColumnRenamed("node", "member"), "member", "left")
+    classes = stored(classes.where("n > 1 or root is not null"))
+    alone = classes.where("root is null").select("member", "first")
     linked = classes.where("root is not null")
     tops = linked.groupBy("root").agg(F.min("first").alias("top"))
     together = linked.join(tops, "root").select("member", F.col("top").alias("first"))
@@ -402,6 +427,8 @@ def repeated_paragraphs(docs: DataFrame, how: Settings = Settings(), block: int
         (F.col("chunk") != F.col("first.chunk")) | (F.col("number") != F.col("first.number"))
     )
     gone = later.groupBy("chunk").agg(
-        F.collect_list(F.struct("number", F.col("first.doc_id").alias("first"), *PLACE)).alias("gone")
+        F.collect_list(F.struct("number", F.col("first.doc_id").alias("first"))).alias("gone")
     )
-    return in_chunks(docs, counted, COUNTED).join(gone, "chunk", "left").mapInArrow(remove, RESULT)
+    stand = found.where("member is null").select("chunk", F.col("held").alias("stand"))
+    every = in_chunks(docs, counted, COUNTED).join(stand, "chunk", "left").join(gone, "chunk", "left")
+    return every.mapInArrow(remove, RESULT)

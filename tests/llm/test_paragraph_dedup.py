@@ -200,17 +200,19 @@ def test_report_matches_plain_loops():
                 spans[-1][1:3] = [int(text.end[w]) - shift, spans[-1][2] + 1]
             else:
                 spans.append([int(text.begin[w]) - shift, int(text.end[w]) - shift, 1, removed[owner[w]]])
-        gone = []
+        chosen = []
         for kind, first in ((one, 0), (other, paragraph_dedup.BLOCKS)):
-            which = np.asarray([i for i in range(len(kind.start)) if first + i in removed], np.int64)
-            columns = [c.tolist() for c in paragraph_dedup.places(chunk, kind, which, first)]
-            for i, *place in zip(which.tolist(), *columns):
-                gone.append({"number": first + i, "first": removed[first + i]} | dict(zip(paragraph_dedup.PLACE, place)))
+            which = np.asarray([i for i in range(len(kind.start)) if first + i in removed or draw.random() < 0.5], np.int64)
+            chosen.append(paragraph_dedup.places(chunk, kind, which, first))
+        stand = [np.concatenate(column) for column in zip(*chosen)]
+        back = paragraph_dedup.restored(paragraph_dedup.squeezed(stand))
+        assert back.tolist() == [c.tolist() for c in stand]
+        gone = [{"number": n, "first": first} for n, first in removed.items()]
         draw.shuffle(gone)
-        fields = [("number", pa.int32()), ("first", pa.int64()), *((name, pa.int32()) for name in paragraph_dedup.PLACE)]
+        gone = pa.array(gone, pa.struct([("number", pa.int32()), ("first", pa.int64())]))
         held = paragraph_dedup.counted(chunk).to_pylist()[0]
         counts = np.frombuffer(held["counts"], "<i8")
-        found = paragraph_dedup.report(chunk.id_list(), counts, pa.array(gone, pa.struct(fields)), HOW).to_pylist()
+        found = paragraph_dedup.report(chunk.id_list(), counts, gone, back, HOW).to_pylist()
         assert [r["n_paragraphs"] for r in found] == [int((other.document == i).sum()) for i in range(len(texts))]
         assert [r["removed"] for r in found] == [[f"{a}:{b}" for a, b, _, _ in spans] for spans in expected]
         assert [r["components"] for r in found] == [[c for _, _, _, c in spans] for spans in expected]
