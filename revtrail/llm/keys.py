@@ -49,28 +49,33 @@ def batch_of(rows: list[dict], schema: str) -> pa.RecordBatch:
     )
 
 
+def told(table: pa.Table, hot: int) -> list[dict]:
+    """Rows for the chunks that sent keys to one bucket."""
+    chunks = table["chunk"].to_pylist()
+    keys = [np.frombuffer(k, "<u8") for k in table["keys"].to_pylist()]
+    times = np.concatenate([np.frombuffer(t, "<u4") for t in table["times"].to_pylist()])
+    _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(place, weights=times)[place]
+    out, start = [], 0
+    for chunk, own in zip(chunks, keys):
+        often = total[start : start + len(own)]
+        start += len(own)
+        if (often > 1).any():
+            out.append(
+                {
+                    "chunk": chunk,
+                    "shared": own[often > 1].astype("<u8").tobytes(),
+                    "hot": own[often >= hot].astype("<u8").tobytes(),
+                }
+            )
+    return out
+
+
 def shared_keys(rows: DataFrame, hot: int) -> DataFrame:
     """Per chunk the lists of its keys that occur twice or more, and `hot` times or more."""
 
     def tell(table: pa.Table) -> pa.Table:
-        chunks = table["chunk"].to_pylist()
-        keys = [np.frombuffer(k, "<u8") for k in table["keys"].to_pylist()]
-        times = np.concatenate([np.frombuffer(t, "<u4") for t in table["times"].to_pylist()])
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, weights=times)[place]
-        out, start = [], 0
-        for chunk, own in zip(chunks, keys):
-            often = total[start : start + len(own)]
-            start += len(own)
-            if (often > 1).any():
-                out.append(
-                    {
-                        "chunk": chunk,
-                        "shared": own[often > 1].astype("<u8").tobytes(),
-                        "hot": own[often >= hot].astype("<u8").tobytes(),
-                    }
-                )
-        return pa.Table.from_batches([batch_of(out, TOLD)])
+        return pa.Table.from_batches([batch_of(told(table, hot), TOLD)])
 
     found = rows.groupBy("bucket").applyInArrow(tell, TOLD)
     return found.groupBy("chunk").agg(
